@@ -41,3 +41,199 @@ def _valid(spark, sf):
 @register("model_ready")
 def q_model_ready(spark, sf):
     return round_doubles(S.build_model_ready(load_events(spark, sf)))
+
+
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def ts_text(c: str):
+    """Timestamps leave queries as fixed-format text (engine-neutral hashing)."""
+    return F.date_format(F.col(c), TS_FMT).alias(c)
+
+
+def _events_out(df):
+    return df.select(*[ts_text(c) if c == "event_time" else F.col(c) for c in df.columns])
+
+
+@register("valid_events")
+def q_valid_events(spark, sf):
+    return _events_out(_valid(spark, sf))
+
+
+@register("labeled_events")
+def q_labeled_events(spark, sf):
+    lab = S.labeled_events(_valid(spark, sf))
+    return lab.select("event_id", "user_session", "event_type", "is_abandoned")
+
+
+@register("event_type_pivot")
+def q_event_type_pivot(spark, sf):
+    return S.event_type_pivot(_valid(spark, sf))
+
+
+@register("basic_sessions")
+def q_basic_sessions(spark, sf):
+    return round_doubles(S.basic_sessions(_valid(spark, sf)))
+
+
+def _session_times_out(df):
+    return df.select(*[ts_text(c) if c in ("session_start", "session_end") else F.col(c)
+                       for c in df.columns])
+
+
+@register("enriched_sessions")
+def q_enriched_sessions(spark, sf):
+    return round_doubles(_session_times_out(S.enriched_sessions(_valid(spark, sf), by_month=True)))
+
+
+@register("enriched_sessions_eda")
+def q_enriched_sessions_eda(spark, sf):
+    s = S.enriched_sessions(_valid(spark, sf), by_month=False, keep_times=False)
+    return round_doubles(s.drop("user_id"))
+
+
+@register("segment_sessions")
+def q_segment_sessions(spark, sf):
+    return round_doubles(_session_times_out(S.segment_sessions(_valid(spark, sf))))
+
+
+def _proc_sessions(spark, sf):
+    return S.enriched_sessions(_valid(spark, sf), by_month=True)
+
+
+@register("user_first_session")
+def q_user_first_session(spark, sf):
+    return S.user_first_session(_proc_sessions(spark, sf)).select(
+        "user_id", ts_text("user_first_session_time"))
+
+
+@register("returning_users")
+def q_returning_users(spark, sf):
+    r = S.returning_users(_proc_sessions(spark, sf), method="window")
+    return r.select("source_month", "user_session", "user_id", "is_returning_user")
+
+
+@register("returning_users_join")
+def q_returning_users_join(spark, sf):
+    r = S.returning_users(_proc_sessions(spark, sf), method="join")
+    return r.select("source_month", "user_session", "user_id", "is_returning_user")
+
+
+@register("join_counts")
+def q_join_counts(spark, sf):
+    ev = _valid(spark, sf)
+    aggs = (ev.groupBy(S.SESSION)
+            .agg(F.count_distinct("product_id").alias("products_viewed"),
+                 F.max("price").alias("max_price")))
+    counts = S.event_type_pivot(ev)
+    return round_doubles(S.join_counts(aggs, counts))
+
+
+@register("union_months")
+def q_union_months(spark, sf):
+    ev = _valid(spark, sf)
+    months = [S.enriched_sessions(ev.filter(F.col("source_month") == m), by_month=True,
+                                  keep_times=False) for m in ("A", "B")]
+    out = S.union_months(*months)
+    return round_doubles(out.select("source_month", S.SESSION, "products_viewed", "num_views",
+                                    "num_carts", "num_purchases", "is_abandoned",
+                                    "duration_seconds"))
+
+
+@register("session_duration")
+def q_session_duration(spark, sf):
+    s = S.segment_sessions(_valid(spark, sf))
+    from ..functions.exprs import seconds_between
+    return round_doubles(s.select(S.SESSION, seconds_between("session_start", "session_end")
+                                  .alias("duration_seconds")))
+
+
+# ----------------------------------------------------------------- profiling
+from ..operators import profile as P  # noqa: E402
+
+
+@register("preview")
+def q_preview(spark, sf):
+    return _events_out(P.preview(load_events(spark, sf), 5))
+
+
+@register("null_profile")
+def q_null_profile(spark, sf):
+    return P.null_profile(load_events(spark, sf))
+
+
+@register("distinct_counts")
+def q_distinct_counts(spark, sf):
+    return P.distinct_counts(load_events(spark, sf))
+
+
+@register("event_share")
+def q_event_share(spark, sf):
+    return round_doubles(P.value_share(load_events(spark, sf), "event_type"))
+
+
+@register("top_brands")
+def q_top_brands(spark, sf):
+    return P.top_values(load_events(spark, sf), "brand", 10)
+
+
+@register("top_categories")
+def q_top_categories(spark, sf):
+    return P.top_values(load_events(spark, sf), "category_code", 10)
+
+
+@register("describe_price")
+def q_describe_price(spark, sf):
+    return round_doubles(P.describe(load_events(spark, sf), ["price"]))
+
+
+@register("zero_price_by_type")
+def q_zero_price_by_type(spark, sf):
+    return P.zero_price_by_type(load_events(spark, sf))
+
+
+@register("clean_counts")
+def q_clean_counts(spark, sf):
+    return P.clean_counts(load_events(spark, sf))
+
+
+@register("price_histogram")
+def q_price_histogram(spark, sf):
+    return round_doubles(P.histogram(_valid(spark, sf), "price", 50))
+
+
+@register("price_kde")
+def q_price_kde(spark, sf):
+    return round_doubles(P.kde(_valid(spark, sf), "price", 200))
+
+
+@register("event_funnel")
+def q_event_funnel(spark, sf):
+    ev = _valid(spark, sf)
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"))
+
+
+def _model_ready(spark, sf):
+    return S.build_model_ready(load_events(spark, sf))
+
+
+@register("class_balance")
+def q_class_balance(spark, sf):
+    return round_doubles(P.value_share(_model_ready(spark, sf), S.LABEL, pct=False))
+
+
+def _basic(spark, sf):
+    return S.basic_sessions(_valid(spark, sf))
+
+
+BASIC_FEATURES = ["event_count", "products_viewed", "duration_seconds"]
+
+
+@register("describe_sessions")
+def q_describe_sessions(spark, sf):
+    return round_doubles(P.describe(_basic(spark, sf), BASIC_FEATURES))
+
+
+@register("means_by_outcome")
+def q_means_by_outcome(spark, sf):
+    return round_doubles(P.means_by(_basic(spark, sf), S.LABEL, BASIC_FEATURES))

@@ -67,3 +67,224 @@ SELECT source_month, user_session,
        brands_viewed, categories_viewed, num_carts, num_views,
        is_returning_user, is_abandoned
 FROM pr"""
+
+
+TS = "'%Y-%m-%d %H:%M:%S.%f'"
+
+
+def ts_text(c: str) -> str:
+    return f"strftime({c}, {TS}) AS {c}"
+
+
+EVENT_COLS_TEXT = (f"source_month, event_id, {ts_text('event_time')}, event_type, product_id, "
+                   "category_code, brand, price, user_id, user_session")
+
+ORACLE["valid_events"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + f"""
+SELECT {EVENT_COLS_TEXT} FROM valid"""
+
+LABELS_CTE = """
+lab AS (
+  SELECT user_session,
+         coalesce(bool_or(event_type = 'cart'), false)
+           AND NOT coalesce(bool_or(event_type = 'purchase'), false) AS is_abandoned
+  FROM valid GROUP BY user_session
+)"""
+
+ORACLE["labeled_events"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, LABELS_CTE) + """
+SELECT v.event_id, v.user_session, v.event_type, lab.is_abandoned
+FROM valid v JOIN lab USING (user_session)"""
+
+PIVOT_SELECT = """
+  count(*) FILTER (WHERE event_type = 'view' AND event_time IS NOT NULL) AS num_views,
+  count(*) FILTER (WHERE event_type = 'cart' AND event_time IS NOT NULL) AS num_carts,
+  count(*) FILTER (WHERE event_type = 'purchase' AND event_time IS NOT NULL) AS num_purchases"""
+
+ORACLE["event_type_pivot"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + f"""
+SELECT user_session, {PIVOT_SELECT}
+FROM valid GROUP BY user_session"""
+
+ABANDONED_AGG = """CAST(coalesce(bool_or(event_type = 'cart'), false)
+       AND NOT coalesce(bool_or(event_type = 'purchase'), false) AS INTEGER)"""
+DURATION_AGG = "(epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1000000.0"
+
+BASIC_CTE = f"""
+basic AS (
+  SELECT user_session,
+         count(event_type) AS event_count,
+         count(DISTINCT product_id) AS products_viewed,
+         {ABANDONED_AGG} AS is_abandoned,
+         {DURATION_AGG} AS duration_seconds
+  FROM valid GROUP BY user_session
+)"""
+
+ORACLE["basic_sessions"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, BASIC_CTE) + f"""
+SELECT user_session, event_count, products_viewed, is_abandoned,
+       {r6('duration_seconds', 'duration_seconds')}
+FROM basic"""
+
+ORACLE["enriched_sessions"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE) + f"""
+SELECT source_month, user_session, {ts_text('session_start')}, {ts_text('session_end')},
+       products_viewed, {r6('avg_price', 'avg_price')}, {r6('max_price', 'max_price')},
+       brands_viewed, categories_viewed, is_abandoned, user_id,
+       num_views, num_carts, num_purchases, {r6('duration_seconds', 'duration_seconds')}
+FROM ps"""
+
+ORACLE["enriched_sessions_eda"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + f"""
+SELECT user_session,
+       count(DISTINCT product_id) AS products_viewed,
+       {r6('avg(price)', 'avg_price')},
+       {r6('max(price)', 'max_price')},
+       count(DISTINCT brand) AS brands_viewed,
+       count(DISTINCT category_code) AS categories_viewed,
+       {ABANDONED_AGG} AS is_abandoned,
+       {PIVOT_SELECT},
+       {r6(DURATION_AGG, 'duration_seconds')}
+FROM valid GROUP BY user_session"""
+
+SEGMENT_CTE = """
+seg AS (
+  SELECT user_session,
+         min(event_time) AS session_start,
+         max(event_time) AS session_end,
+         arg_min(user_id, CASE WHEN user_id IS NOT NULL THEN event_id END) AS user_id,
+         count(*) AS total_events,
+         count(*) FILTER (WHERE event_type = 'view') AS view_count,
+         count(*) FILTER (WHERE event_type = 'cart') AS cart_count,
+         count(*) FILTER (WHERE event_type = 'purchase') AS purchase_count,
+         count(DISTINCT product_id) AS unique_products,
+         count(DISTINCT brand) AS unique_brands,
+         count(DISTINCT category_code) AS unique_categories,
+         avg(price) AS avg_price,
+         max(price) AS max_price,
+         sum(price) AS total_price
+  FROM valid GROUP BY user_session
+),
+segl AS (
+  SELECT *, CAST(cart_count > 0 AND purchase_count = 0 AS INTEGER) AS is_abandoned,
+         (epoch_us(session_end) - epoch_us(session_start)) / 1000000.0 AS duration_seconds
+  FROM seg
+)"""
+
+ORACLE["segment_sessions"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, SEGMENT_CTE) + f"""
+SELECT user_session, {ts_text('session_start')}, {ts_text('session_end')}, user_id,
+       total_events, view_count, cart_count, purchase_count,
+       unique_products, unique_brands, unique_categories,
+       {r6('avg_price', 'avg_price')}, {r6('max_price', 'max_price')},
+       {r6('total_price', 'total_price')}, is_abandoned
+FROM segl"""
+
+ORACLE["user_first_session"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE) + f"""
+SELECT user_id, {ts_text('min(session_start)').replace(' AS min(session_start)', '')}
+         AS user_first_session_time
+FROM ps WHERE user_id IS NOT NULL GROUP BY user_id"""
+
+ORACLE["returning_users"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE,
+                                      RETURNING_CTE) + """
+SELECT source_month, user_session, user_id, is_returning_user FROM pr"""
+ORACLE["returning_users_join"] = ORACLE["returning_users"]
+
+ORACLE["join_counts"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + f"""
+SELECT user_session, count(DISTINCT product_id) AS products_viewed,
+       {r6('max(price)', 'max_price')}, {PIVOT_SELECT}
+FROM valid GROUP BY user_session"""
+
+ORACLE["union_months"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE) + f"""
+SELECT source_month, user_session, products_viewed, num_views, num_carts, num_purchases,
+       is_abandoned, {r6('duration_seconds', 'duration_seconds')}
+FROM ps"""
+
+ORACLE["session_duration"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, SEGMENT_CTE) + f"""
+SELECT user_session, {r6('duration_seconds', 'duration_seconds')} FROM segl"""
+
+# ------------------------------------------------------------------ profiling
+ORACLE["preview"] = with_ctes(EVENTS_CTE_SQL) + f"""
+SELECT {EVENT_COLS_TEXT} FROM ev ORDER BY event_time NULLS LAST, event_id NULLS LAST LIMIT 5"""
+
+_PROFILE_TYPES = [("source_month", "string"), ("event_id", "bigint"),
+                  ("event_time", "timestamp_ntz"), ("event_type", "string"),
+                  ("product_id", "bigint"), ("category_code", "string"), ("brand", "string"),
+                  ("price", "double"), ("user_id", "bigint"), ("user_session", "string")]
+ORACLE["null_profile"] = with_ctes(EVENTS_CTE_SQL) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null_count, "
+    f"count(*) AS total_rows FROM ev" for c, t in _PROFILE_TYPES)
+
+ORACLE["distinct_counts"] = with_ctes(EVENTS_CTE_SQL) + """
+SELECT count(DISTINCT user_session) AS user_session, count(DISTINCT user_id) AS user_id,
+       count(DISTINCT product_id) AS product_id, count(DISTINCT category_code) AS category_code,
+       count(DISTINCT brand) AS brand
+FROM ev"""
+
+ORACLE["event_share"] = with_ctes(EVENTS_CTE_SQL) + f"""
+SELECT event_type, count, {r6('count / sum(count) OVER () * 100.0', 'percent')}
+FROM (SELECT event_type, count(*) AS count FROM ev GROUP BY event_type)"""
+
+for _key, _col in (("top_brands", "brand"), ("top_categories", "category_code")):
+    ORACLE[_key] = with_ctes(EVENTS_CTE_SQL) + f"""
+SELECT {_col}, count(*) AS count FROM ev WHERE {_col} IS NOT NULL
+GROUP BY {_col} ORDER BY count DESC, {_col} ASC LIMIT 10"""
+
+
+def describe_sql(source: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        x = f"CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END"
+        stats = [("count", f"CAST(count({x}) AS DOUBLE)"), ("mean", f"avg({x})"),
+                 ("std", f"stddev_samp({x})"), ("min", f"min({x})"),
+                 ("25%", f"quantile_cont({x}, 0.25)"), ("50%", f"quantile_cont({x}, 0.5)"),
+                 ("75%", f"quantile_cont({x}, 0.75)"), ("max", f"max({x})")]
+        for s, e in stats:
+            parts.append(f"SELECT '{c}' AS feature, '{s}' AS statistic, "
+                         f"round(CAST({e} AS DOUBLE), 6) AS value FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["describe_price"] = with_ctes(EVENTS_CTE_SQL) + "\n" + describe_sql("ev", ["price"])
+
+ORACLE["zero_price_by_type"] = with_ctes(EVENTS_CTE_SQL) + """
+SELECT event_type, count(*) AS count FROM ev WHERE price = 0 GROUP BY event_type"""
+
+ORACLE["clean_counts"] = with_ctes(EVENTS_CTE_SQL) + """
+SELECT count(*) AS rows_before,
+       count(*) FILTER (WHERE price > 0 AND NOT isnan(price)) AS rows_after,
+       count(*) - count(*) FILTER (WHERE price > 0 AND NOT isnan(price)) AS rows_removed
+FROM ev"""
+
+ORACLE["price_histogram"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + """,
+mm AS (SELECT min(price) AS lo, max(price) AS hi FROM valid),
+b AS (
+  SELECT least(greatest(CAST(floor((price - lo) * (50 / (hi - lo))) AS INTEGER), 0), 49) AS bin,
+         count(*) AS count
+  FROM valid, mm GROUP BY 1
+)
+SELECT CAST(r.bin AS INTEGER) AS bin,
+       round(CAST(r.bin AS DOUBLE) * ((hi - lo) / 50) + lo, 6) AS bin_lo,
+       round(CAST(r.bin + 1 AS DOUBLE) * ((hi - lo) / 50) + lo, 6) AS bin_hi,
+       coalesce(b.count, 0) AS count
+FROM (SELECT range AS bin FROM range(50)) r CROSS JOIN mm LEFT JOIN b ON b.bin = r.bin"""
+
+ORACLE["price_kde"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + """,
+st AS (SELECT count(*) AS n, stddev_samp(price) AS sd, min(price) AS lo, max(price) AS hi
+       FROM valid),
+pr AS (SELECT n, sd * pow(n, -1.0 / 5.0) AS h, lo, (hi - lo) / 199 AS step FROM st),
+vc AS (SELECT price AS v, count(*) AS k FROM valid GROUP BY price),
+g AS (SELECT range AS point, range * step + lo AS x FROM range(200), pr)
+SELECT CAST(g.point AS INTEGER) AS point, round(g.x, 6) AS x,
+       round(sum(vc.k * exp(-0.5 * ((g.x - vc.v) / pr.h) * ((g.x - vc.v) / pr.h)))
+             * (1.0 / (pr.n * pr.h * sqrt(2.0 * pi()))), 6) AS density
+FROM g, vc, pr GROUP BY g.point, g.x, pr.n, pr.h"""
+
+ORACLE["event_funnel"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + """
+SELECT event_type, count(*) AS count FROM valid GROUP BY event_type ORDER BY count DESC"""
+
+ORACLE["class_balance"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE) + f"""
+SELECT is_abandoned, count, {r6('count / sum(count) OVER ()', 'share')}
+FROM (SELECT is_abandoned, count(*) AS count FROM ps GROUP BY is_abandoned)"""
+
+ORACLE["describe_sessions"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, BASIC_CTE) + "\n" + describe_sql(
+    "basic", ["event_count", "products_viewed", "duration_seconds"])
+
+ORACLE["means_by_outcome"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, BASIC_CTE) + f"""
+SELECT is_abandoned, {r6('avg(event_count)', 'event_count')},
+       {r6('avg(products_viewed)', 'products_viewed')},
+       {r6('avg(duration_seconds)', 'duration_seconds')}
+FROM basic GROUP BY is_abandoned"""
