@@ -52,13 +52,9 @@ def per_minute(count, seconds) -> Column:
 
 
 def fmt_int_half_even(c) -> Column:
-    """Python ``f"{x:.0f}"`` (half-even), M17."""
-    return F.format_string("%.0f", F.bround(col_(c), 0))
-
-
-def fmt_percent_1(c) -> Column:
-    """Python ``f"{x:.1%}"`` for values already rounded to 2 places."""
-    return F.concat(F.format_string("%.1f", F.bround(col_(c) * F.lit(100.0), 1)), F.lit("%"))
+    """Python ``f"{x:.0f}"`` (M17): Java's formatter rounds ties up, Python
+    rounds the binary value half-even, so ``rint`` first."""
+    return F.format_string("%.0f", F.rint(col_(c)))
 
 
 def flag(cond: Column) -> Column:

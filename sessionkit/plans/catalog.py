@@ -237,3 +237,116 @@ def q_describe_sessions(spark, sf):
 @register("means_by_outcome")
 def q_means_by_outcome(spark, sf):
     return round_doubles(P.means_by(_basic(spark, sf), S.LABEL, BASIC_FEATURES))
+
+
+# ----------------------------------------------------------------- segmentation
+from ..operators import segments as SG  # noqa: E402
+from ..session import materialize  # noqa: E402
+
+
+def _segment_features(spark, sf):
+    return SG.segment_features(S.segment_sessions(_valid(spark, sf)))
+
+
+@register("segment_features")
+def q_segment_features(spark, sf):
+    f = _segment_features(spark, sf)
+    return round_doubles(f.select(S.SESSION, "duration_seconds", "events_per_minute",
+                                  "cart_to_view_ratio", "purchase_to_cart_ratio",
+                                  "products_per_event"))
+
+
+@register("log_features")
+def q_log_features(spark, sf):
+    f = SG.log_features(_segment_features(spark, sf), SG.LOG_FEATURES)
+    return round_doubles(f.select(S.SESSION, *SG.LOG_FEATURES))
+
+
+@register("impute_median")
+def q_impute_median(spark, sf):
+    f = _segment_features(spark, sf).select(
+        S.SESSION, *[F.col(c).cast("double").alias(c) for c in SG.CLUSTER_FEATURES])
+    return round_doubles(SG.impute_median(materialize(f), SG.CLUSTER_FEATURES))
+
+
+def _matrix(spark, sf):
+    return SG.cluster_matrix(materialize(_segment_features(spark, sf)))
+
+
+@register("robust_scale")
+def q_robust_scale(spark, sf):
+    return round_doubles(_matrix(spark, sf).select(S.SESSION, *SG.zcols()))
+
+
+def _assigned(spark, sf):
+    """K4 on deterministic seed centres: the SQL-checkable clustering."""
+    m = _matrix(spark, sf)
+    z = SG.zcols()
+    return SG.assign_nearest(m, SG.seed_centers(m, SG.N_CLUSTERS, z), z)
+
+
+@register("kmeans_assign")
+def q_kmeans_assign(spark, sf):
+    return _assigned(spark, sf).select(S.SESSION, SG.CLUSTER_COL)
+
+
+def _analysis(spark, sf):
+    return SG.cluster_analysis(_assigned(spark, sf))
+
+
+@register("cluster_analysis")
+def q_cluster_analysis(spark, sf):
+    return round_doubles(_analysis(spark, sf))
+
+
+@register("cluster_thresholds")
+def q_cluster_thresholds(spark, sf):
+    return round_doubles(SG.thresholds_frame(_analysis(spark, sf).persist()))
+
+
+@register("cluster_names")
+def q_cluster_names(spark, sf):
+    return SG.cluster_names(_analysis(spark, sf).persist())
+
+
+@register("named_sessions")
+def q_named_sessions(spark, sf):
+    assigned = _assigned(spark, sf)
+    names = SG.cluster_names(SG.cluster_analysis(assigned).persist())
+    return SG.named_sessions(assigned, names).select(
+        S.SESSION, SG.CLUSTER_COL, "cluster_name", "cluster_description")
+
+
+@register("cluster_summary")
+def q_cluster_summary(spark, sf):
+    assigned = materialize(_assigned(spark, sf))
+    names = SG.cluster_names(SG.cluster_analysis(assigned).persist())
+    return round_doubles(SG.cluster_summary(SG.named_sessions(assigned, names)))
+
+
+@register("cluster_risk")
+def q_cluster_risk(spark, sf):
+    return round_doubles(SG.cluster_risk(_analysis(spark, sf)))
+
+
+@register("cluster_bubbles")
+def q_cluster_bubbles(spark, sf):
+    return round_doubles(SG.cluster_bubbles(_analysis(spark, sf)))
+
+
+@register("cluster_intensity")
+def q_cluster_intensity(spark, sf):
+    return round_doubles(SG.cluster_intensity(_analysis(spark, sf)))
+
+
+@register("cluster_cards")
+def q_cluster_cards(spark, sf):
+    a = _analysis(spark, sf).persist()
+    return round_doubles(SG.cluster_cards(a, SG.cluster_names(a)))
+
+
+@register("kmeans_segments")
+def q_kmeans_segments(spark, sf):
+    m = materialize(_matrix(spark, sf))
+    model, _ = SG.fit_kmeans(m)
+    return SG.kmeans_segments(m, model).select(S.SESSION, SG.CLUSTER_COL)

@@ -288,3 +288,202 @@ SELECT is_abandoned, {r6('avg(event_count)', 'event_count')},
        {r6('avg(products_viewed)', 'products_viewed')},
        {r6('avg(duration_seconds)', 'duration_seconds')}
 FROM basic GROUP BY is_abandoned"""
+
+
+# ------------------------------------------------------------------ segmentation
+CLUSTER_FEATURES = [
+    "duration_seconds", "total_events", "view_count", "cart_count",
+    "unique_products", "unique_brands", "unique_categories",
+    "avg_price", "events_per_minute", "cart_to_view_ratio",
+    "products_per_event", "is_abandoned",
+]
+LOG_FEATURES = ["duration_seconds", "total_events", "view_count", "avg_price"]
+
+
+def sql_rint(e: str) -> str:
+    """numpy ``rint`` (half-even on the binary value)."""
+    return (f"(CASE WHEN ({e}) - floor({e}) < 0.5 THEN floor({e}) "
+            f"WHEN ({e}) - floor({e}) > 0.5 THEN ceil({e}) "
+            f"WHEN floor({e}) % 2 = 0 THEN floor({e}) ELSE ceil({e}) END)")
+
+
+def sql_np_round(e: str, d: int) -> str:
+    s = float(10 ** d)
+    return f"({sql_rint(f'({e}) * {s}')} / {s})"
+
+
+FEAT_CTE = """
+feat AS (
+  SELECT user_session, session_start, session_end, user_id, total_events, view_count,
+         cart_count, purchase_count, unique_products, unique_brands, unique_categories,
+         avg_price, max_price, total_price, is_abandoned, duration_seconds,
+         CASE WHEN duration_seconds IS NULL OR duration_seconds = 0 THEN 0.0
+              ELSE CAST(total_events AS DOUBLE) / (duration_seconds / 60.0) END
+           AS events_per_minute,
+         CAST(cart_count AS DOUBLE) / (CAST(view_count AS DOUBLE) + 1.0) AS cart_to_view_ratio,
+         CAST(purchase_count AS DOUBLE) / (CAST(cart_count AS DOUBLE) + 1.0)
+           AS purchase_to_cart_ratio,
+         CAST(unique_products AS DOUBLE) / (CAST(total_events AS DOUBLE) + 1.0)
+           AS products_per_event
+  FROM segl
+)"""
+
+_med = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in CLUSTER_FEATURES)
+_imp = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS z_{c}" for c in CLUSTER_FEATURES)
+_log = ", ".join((f"ln(1 + z_{c}) AS z_{c}" if c in LOG_FEATURES else f"z_{c}")
+                 for c in CLUSTER_FEATURES)
+_q = ", ".join(f"quantile_cont(z_{c}, 0.25) AS a_{c}, quantile_cont(z_{c}, 0.5) AS b_{c}, "
+               f"quantile_cont(z_{c}, 0.75) AS c_{c}" for c in CLUSTER_FEATURES)
+_sc = ", ".join(f"(z_{c} - b_{c}) / (CASE WHEN c_{c} - a_{c} = 0 THEN 1.0 ELSE c_{c} - a_{c} END)"
+                f" AS z_{c}" for c in CLUSTER_FEATURES)
+_raw = ", ".join(CLUSTER_FEATURES)
+
+MATRIX_CTE = f"""
+med AS (SELECT {_med} FROM feat),
+imp AS (SELECT feat.*, {_imp} FROM feat, med),
+lg AS (SELECT user_session, {_raw}, purchase_count, {_log} FROM imp),
+rq AS (SELECT {_q} FROM lg),
+mx AS (SELECT user_session, {_raw}, purchase_count, {_sc} FROM lg, rq)"""
+
+_dist = " + ".join(f"(mx.z_{c} - cen.z_{c}) * (mx.z_{c} - cen.z_{c})" for c in CLUSTER_FEATURES)
+ASSIGN_CTE = f"""
+cen AS (
+  SELECT row_number() OVER (ORDER BY md5('seg42:' || user_session)) - 1 AS cid, *
+  FROM mx ORDER BY md5('seg42:' || user_session) LIMIT 8
+),
+dist AS (SELECT mx.user_session, cen.cid, {_dist} AS d FROM mx, cen),
+asg AS (
+  SELECT user_session, CAST(cid AS INTEGER) AS behavior_cluster FROM (
+    SELECT user_session, cid,
+           row_number() OVER (PARTITION BY user_session ORDER BY d, cid) AS rn FROM dist)
+  WHERE rn = 1
+),
+clu AS (SELECT mx.*, asg.behavior_cluster FROM mx JOIN asg USING (user_session))"""
+
+_an = {
+    "avg_duration": "avg(duration_seconds)", "std_duration": "stddev_samp(duration_seconds)",
+    "avg_events": "avg(total_events)", "avg_views": "avg(view_count)",
+    "avg_carts": "avg(cart_count)", "avg_purchases": "avg(purchase_count)",
+    "avg_products": "avg(unique_products)", "avg_price": "avg(avg_price)",
+    "abandonment_rate": "avg(is_abandoned)",
+}
+_an_sel = ", ".join(f"{sql_np_round(e, 2)} AS {k}" for k, e in _an.items())
+ANALYSIS_CTE = f"""
+an0 AS (
+  SELECT behavior_cluster, {_an_sel}, count(user_session) AS session_count
+  FROM clu GROUP BY behavior_cluster
+),
+an AS (
+  SELECT *, {sql_np_round('session_count / sum(session_count) OVER () * 100.0', 1)}
+           AS percent_of_total
+  FROM an0
+),
+th AS (
+  SELECT quantile_cont(abandonment_rate, 0.33) AS r33, quantile_cont(abandonment_rate, 0.66) AS r66,
+         quantile_cont(avg_duration, 0.33) AS d33, quantile_cont(avg_duration, 0.66) AS d66,
+         quantile_cont(avg_products, 0.33) AS p33, quantile_cont(avg_products, 0.66) AS p66,
+         quantile_cont(avg_price, 0.33) AS c33, quantile_cont(avg_price, 0.66) AS c66
+  FROM an
+)"""
+
+
+def _lvl(x: str, lo: str, hi: str, labels) -> str:
+    return (f"CASE WHEN {x} > {hi} THEN '{labels[0]}' WHEN {x} > {lo} THEN '{labels[1]}' "
+            f"ELSE '{labels[2]}' END")
+
+
+def _f0(x: str) -> str:
+    return f"printf('%.0f', {sql_rint(x)})"
+
+
+NAMES_CTE = f"""
+nm AS (
+  SELECT behavior_cluster AS cluster_id,
+    {_lvl('abandonment_rate', 'r33', 'r66', ('High-Risk', 'Medium-Risk', 'Low-Risk'))} || ' | ' ||
+    {_lvl('avg_duration', 'd33', 'd66', ('Patient', 'Balanced', 'Quick'))} || ' | ' ||
+    {_lvl('avg_products', 'p33', 'p66', ('Explorer', 'Browser', 'Shopper'))} || ' | ' ||
+    {_lvl('avg_price', 'c33', 'c66', ('Premium', 'Mid-Range', 'Budget'))} AS cluster_name,
+    {_lvl('abandonment_rate', 'r33', 'r66',
+          ('very high abandonment', 'moderate abandonment', 'low abandonment'))}
+      || ' (' || printf('%.1f', abandonment_rate * 100.0) || '%), ' ||
+    {_lvl('avg_duration', 'd33', 'd66', ('long sessions', 'medium sessions', 'short sessions'))}
+      || ' (' || {_f0('avg_duration')} || 's), ' ||
+    'views ' || {_f0('avg_products')} || ' products, ' ||
+    {_lvl('avg_price', 'c33', 'c66', ('premium price', 'mid-range', 'low price'))}
+      || ' ($' || {_f0('avg_price')} || ')' AS cluster_description
+  FROM an, th
+)"""
+
+SEG_BASE = [EVENTS_CTE_SQL, VALID_CTE, SEGMENT_CTE, FEAT_CTE]
+
+ORACLE["segment_features"] = with_ctes(*SEG_BASE) + f"""
+SELECT user_session, {r6('duration_seconds', 'duration_seconds')},
+       {r6('events_per_minute', 'events_per_minute')},
+       {r6('cart_to_view_ratio', 'cart_to_view_ratio')},
+       {r6('purchase_to_cart_ratio', 'purchase_to_cart_ratio')},
+       {r6('products_per_event', 'products_per_event')}
+FROM feat"""
+
+ORACLE["log_features"] = with_ctes(*SEG_BASE) + "\nSELECT user_session, " + ", ".join(
+    r6(f"ln(1 + CAST({c} AS DOUBLE))", c) for c in LOG_FEATURES) + " FROM feat"
+
+ORACLE["impute_median"] = with_ctes(*SEG_BASE) + ",\n" + f"""
+med AS (SELECT {_med} FROM feat)
+SELECT user_session, """ + ", ".join(
+    r6(f"coalesce(CAST({c} AS DOUBLE), m_{c})", c) for c in CLUSTER_FEATURES) + " FROM feat, med"
+
+ORACLE["robust_scale"] = with_ctes(*SEG_BASE, MATRIX_CTE) + "\nSELECT user_session, " + ", ".join(
+    r6(f"z_{c}", f"z_{c}") for c in CLUSTER_FEATURES) + " FROM mx"
+
+SEG_ALL = SEG_BASE + [MATRIX_CTE, ASSIGN_CTE]
+
+ORACLE["kmeans_assign"] = with_ctes(*SEG_ALL) + """
+SELECT user_session, behavior_cluster FROM asg"""
+
+ORACLE["cluster_analysis"] = with_ctes(*SEG_ALL, ANALYSIS_CTE) + """
+SELECT behavior_cluster, """ + ", ".join(r6(k, k) for k in _an) + """,
+       session_count, round(percent_of_total, 6) AS percent_of_total
+FROM an"""
+
+ORACLE["cluster_thresholds"] = with_ctes(*SEG_ALL, ANALYSIS_CTE) + f"""
+SELECT 'abandonment_rate' AS metric, {r6('r33', 'q33')}, {r6('r66', 'q66')} FROM th
+UNION ALL SELECT 'avg_duration', {r6('d33', 'q33')}, {r6('d66', 'q66')} FROM th
+UNION ALL SELECT 'avg_products', {r6('p33', 'q33')}, {r6('p66', 'q66')} FROM th
+UNION ALL SELECT 'avg_price', {r6('c33', 'q33')}, {r6('c66', 'q66')} FROM th"""
+
+ORACLE["cluster_names"] = with_ctes(*SEG_ALL, ANALYSIS_CTE, NAMES_CTE) + """
+SELECT cluster_id, cluster_name, cluster_description FROM nm"""
+
+ORACLE["named_sessions"] = with_ctes(*SEG_ALL, ANALYSIS_CTE, NAMES_CTE) + """
+SELECT a.user_session, a.behavior_cluster, nm.cluster_name, nm.cluster_description
+FROM asg a LEFT JOIN nm ON nm.cluster_id = a.behavior_cluster"""
+
+_raw_an = {k: e for k, e in _an.items()}
+ORACLE["cluster_summary"] = with_ctes(*SEG_ALL, ANALYSIS_CTE, NAMES_CTE) + """
+SELECT c.behavior_cluster, """ + ", ".join(r6(e, k) for k, e in _raw_an.items()) + """,
+       count(c.user_session) AS session_count,
+       max(nm.cluster_name) AS cluster_name, max(nm.cluster_description) AS cluster_description
+FROM clu c LEFT JOIN nm ON nm.cluster_id = c.behavior_cluster
+GROUP BY c.behavior_cluster"""
+
+ORACLE["cluster_risk"] = with_ctes(*SEG_ALL, ANALYSIS_CTE) + f"""
+SELECT behavior_cluster, {r6('abandonment_rate', 'abandonment_rate')},
+       abandonment_rate > avg(abandonment_rate) OVER () AS above_mean
+FROM an ORDER BY abandonment_rate DESC, behavior_cluster"""
+
+ORACLE["cluster_bubbles"] = with_ctes(*SEG_ALL, ANALYSIS_CTE) + f"""
+SELECT behavior_cluster, {r6('avg_duration', 'avg_duration')},
+       {r6('avg_products', 'avg_products')}, {r6('avg_price', 'avg_price')},
+       {r6('abandonment_rate', 'abandonment_rate')},
+       {r6('session_count / max(session_count) OVER () * 1000.0', 'bubble_size')}
+FROM an"""
+
+ORACLE["cluster_intensity"] = with_ctes(*SEG_ALL, ANALYSIS_CTE) + f"""
+SELECT behavior_cluster, 'avg_views' AS measure, {r6('avg_views', 'value')} FROM an
+UNION ALL SELECT behavior_cluster, 'avg_carts', {r6('avg_carts', 'value')} FROM an
+UNION ALL SELECT behavior_cluster, 'avg_purchases', {r6('avg_purchases', 'value')} FROM an"""
+
+ORACLE["cluster_cards"] = with_ctes(*SEG_ALL, ANALYSIS_CTE, NAMES_CTE) + """
+SELECT an.behavior_cluster, nm.cluster_name, round(an.percent_of_total, 6) AS percent_of_total,
+       substr(nm.cluster_description, 1, 40) || '...' AS card_text
+FROM an JOIN nm ON nm.cluster_id = an.behavior_cluster"""

@@ -72,3 +72,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
+
+
+def materialize(df):
+    """Cut a DataFrame's lineage with a reliable checkpoint in the shared
+    checkpoint folder (never ``localCheckpoint``): later passes and a lost
+    executor re-read the written files instead of replaying the plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
