@@ -350,3 +350,155 @@ def q_kmeans_segments(spark, sf):
     m = materialize(_matrix(spark, sf))
     model, _ = SG.fit_kmeans(m)
     return SG.kmeans_segments(m, model).select(S.SESSION, SG.CLUSTER_COL)
+
+
+# ----------------------------------------------------------------- machine learning
+from . import models as M  # noqa: E402
+from . import prep as PR  # noqa: E402
+from . import report as RP  # noqa: E402
+from . import tuning as TU  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+SPLIT_OUT = ["source_month", S.SESSION, S.LABEL, "split"]
+
+
+@register("split_70_30")
+def q_split_70_30(spark, sf):
+    return PR.split_70_30(_model_ready(spark, sf)).select(*SPLIT_OUT)
+
+
+@register("split_70_15_15")
+def q_split_70_15_15(spark, sf):
+    return PR.split_70_15_15(_model_ready(spark, sf)).select(*SPLIT_OUT)
+
+
+@register("split_shapes")
+def q_split_shapes(spark, sf):
+    s = PR.split_70_15_15(_model_ready(spark, sf))
+    return P.split_shapes(s.select(*PR.EDA_FEATURES, S.LABEL, "split"), "split", S.LABEL)
+
+
+def _train_test(spark, sf):
+    s = materialize(PR.split_70_30(_model_ready(spark, sf)))
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf):
+    train, _ = _train_test(spark, sf)
+    scaled = PR.fit_standard_scaler(train, PR.MODEL_FEATURES).transform(train)
+    return round_doubles(scaled.select("source_month", S.SESSION,
+                                       *PR.scaled_names(PR.MODEL_FEATURES)))
+
+
+@register("class_weights")
+def q_class_weights(spark, sf):
+    train, _ = _train_test(spark, sf)
+    rows = [(mode, int(c), float(w)) for mode in ("balanced", "unbalance")
+            for c, w in PR.class_weights(train, S.LABEL, mode).items()]
+    counts = train.groupBy(S.LABEL).count()
+    # weights are attached to the per-class counts they were derived from
+    w = spark.createDataFrame(rows, f"mode string, {S.LABEL} int, weight double")
+    return round_doubles(w.join(counts, S.LABEL, "left").select("mode", S.LABEL, "weight", "count"))
+
+
+def _rule_predictions(spark, sf):
+    """A fixed rule (predict abandoned when the session has a cart) on the
+    test split: the SQL-checkable predictor for the report operators."""
+    _, test = _train_test(spark, sf)
+    return test.withColumn("prediction", (F.col("num_carts") > 0).cast("int"))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf):
+    return round_doubles(RP.classification_report(_rule_predictions(spark, sf)))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return RP.confusion_matrix(_rule_predictions(spark, sf))
+
+
+@register("metrics_long")
+def q_metrics_long(spark, sf):
+    return round_doubles(RP.metrics_long(_rule_predictions(spark, sf), "CartRule"))
+
+
+def _prepared(spark, sf):
+    return M.Prepared(_model_ready(spark, sf))
+
+
+@register("resume_pending")
+def q_resume_pending(spark, sf):
+    data = _prepared(spark, sf)
+    log = scratch_path(spark, "runlog")
+    M.bakeoff(spark, data, log, models=["LogisticRegression"])
+    return RP.pending_models(spark, M.DEFAULT_MODELS, log)
+
+
+def _pred_out(pred):
+    return pred.select("source_month", S.SESSION, S.LABEL,
+                       F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("model_lr")
+def q_model_lr(spark, sf):
+    return _pred_out(M.fit_predict(_prepared(spark, sf), "LogisticRegression")[1])
+
+
+@register("model_rf")
+def q_model_rf(spark, sf):
+    return _pred_out(M.fit_predict(_prepared(spark, sf), "RandomForest")[1])
+
+
+@register("model_gbt")
+def q_model_gbt(spark, sf):
+    return _pred_out(M.fit_predict(_prepared(spark, sf), "XGBoost")[1])
+
+
+@register("model_gbt_leafcapped")
+def q_model_gbt_leafcapped(spark, sf):
+    return _pred_out(M.fit_predict(_prepared(spark, sf), "LightGBM")[1])
+
+
+@register("bakeoff")
+def q_bakeoff(spark, sf):
+    data = _prepared(spark, sf)
+    log = M.bakeoff(spark, data, scratch_path(spark, "runlog"))
+    top = M.top_models(log, 2)
+    return log.withColumn("selected_for_tuning", F.col("model_name").isin(top))
+
+
+@register("grid_search")
+def q_grid_search(spark, sf):
+    res = TU.grid_search(_prepared(spark, sf), "LogisticRegression")
+    return TU.scores_frame(spark, res)
+
+
+@register("random_search")
+def q_random_search(spark, sf):
+    res = TU.random_search(_prepared(spark, sf), "RandomForest", n_iter=10)
+    return TU.scores_frame(spark, res)
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf):
+    data = _prepared(spark, sf)
+    log = scratch_path(spark, "runlog")
+    M.bakeoff(spark, data, log, models=["LogisticRegression"], tune_top=1)
+    return RP.leaderboard(spark, log)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    data = _prepared(spark, sf)
+    model = M.fit_champion(data)
+    return M.feature_importance(model, data.features, spark)
+
+
+@register("champion_score")
+def q_champion_score(spark, sf):
+    data = _prepared(spark, sf)
+    model = M.save_and_reload(M.fit_champion(data), scratch_path(spark, "champion"))
+    raw_test = data.test.drop("features", *data.scaled)
+    return _pred_out(model.transform(raw_test))

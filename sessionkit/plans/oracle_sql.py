@@ -487,3 +487,108 @@ ORACLE["cluster_cards"] = with_ctes(*SEG_ALL, ANALYSIS_CTE, NAMES_CTE) + """
 SELECT an.behavior_cluster, nm.cluster_name, round(an.percent_of_total, 6) AS percent_of_total,
        substr(nm.cluster_description, 1, 40) || '...' AS card_text
 FROM an JOIN nm ON nm.cluster_id = an.behavior_cluster"""
+
+
+# ------------------------------------------------------------------ machine learning
+MODEL_FEATURES = ["duration_seconds", "products_viewed", "avg_price", "brands_viewed",
+                  "categories_viewed", "num_carts", "num_views", "is_returning_user"]
+
+
+def sql_key_hash(salt: str) -> str:
+    return (f"CAST(('x' || substr(md5('{salt}:' || source_month || ':' || user_session), 1, 8))"
+            f"::BIT AS BIGINT)")
+
+
+SPLIT_CTE = f"""
+hs AS (SELECT pr.*, {sql_key_hash('42')} AS h FROM pr),
+thr AS (SELECT is_abandoned AS lbl, quantile_disc(h, 0.7) AS t70, quantile_disc(h, 0.85) AS t85
+        FROM hs GROUP BY is_abandoned),
+sp AS (
+  SELECT hs.*, CASE WHEN h <= t70 THEN 'train' ELSE 'test' END AS split,
+         CASE WHEN h <= t70 THEN 'train' WHEN h <= t85 THEN 'val' ELSE 'test' END AS split3
+  FROM hs JOIN thr ON thr.lbl = hs.is_abandoned
+)"""
+
+ML_BASE = [EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE, RETURNING_CTE, SPLIT_CTE]
+
+ORACLE["split_70_30"] = with_ctes(*ML_BASE) + """
+SELECT source_month, user_session, is_abandoned, split FROM sp"""
+
+ORACLE["split_70_15_15"] = with_ctes(*ML_BASE) + """
+SELECT source_month, user_session, is_abandoned, split3 AS split FROM sp"""
+
+ORACLE["split_shapes"] = with_ctes(*ML_BASE) + """
+SELECT split3 AS split, count(*) AS rows, 8 AS columns FROM sp GROUP BY split3"""
+
+_mstats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in MODEL_FEATURES)
+_zsel = ", ".join(
+    r6(f"(CAST({c} AS DOUBLE) - m_{c}) / (CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1.0 "
+       f"ELSE s_{c} END)", f"{c}_z") for c in MODEL_FEATURES)
+ORACLE["standard_scale"] = with_ctes(*ML_BASE) + f""",
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+ms AS (SELECT {_mstats} FROM tr)
+SELECT source_month, user_session, {_zsel} FROM tr, ms"""
+
+ORACLE["class_weights"] = with_ctes(*ML_BASE) + """,
+cnt AS (SELECT is_abandoned, count(*) AS count FROM sp WHERE split = 'train' GROUP BY 1),
+tot AS (SELECT sum(count) AS n, count(*) AS k,
+               max(count) FILTER (WHERE is_abandoned = 0) AS neg,
+               max(count) FILTER (WHERE is_abandoned = 1) AS pos FROM cnt)
+SELECT 'balanced' AS mode, is_abandoned, round(n / (k * count), 6) AS weight, count
+FROM cnt, tot
+UNION ALL
+SELECT 'unbalance', is_abandoned,
+       round(CASE WHEN is_abandoned = 1 THEN CAST(neg AS DOUBLE) / pos ELSE 1.0 END, 6), count
+FROM cnt, tot"""
+
+CONF_CTE = """
+rp AS (SELECT is_abandoned, CAST(num_carts > 0 AS INTEGER) AS prediction
+       FROM sp WHERE split = 'test'),
+cm AS (
+  SELECT count(*) FILTER (WHERE is_abandoned = 0 AND prediction = 0) AS tn,
+         count(*) FILTER (WHERE is_abandoned = 0 AND prediction = 1) AS fp,
+         count(*) FILTER (WHERE is_abandoned = 1 AND prediction = 0) AS fn,
+         count(*) FILTER (WHERE is_abandoned = 1 AND prediction = 1) AS tp
+  FROM rp
+),
+mt AS (
+  SELECT *, tn + fp + fn + tp AS n, tp + fn AS s1, tn + fp AS s0,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS p1,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS r1,
+         coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0) AS p0,
+         coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0.0) AS r0
+  FROM cm
+),
+mf AS (
+  SELECT *, coalesce(2.0 * p1 * r1 / nullif(p1 + r1, 0), 0.0) AS f1_1,
+            coalesce(2.0 * p0 * r0 / nullif(p0 + r0, 0), 0.0) AS f1_0,
+            CAST(tp + tn AS DOUBLE) / n AS acc
+  FROM mt
+)"""
+
+ORACLE["confusion_matrix"] = with_ctes(*ML_BASE, CONF_CTE) + """
+SELECT 0 AS actual, 0 AS predicted, tn AS count FROM cm
+UNION ALL SELECT 0, 1, fp FROM cm
+UNION ALL SELECT 1, 0, fn FROM cm
+UNION ALL SELECT 1, 1, tp FROM cm"""
+
+ORACLE["classification_report"] = with_ctes(*ML_BASE, CONF_CTE) + """
+SELECT 'Not Abandoned (0)' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall,
+       round(f1_0, 6) AS f1_score, s0 AS support FROM mf
+UNION ALL SELECT 'Abandoned (1)', round(p1, 6), round(r1, 6), round(f1_1, 6), s1 FROM mf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(acc, 6), n FROM mf
+UNION ALL SELECT 'macro avg', round((p1 + p0) / 2, 6), round((r1 + r0) / 2, 6),
+                 round((f1_1 + f1_0) / 2, 6), n FROM mf
+UNION ALL SELECT 'weighted avg', round((p1 * s1 + p0 * s0) / n, 6),
+                 round((r1 * s1 + r0 * s0) / n, 6), round((f1_1 * s1 + f1_0 * s0) / n, 6), n
+FROM mf"""
+
+ORACLE["metrics_long"] = with_ctes(*ML_BASE, CONF_CTE) + """
+SELECT 'CartRule' AS model, 'Precision' AS metric, round(p1, 6) AS score FROM mf
+UNION ALL SELECT 'CartRule', 'Recall', round(r1, 6) FROM mf
+UNION ALL SELECT 'CartRule', 'F1-Score', round(f1_1, 6) FROM mf"""
+
+# Pending after a logged LogisticRegression run: the remaining defaults in order.
+ORACLE["resume_pending"] = """
+SELECT model_name, run_order FROM (VALUES ('RandomForest', 1), ('XGBoost', 2), ('LightGBM', 3))
+  AS t(model_name, run_order)"""
