@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators import sessions as S
 from ..sources.adapter import load_events
+from ..sources.schema import EVENT_COLUMNS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -502,3 +503,70 @@ def q_champion_score(spark, sf):
     model = M.save_and_reload(M.fit_champion(data), scratch_path(spark, "champion"))
     raw_test = data.test.drop("features", *data.scaled)
     return _pred_out(model.transform(raw_test))
+
+
+# ----------------------------------------------------------------- sources and sinks
+from ..sources import io as IO  # noqa: E402
+from ..streaming.ingest import ingest_csv  # noqa: E402
+
+
+@register("csv_scan")
+def q_csv_scan(spark, sf):
+    """Events written as CSV, read back with the declared schema."""
+    path = scratch_path(spark, "events-csv")
+    IO.write_csv(load_events(spark, sf), path)
+    return _events_out(IO.read_events_csv(spark, path))
+
+
+@register("csv_ingest_stream")
+def q_csv_ingest_stream(spark, sf):
+    """S1 + S4 incrementally: CSV drops -> partitioned Parquet via a file
+    stream with an available-now trigger and a checkpoint."""
+    src = scratch_path(spark, "events-csv-drop")
+    IO.write_csv(load_events(spark, sf), src)
+    table = scratch_path(spark, "events-ingested")
+    ingest_csv(spark, src, table, scratch_path(spark, "ingest-ckpt"))
+    return _events_out(IO.read_parquet(spark, table).select(*EVENT_COLUMNS))
+
+
+@register("parquet_scan")
+def q_parquet_scan(spark, sf):
+    """S3: one monthly file of a month-partitioned table (partition pruning)."""
+    path = scratch_path(spark, "events-monthly")
+    IO.write_parquet(load_events(spark, sf), path, ["source_month"])
+    return _events_out(IO.read_parquet(spark, path, months=["A"]).select(*EVENT_COLUMNS))
+
+
+@register("parquet_roundtrip")
+def q_parquet_roundtrip(spark, sf):
+    """Snappy Parquet sink and scan of the whole event table."""
+    path = scratch_path(spark, "events-parquet")
+    IO.write_parquet(load_events(spark, sf), path)
+    return _events_out(IO.read_parquet(spark, path))
+
+
+@register("csv_report_roundtrip")
+def q_csv_report_roundtrip(spark, sf):
+    """A small report (the event funnel) as one CSV file, read back."""
+    path = scratch_path(spark, "funnel-csv")
+    RP.write_csv_report(QUERIES["event_funnel"](spark, sf), path)
+    return spark.read.schema("event_type string, count bigint").option("header", True).csv(path)
+
+
+@register("narrow_types")
+def q_narrow_types(spark, sf):
+    """The event table with every numeric column narrowed."""
+    narrowed, _ = IO.narrow_types(load_events(spark, sf))
+    return _events_out(narrowed)
+
+
+@register("narrow_report")
+def q_narrow_report(spark, sf):
+    """Old -> new type per numeric column."""
+    return IO.narrow_report(load_events(spark, sf))
+
+
+@register("low_cardinality")
+def q_low_cardinality(spark, sf):
+    """Distinct / rows per string column, below 0.5 -> category."""
+    return round_doubles(IO.low_cardinality(load_events(spark, sf)))

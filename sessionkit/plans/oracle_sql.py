@@ -592,3 +592,41 @@ UNION ALL SELECT 'CartRule', 'F1-Score', round(f1_1, 6) FROM mf"""
 ORACLE["resume_pending"] = """
 SELECT model_name, run_order FROM (VALUES ('RandomForest', 1), ('XGBoost', 2), ('LightGBM', 3))
   AS t(model_name, run_order)"""
+
+
+# ------------------------------------------------------------------ sources and sinks
+ORACLE["csv_scan"] = with_ctes(EVENTS_CTE_SQL) + f"\nSELECT {EVENT_COLS_TEXT} FROM ev"
+ORACLE["csv_ingest_stream"] = ORACLE["csv_scan"]
+ORACLE["parquet_roundtrip"] = ORACLE["csv_scan"]
+ORACLE["parquet_scan"] = ORACLE["csv_scan"] + " WHERE source_month = 'A'"
+ORACLE["csv_report_roundtrip"] = ORACLE["event_funnel"]
+
+
+def _int_type(c: str) -> str:
+    return (f"CASE WHEN min({c}) IS NULL THEN 'bigint' "
+            f"WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint' "
+            f"WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint' "
+            f"WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' "
+            f"ELSE 'bigint' END")
+
+
+ORACLE["narrow_report"] = with_ctes(EVENTS_CTE_SQL) + ",\n" + f"""
+dec AS (
+  SELECT {_int_type('event_id')} AS t_event_id, {_int_type('product_id')} AS t_product_id,
+         CASE WHEN max(abs(price - CAST(CAST(price AS FLOAT) AS DOUBLE))) <= 5e-4
+              THEN 'float' ELSE 'double' END AS t_price,
+         {_int_type('user_id')} AS t_user_id
+  FROM ev
+)
+SELECT 'event_id' AS column_name, 'bigint' AS old_type, t_event_id AS new_type,
+       t_event_id <> 'bigint' AS narrowed FROM dec
+UNION ALL SELECT 'product_id', 'bigint', t_product_id, t_product_id <> 'bigint' FROM dec
+UNION ALL SELECT 'price', 'double', t_price, t_price <> 'double' FROM dec
+UNION ALL SELECT 'user_id', 'bigint', t_user_id, t_user_id <> 'bigint' FROM dec"""
+
+_STRING_COLS = ["source_month", "event_type", "category_code", "brand", "user_session"]
+ORACLE["low_cardinality"] = with_ctes(EVENTS_CTE_SQL) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, count(*) AS n_rows, "
+    f"round(count(DISTINCT {c}) / count(*), 6) AS ratio, "
+    f"count(DISTINCT {c}) / count(*) < 0.5 AS is_low_cardinality FROM ev"
+    for c in _STRING_COLS)
