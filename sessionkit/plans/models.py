@@ -15,9 +15,10 @@ libraries):
 * LightGBM (leaf-wise: 100 rounds, 31 leaves, rate 0.1) -> ``GBTClassifier``
   with depth ceil(log2(num_leaves)) -- an approximation of the leaf cap.
 
-Training data is cut from its lineage (checkpoint) and cached once; tree
-learners checkpoint their node-id caches every 10 iterations into the shared
-checkpoint folder so a lost executor does not replay the boosting history.
+Training data is cut from its lineage (checkpoint) and cached once; boosted
+trees checkpoint their running predictions every 10 iterations into the
+shared checkpoint folder (and deep trees their node-id cache), so a lost
+executor does not replay the boosting history.
 """
 
 from __future__ import annotations
@@ -59,6 +60,10 @@ def depth_of(max_depth) -> int:
     return MAX_SPARK_DEPTH if max_depth is None else min(int(max_depth), MAX_SPARK_DEPTH)
 
 
+def _deep(max_depth) -> bool:
+    return depth_of(max_depth) > 10
+
+
 def leaves_to_depth(num_leaves: int) -> int:
     return max(1, math.ceil(math.log2(num_leaves)))
 
@@ -74,24 +79,28 @@ def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0
                                   elasticNetParam=0.0, standardization=False, tol=1e-4,
                                   family="binomial", weightCol=wc, **common)
     ensure_checkpoint_dir(SparkSession.getActiveSession())
-    tree = {"maxBins": MAX_BINS, "cacheNodeIds": True, "checkpointInterval": 10,
-            "seed": SEED, **common}
+    # Node-id caching pays off for deep trees only (it is an extra cached RDD
+    # rewritten every iteration); shallow boosted trees ship the model instead.
+    tree = {"maxBins": MAX_BINS, "checkpointInterval": 10, "seed": SEED, **common}
     if name == "RandomForest":
         wc = WEIGHT_COLS.get(p.get("class_weight"), "")
         return RandomForestClassifier(numTrees=int(p["n_estimators"]),
                                       maxDepth=depth_of(p.get("max_depth")),
                                       minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                       featureSubsetStrategy=str(p.get("max_features", "sqrt")),
-                                      weightCol=wc, **tree)
+                                      weightCol=wc, cacheNodeIds=_deep(p.get("max_depth")),
+                                      **tree)
     if name in ("XGBoost", "Champion"):
         return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
                              maxDepth=depth_of(p["max_depth"]),
                              subsamplingRate=float(p.get("subsample", 1.0)),
-                             featureSubsetStrategy=str(p.get("colsample", "all")), **tree)
+                             featureSubsetStrategy=str(p.get("colsample", "all")),
+                             cacheNodeIds=_deep(p["max_depth"]), **tree)
     if name == "LightGBM":
         wc = WEIGHT_COLS["unbalance"] if p.get("is_unbalance") else ""
         return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
-                             maxDepth=leaves_to_depth(int(p["num_leaves"])), weightCol=wc, **tree)
+                             maxDepth=leaves_to_depth(int(p["num_leaves"])), weightCol=wc,
+                             cacheNodeIds=False, **tree)
     raise ValueError(f"unknown model {name}")
 
 
