@@ -255,12 +255,19 @@ def model_ready(sessions: DataFrame, index: bool = True) -> DataFrame:
     return sessions.select(*keys, *MODEL_READY_FEATURES, LABEL)
 
 
-def build_model_ready(events: DataFrame, returning_method: str = "join") -> DataFrame:
+def build_model_ready(events: DataFrame, returning_method: str = "join",
+                      cut: bool = True) -> DataFrame:
     """Path 1 (PROC main): clean -> per-month sessions -> union -> returning
     flag -> model-ready projection.
 
     Both months are processed in one aggregate keyed by ``source_month`` (M9),
     which is the same as running the month files one by one and unioning.
+    With ``cut`` the session table is written to the shared checkpoint folder
+    first: the per-user minimum and the join then read that (much smaller)
+    table instead of scanning and aggregating the events a second time.
     """
     sessions = enriched_sessions(valid_events(events), by_month=True)
+    if cut:
+        from ..session import materialize
+        sessions = materialize(sessions)
     return model_ready(returning_users(sessions, method=returning_method))

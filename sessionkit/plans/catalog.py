@@ -35,13 +35,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _valid(spark, sf):
-    return S.valid_events(load_events(spark, sf))
+    return S.valid_events(load_events(spark, sf, valid_only=True))
 
 
 # ----------------------------------------------------------------- sessions
 @register("model_ready")
 def q_model_ready(spark, sf):
-    return round_doubles(S.build_model_ready(load_events(spark, sf)))
+    return round_doubles(S.build_model_ready(load_events(spark, sf, valid_only=True)))
 
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -215,7 +215,7 @@ def q_event_funnel(spark, sf):
 
 
 def _model_ready(spark, sf):
-    return S.build_model_ready(load_events(spark, sf))
+    return S.build_model_ready(load_events(spark, sf, valid_only=True))
 
 
 @register("class_balance")
@@ -425,8 +425,25 @@ def q_metrics_long(spark, sf):
     return round_doubles(RP.metrics_long(_rule_predictions(spark, sf), "CartRule"))
 
 
+_SHARED: dict = {}
+
+
+def _shared(spark, sf, what, build):
+    """Per-application memo: the split/scaled training data and the trained
+    champion are built once and shared by the model keys, as the reference
+    prepares its data once per script and trains every model on it."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
 def _prepared(spark, sf):
-    return M.Prepared(_model_ready(spark, sf))
+    return _shared(spark, sf, "prepared", lambda: M.Prepared(_model_ready(spark, sf)))
+
+
+def _champion(spark, sf):
+    return _shared(spark, sf, "champion", lambda: M.fit_champion(_prepared(spark, sf)))
 
 
 @register("resume_pending")
@@ -493,14 +510,13 @@ def q_leaderboard(spark, sf):
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     data = _prepared(spark, sf)
-    model = M.fit_champion(data)
-    return M.feature_importance(model, data.features, spark)
+    return M.feature_importance(_champion(spark, sf), data.features, spark)
 
 
 @register("champion_score")
 def q_champion_score(spark, sf):
     data = _prepared(spark, sf)
-    model = M.save_and_reload(M.fit_champion(data), scratch_path(spark, "champion"))
+    model = M.save_and_reload(_champion(spark, sf), scratch_path(spark, "champion"))
     raw_test = data.test.drop("features", *data.scaled)
     return _pred_out(model.transform(raw_test))
 

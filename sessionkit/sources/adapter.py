@@ -61,10 +61,18 @@ def adapt_events(events: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adapted event table for a driver scale-factor folder."""
-    return adapt_events(load_table(spark, sf_dir, "events"),
-                        load_table(spark, sf_dir, "part"))
+def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False) -> DataFrame:
+    """Adapted event table for a driver scale-factor folder.
+
+    ``valid_only=True`` adds the price rule on the raw columns (``error``
+    events carry price 0, the others their ``value``), which Parquet can
+    take as pushed filters; ``valid_events`` still applies on top.
+    """
+    raw = load_table(spark, sf_dir, "events")
+    if valid_only:
+        raw = raw.filter((F.col("event_type") != "error") & (F.col("value") > 0)
+                         & ~F.isnan("value"))
+    return adapt_events(raw, load_table(spark, sf_dir, "part"))
 
 
 # DuckDB form of the same adapter, used as a CTE by every oracle query.
