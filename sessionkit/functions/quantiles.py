@@ -38,14 +38,16 @@ def _lerp(a: float, b: float, t: float) -> float:
 
 
 def _select(df: DataFrame, targets: list[tuple[str, int]], depth: int = 0,
-            accuracy: int = ACCURACY, local_limit: int = LOCAL_LIMIT) -> dict:
+            accuracy: int = ACCURACY, local_limit: int = LOCAL_LIMIT,
+            counts: dict | None = None) -> dict:
     """Return {(col, rank): value} for 0-based ranks over the non-null values
     of each column of ``df`` (which must hold only non-null rows per column,
     see ``order_statistics``)."""
     if not targets:
         return {}
     cols = sorted({c for c, _ in targets})
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    if counts is None:
+        counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
     result: dict = {}
     # Brackets from the sketch: probabilities around each rank.
     pending = []
@@ -176,7 +178,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 lo, hi = math.floor(h), math.ceil(h)
                 plan[c].append((lo, hi, h - lo))
                 targets.update({(c, lo), (c, hi)})
-    stats = order_statistics(clean, sorted(targets), **kw) if targets else {}
+    stats = (order_statistics(clean, sorted(targets), counts=n_by_col, **kw)
+             if targets else {})
     out: dict[str, list] = {}
     for c in cols:
         vals = []

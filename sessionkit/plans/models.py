@@ -122,7 +122,13 @@ class Prepared:
         train = prep.add_folds(train, label, n_folds)
         for mode, col in WEIGHT_COLS.items():
             train = prep.with_weights(train, prep.class_weights(train, label, mode), label, col)
-        self.train = self.assembler.transform(self.scaler.transform(train)).persist()
+        train = self.assembler.transform(self.scaler.transform(train))
+        # Tree learners run one task per partition per pass: spread a small
+        # training set over at least the cluster's cores (a big one already is).
+        par = train.sparkSession.sparkContext.defaultParallelism
+        if train.rdd.getNumPartitions() < par:
+            train = train.repartition(par)
+        self.train = train.persist()
         self.test = self.assembler.transform(
             self.scaler.transform(split.filter(F.col("split") == "test"))).persist()
         self.n_train = self.train.count()

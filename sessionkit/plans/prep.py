@@ -53,19 +53,26 @@ def stratified_assign(df: DataFrame, label: str, cum_probs: list[float], names:
                       keys: list[str] | None = None, salt: str = str(SEED),
                       out: str = "split") -> DataFrame:
     """Assign each row to ``names[i]`` where its hash falls in the i-th
-    per-class quantile band (``len(names) == len(cum_probs) + 1``)."""
+    per-class quantile band (``len(names) == len(cum_probs) + 1``).
+
+    The hash of each class is a separate column (null outside the class), so
+    the thresholds of all classes come from the same batched selection passes.
+    """
     keys = keys or [k for k in KEYS if k in df.columns]
     h = df.withColumn("_h", key_hash(keys, salt))
+    strata = _strata(df, label)
+    conds = [(F.col(label) == F.lit(c)) if c is not None else F.col(label).isNull()
+             for c in strata]
+    per_class = h.select(*[F.when(cond, F.col("_h")).alias(f"_h{i}")
+                           for i, cond in enumerate(conds)])
+    th = exact_quantiles(per_class, [f"_h{i}" for i in range(len(strata))], cum_probs,
+                         discrete=True)
     cases = None
-    for cls in _strata(df, label):
-        sub = h.filter(F.col(label) == F.lit(cls)) if cls is not None else \
-            h.filter(F.col(label).isNull())
-        th = exact_quantiles(sub, ["_h"], cum_probs, discrete=True)["_h"]
-        in_cls = (F.col(label) == F.lit(cls)) if cls is not None else F.col(label).isNull()
+    for i, cond in enumerate(conds):
         band = F.lit(names[-1])
-        for t, name in reversed(list(zip(th, names[:-1]))):
+        for t, name in reversed(list(zip(th[f"_h{i}"], names[:-1]))):
             band = F.when(F.col("_h") <= F.lit(int(t)), F.lit(name)).otherwise(band)
-        cases = F.when(in_cls, band) if cases is None else cases.when(in_cls, band)
+        cases = F.when(cond, band) if cases is None else cases.when(cond, band)
     return h.withColumn(out, cases).drop("_h")
 
 
