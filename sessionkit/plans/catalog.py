@@ -586,3 +586,12 @@ def q_narrow_report(spark, sf):
 def q_low_cardinality(spark, sf):
     """Distinct / rows per string column, below 0.5 -> category."""
     return round_doubles(IO.low_cardinality(load_events(spark, sf)))
+
+
+@register("notebook_models")
+def q_notebook_models(spark, sf):
+    """L8b/L8c (notebook form): enriched per-session features (A4) with the
+    notebook's 8 features, 70/15/15 split, default LR and the tuned RF / GBT."""
+    eda = S.enriched_sessions(_valid(spark, sf), by_month=False)
+    data = M.Prepared(eda, features=PR.EDA_FEATURES, three_way=True)
+    return round_doubles(M.notebook_models(spark, data))

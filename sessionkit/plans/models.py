@@ -52,6 +52,14 @@ DEFAULT_PARAMS = {
 }
 # The champion's parameters.
 CHAMPION_PARAMS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 10}
+# The notebook's tuned models (min_samples_split=2 is the
+# default split rule and has no MLlib parameter).
+EDA_TUNED = {
+    "RandomForest": {"n_estimators": 300, "max_depth": None, "min_samples_leaf": 4,
+                     "max_features": "sqrt"},
+    "XGBoost": {"n_estimators": 300, "max_depth": 5, "learning_rate": 0.2,
+                "subsample": 0.8, "colsample": 0.9},
+}
 
 WEIGHT_COLS = {"balanced": "w_balanced", "unbalance": "w_unbalance"}
 
@@ -110,10 +118,11 @@ class Prepared:
     and fold columns; both sides checkpointed and cached."""
 
     def __init__(self, sessions: DataFrame, features: list[str] | None = None,
-                 label: str = prep.LABEL, n_folds: int = 3):
+                 label: str = prep.LABEL, n_folds: int = 3, three_way: bool = False):
         self.features = features or prep.MODEL_FEATURES
         self.label = label
-        split = prep.split_70_30(sessions, label)
+        split = (prep.split_70_15_15(sessions, label) if three_way
+                 else prep.split_70_30(sessions, label))
         split = materialize(split)
         train = split.filter(F.col("split") == "train")
         self.scaler = prep.fit_standard_scaler(train, self.features)
@@ -131,11 +140,15 @@ class Prepared:
         self.train = train.persist()
         self.test = self.assembler.transform(
             self.scaler.transform(split.filter(F.col("split") == "test"))).persist()
+        self.val = (self.assembler.transform(
+            self.scaler.transform(split.filter(F.col("split") == "val"))).persist()
+            if three_way else None)
         self.n_train = self.train.count()
 
     def unpersist(self):
-        self.train.unpersist()
-        self.test.unpersist()
+        for df in (self.train, self.test, self.val):
+            if df is not None:
+                df.unpersist()
 
 
 def fit_predict(data: Prepared, name: str, params: dict | None = None):
@@ -186,6 +199,26 @@ def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
     return report.read_run_log(spark, log_path)
 
 
+def notebook_models(spark: SparkSession, data: Prepared) -> DataFrame:
+    """The notebook's comparison on the 70/15/15 split: default logistic
+    regression, the tuned random forest and the tuned boosted trees, each
+    scored on the validation and the test rows."""
+    runs = [("LogisticRegression", "LogisticRegression", None),
+            ("RandomForest (Tuned)", "RandomForest", EDA_TUNED["RandomForest"]),
+            ("XGBoost (Tuned)", "XGBoost", EDA_TUNED["XGBoost"])]
+    out = None
+    for label, name, params in runs:
+        clf = make_classifier(name, params, n_weight=float(data.n_train), label=data.label)
+        model = clf.fit(data.train)
+        for split_name, part in (("val", data.val), ("test", data.test)):
+            m = report.metrics_frame(model.transform(part), data.label).select(
+                F.lit(label).alias("model"), F.lit(split_name).alias("split"),
+                "abandoned_precision", "abandoned_recall", "abandoned_f1", "accuracy",
+                "weighted_avg_f1")
+            out = m if out is None else out.unionByName(m)
+    return out
+
+
 # --------------------------------------------------------------------------- L11/L12
 def fit_champion(data: Prepared, params: dict | None = None) -> PipelineModel:
     """The champion as ONE saved pipeline: scaler -> assembler -> GBT
