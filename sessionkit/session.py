@@ -74,9 +74,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def materialize(df):
-    """Cut a DataFrame's lineage with a reliable checkpoint in the shared
-    checkpoint folder (never ``localCheckpoint``): later passes and a lost
-    executor re-read the written files instead of replaying the plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut a DataFrame's lineage by writing it as a Parquet table in the
+    shared checkpoint folder and reading it back (never ``localCheckpoint``).
+
+    Later passes and a lost executor re-read the written files instead of
+    replaying the plan; the read-back carries the table's real size (better
+    broadcast / AQE decisions than an estimated RDD checkpoint) and is split
+    by ``spark.sql.files.maxPartitionBytes``, so its partitioning follows the
+    data volume.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return spark.read.parquet(path)
