@@ -432,7 +432,7 @@ def _shared(spark, sf, what, build):
     """Per-application memo: the split/scaled training data and the trained
     champion are built once and shared by the model keys, as the reference
     prepares its data once per script and trains every model on it."""
-    key = (spark.sparkContext.applicationId, sf, what)
+    key = (spark.conf.get("spark.app.id", str(id(spark))), sf, what)
     if key not in _SHARED:
         _SHARED[key] = build()
     return _SHARED[key]
