@@ -1,0 +1 @@
+"""Column expressions and exact distributed quantiles."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: session roll-ups, profiling, segmentation."""

@@ -1,0 +1 @@
+"""Declared schemas, the driver-table adapter, scans and sinks."""

@@ -1,0 +1 @@
+"""Incremental ingestion with Structured Streaming (available-now file streams)."""
