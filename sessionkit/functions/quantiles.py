@@ -115,29 +115,39 @@ def _select(df: DataFrame, targets: list[tuple[str, int]], depth: int = 0,
                                          accuracy, local_limit)[(c, r - lt)]
                 continue
         local.setdefault(c, []).append((r, lo, hi, lt))
-    for c, items in local.items():
-        brs = sorted({(lo, hi) for _, lo, hi, _ in items}, key=repr)
-        tags = []
-        for j, (lo, hi) in enumerate(brs):
-            cond = F.col(c).isNotNull()
-            if lo is not None:
-                cond = cond & (F.col(c) >= F.lit(lo))
-            if hi is not None:
-                cond = cond & (F.col(c) <= F.lit(hi))
-            tags.append(F.when(cond, F.lit(j)))
-        tagged = (df.select(F.explode(F.array_compact(F.array(*tags))).alias("_tag"), c)
-                  .groupBy("_tag", c).count())
-        groups: dict[int, list] = {}
-        for row in tagged.collect():  # bounded: <= local_limit rows per bracket
-            groups.setdefault(row["_tag"], []).append((row[c], row["count"]))
-        for r, lo, hi, base in items:
-            vc = sorted(groups.get(brs.index((lo, hi)), []), key=lambda x: x[0])
-            want, acc = r - base, 0
-            for v, k in vc:
-                acc += k
-                if acc > want:
-                    result[(c, r)] = v
-                    break
+    # One grouped job per column type: every bracket of every column of that
+    # type is a tagged struct of the same exploded pass.
+    dtypes = dict(df.dtypes)
+    by_type: dict[str, list[str]] = {}
+    for c in local:
+        by_type.setdefault(dtypes[c], []).append(c)
+    for cols_ in by_type.values():
+        structs, brs_of = [], {}
+        for ci, c in enumerate(cols_):
+            brs = sorted({(lo, hi) for _, lo, hi, _ in local[c]}, key=repr)
+            brs_of[c] = brs
+            for j, (lo, hi) in enumerate(brs):
+                cond = F.col(c).isNotNull()
+                if lo is not None:
+                    cond = cond & (F.col(c) >= F.lit(lo))
+                if hi is not None:
+                    cond = cond & (F.col(c) <= F.lit(hi))
+                structs.append(F.when(cond, F.struct(F.lit(ci).alias("ci"), F.lit(j).alias("tag"),
+                                                     F.col(c).alias("v"))))
+        tagged = (df.select(F.explode(F.array_compact(F.array(*structs))).alias("t"))
+                  .select("t.ci", "t.tag", "t.v").groupBy("ci", "tag", "v").count())
+        groups: dict[tuple, list] = {}
+        for row in tagged.collect():  # bounded: <= local_limit values per bracket
+            groups.setdefault((row["ci"], row["tag"]), []).append((row["v"], row["count"]))
+        for ci, c in enumerate(cols_):
+            for r, lo, hi, base in local[c]:
+                vc = sorted(groups.get((ci, brs_of[c].index((lo, hi))), []), key=lambda x: x[0])
+                want, acc = r - base, 0
+                for v, k in vc:
+                    acc += k
+                    if acc > want:
+                        result[(c, r)] = v
+                        break
     return result
 
 
