@@ -243,47 +243,68 @@ def cluster_analysis(clustered: DataFrame, cluster_col: str = CLUSTER_COL) -> Da
                         np_round(F.col("session_count") / total * F.lit(100.0), 1))
 
 
-def cluster_thresholds(analysis: DataFrame, metrics: list[str] | None = None) -> dict:
-    """33% / 66% quantiles (linear) of the rounded cluster metrics.
-    ``analysis`` has k rows, so only k values per metric are read."""
+def window_quantile(c: str, p: float) -> Column:
+    """Linear-interpolation quantile of column ``c`` over the whole (k-row)
+    table as a window expression: numpy's ``lerp`` on the sorted values, so
+    a tie gives exactly the tied value (Spark's ``percentile`` blends the two
+    neighbours with weights that need not sum to exactly 1)."""
+    arr = F.sort_array(F.collect_list(F.col(c)).over(Window.partitionBy()))
+    h = (F.size(arr) - 1).cast("double") * F.lit(float(p))
+    lo, hi = F.floor(h).cast("int"), F.ceil(h).cast("int")
+    a, b = F.element_at(arr, lo + 1), F.element_at(arr, hi + 1)
+    t = h - lo.cast("double")
+    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
+
+
+def with_thresholds(analysis: DataFrame, metrics: list[str] | None = None) -> DataFrame:
+    """Add ``<metric>_q33`` / ``<metric>_q66`` columns (33% / 66%
+    quantiles of the rounded cluster metrics) to the k-row analysis table."""
     metrics = metrics or NAMED_METRICS
-    return exact_quantiles(analysis, metrics, list(THRESHOLD_PROBS))
+    lo_p, hi_p = THRESHOLD_PROBS
+    return analysis.withColumns({
+        **{f"{m}_q33": window_quantile(m, lo_p) for m in metrics},
+        **{f"{m}_q66": window_quantile(m, hi_p) for m in metrics}})
+
+
+def cluster_thresholds(analysis: DataFrame, metrics: list[str] | None = None) -> DataFrame:
+    """A12 as a table: metric, q33, q66 (one row per named metric)."""
+    metrics = metrics or NAMED_METRICS
+    th = with_thresholds(analysis, metrics).limit(1)
+    pairs = ", ".join(f"'{m}', `{m}_q33`, `{m}_q66`" for m in metrics)
+    return th.selectExpr(f"stack({len(metrics)}, {pairs}) AS (metric, q33, q66)")
 
 
 def thresholds_frame(analysis: DataFrame) -> DataFrame:
-    th = cluster_thresholds(analysis)
-    spark = analysis.sparkSession
-    rows = [(m, th[m][0], th[m][1]) for m in NAMED_METRICS]
-    return spark.createDataFrame(rows, "metric string, q33 double, q66 double")
+    return cluster_thresholds(analysis)
 
 
-def _level(x: Column, q: list, labels: tuple) -> Column:
-    lo, hi = q
-    return (F.when(x > F.lit(hi), F.lit(labels[0]))
-            .when(x > F.lit(lo), F.lit(labels[1])).otherwise(F.lit(labels[2])))
+def _level(x: Column, m: str, labels: tuple) -> Column:
+    return (F.when(x > F.col(f"{m}_q66"), F.lit(labels[0]))
+            .when(x > F.col(f"{m}_q33"), F.lit(labels[1])).otherwise(F.lit(labels[2])))
 
 
 def cluster_names(analysis: DataFrame, cluster_col: str = CLUSTER_COL) -> DataFrame:
     """K5: rule-based name and description per cluster (strict ``>`` on the
-    A12 thresholds; numbers formatted like Python's ``:.1%`` / ``:.0f``)."""
-    th = cluster_thresholds(analysis)
+    A12 thresholds; numbers formatted like Python's ``:.1%`` / ``:.0f``).
+    One lazy plan over the k-row analysis table."""
+    a = with_thresholds(analysis)
     rate, dur, prod, price = (F.col(c) for c in NAMED_METRICS)
     name = F.concat_ws(NAME_SEP,
-                       _level(rate, th["abandonment_rate"], RISK_NAMES),
-                       _level(dur, th["avg_duration"], DURATION_NAMES),
-                       _level(prod, th["avg_products"], PRODUCT_NAMES),
-                       _level(price, th["avg_price"], PRICE_NAMES))
+                       _level(rate, "abandonment_rate", RISK_NAMES),
+                       _level(dur, "avg_duration", DURATION_NAMES),
+                       _level(prod, "avg_products", PRODUCT_NAMES),
+                       _level(price, "avg_price", PRICE_NAMES))
     pct = F.concat(F.format_string("%.1f", rate * F.lit(100.0)), F.lit("%"))
     desc = F.concat_ws(
         DESC_SEP,
-        F.concat(_level(rate, th["abandonment_rate"], RISK_TEXT), F.lit(" ("), pct, F.lit(")")),
-        F.concat(_level(dur, th["avg_duration"], DURATION_TEXT), F.lit(" ("),
+        F.concat(_level(rate, "abandonment_rate", RISK_TEXT), F.lit(" ("), pct, F.lit(")")),
+        F.concat(_level(dur, "avg_duration", DURATION_TEXT), F.lit(" ("),
                  fmt_int_half_even(dur), F.lit("s)")),
         F.concat(F.lit("views "), fmt_int_half_even(prod), F.lit(" products")),
-        F.concat(_level(price, th["avg_price"], PRICE_TEXT), F.lit(" ($"),
+        F.concat(_level(price, "avg_price", PRICE_TEXT), F.lit(" ($"),
                  fmt_int_half_even(price), F.lit(")")))
-    return analysis.select(F.col(cluster_col).alias("cluster_id"),
-                           name.alias("cluster_name"), desc.alias("cluster_description"))
+    return a.select(F.col(cluster_col).alias("cluster_id"),
+                    name.alias("cluster_name"), desc.alias("cluster_description"))
 
 
 def named_sessions(clustered: DataFrame, names: DataFrame,
