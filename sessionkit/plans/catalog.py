@@ -12,9 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import seconds_between
+from ..operators import profile as P
+from ..operators import segments as SG
 from ..operators import sessions as S
+from ..session import materialize, scratch_path
+from ..sources import io as IO
 from ..sources.adapter import load_events
 from ..sources.schema import EVENT_COLUMNS
+from ..streaming.ingest import ingest_csv
+from . import models as M
+from . import prep as PR
+from . import report as RP
+from . import tuning as TU
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -144,13 +154,11 @@ def q_union_months(spark, sf):
 @register("session_duration")
 def q_session_duration(spark, sf):
     s = S.segment_sessions(_valid(spark, sf))
-    from ..functions.exprs import seconds_between
     return round_doubles(s.select(S.SESSION, seconds_between("session_start", "session_end")
                                   .alias("duration_seconds")))
 
 
 # ----------------------------------------------------------------- profiling
-from ..operators import profile as P  # noqa: E402
 
 
 @register("preview")
@@ -241,8 +249,6 @@ def q_means_by_outcome(spark, sf):
 
 
 # ----------------------------------------------------------------- segmentation
-from ..operators import segments as SG  # noqa: E402
-from ..session import materialize  # noqa: E402
 
 
 def _segment_features(spark, sf):
@@ -354,11 +360,6 @@ def q_kmeans_segments(spark, sf):
 
 
 # ----------------------------------------------------------------- machine learning
-from . import models as M  # noqa: E402
-from . import prep as PR  # noqa: E402
-from . import report as RP  # noqa: E402
-from . import tuning as TU  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 SPLIT_OUT = ["source_month", S.SESSION, S.LABEL, "split"]
 
@@ -522,8 +523,6 @@ def q_champion_score(spark, sf):
 
 
 # ----------------------------------------------------------------- sources and sinks
-from ..sources import io as IO  # noqa: E402
-from ..streaming.ingest import ingest_csv  # noqa: E402
 
 
 @register("csv_scan")

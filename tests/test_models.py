@@ -1,5 +1,4 @@
 """Model properties on the smallest driver tables, with short training runs."""
-from pyspark.sql import functions as F
 
 from sessionkit.operators import sessions as S
 from sessionkit.plans import models as M

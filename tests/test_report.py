@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from sessionkit.plans import models as M
 from sessionkit.plans import report as RP

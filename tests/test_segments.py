@@ -1,7 +1,6 @@
 import math
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from sessionkit.functions.quantiles import exact_quantiles
 from sessionkit.operators import segments as SG

@@ -3,7 +3,6 @@ brute-force computation, and the default plans must aggregate before any
 shuffle and use no per-group window."""
 from datetime import datetime, timedelta
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from sessionkit.operators import sessions as S
