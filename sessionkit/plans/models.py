@@ -134,9 +134,12 @@ class Prepared:
         train = self.assembler.transform(self.scaler.transform(train))
         # Tree learners run one task per partition per pass: spread a small
         # training set over at least the cluster's cores (a big one already is).
-        par = train.sparkSession.sparkContext.defaultParallelism
-        if train.rdd.getNumPartitions() < par:
-            train = train.repartition(par)
+        try:
+            par = train.sparkSession.sparkContext.defaultParallelism
+            if train.rdd.getNumPartitions() < par:
+                train = train.repartition(par)
+        except Exception:  # noqa: BLE001 - no RDD handle (e.g. Spark Connect)
+            pass
         self.train = train.persist()
         self.test = self.assembler.transform(
             self.scaler.transform(split.filter(F.col("split") == "test"))).persist()
