@@ -202,3 +202,21 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             vals.append(a if discrete or lo == hi else _lerp(float(a), float(b), t))
         out[c] = vals
     return out
+
+
+def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     accuracy: int = 10_000) -> dict[str, list]:
+    """One-pass approximate quantiles (``percentile_approx``; rank error at
+    most n / accuracy), for when exactness is not needed."""
+    clean = df.select([F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).alias(c)
+                       for c in cols])
+    row = clean.agg(*[F.percentile_approx(c, list(probs), accuracy).alias(c) for c in cols]).first()
+    return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
+
+
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
+              **kw) -> dict[str, list]:
+    """Exact (default) or approximate quantiles of each column."""
+    if exact:
+        return exact_quantiles(df, cols, probs, **kw)
+    return approx_quantiles(df, cols, probs, **kw)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import valid_price
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import quantiles
 
 # The describe() statistics, in pandas order.
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -70,12 +70,13 @@ def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
             .orderBy(F.desc("count"), F.asc(col)).limit(n))
 
 
-def describe(df: DataFrame, cols: list[str], long: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], long: bool = True,
+             exact: bool = True) -> DataFrame:
     """Pandas ``describe``: count, mean, std (sample), min,
     quartiles (linear interpolation, exact), max."""
     clean = df.select([F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
                        .alias(c) for c in cols])
-    q = exact_quantiles(clean, cols, [0.25, 0.5, 0.75])
+    q = quantiles(clean, cols, [0.25, 0.5, 0.75], exact=exact)
     aggs = []
     for c in cols:
         aggs += [F.count(c).cast("double").alias(f"{c}|count"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (finite_or_null, fmt_int_half_even, per_minute, ratio_plus_one,
                                seconds_between)
-from ..functions.quantiles import exact_quantiles
+from ..functions.quantiles import quantiles
 
 # The 12 clustering features and the 4 log-transformed ones.
 CLUSTER_FEATURES = [
@@ -65,10 +65,11 @@ def segment_features(sessions: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- K1
-def fit_median_imputer(df: DataFrame, cols: list[str]) -> dict[str, float]:
-    """K1 fit: exact median of each column after +-inf -> null."""
+def fit_median_imputer(df: DataFrame, cols: list[str], exact: bool = True) -> dict[str, float]:
+    """K1 fit: median of each column after +-inf -> null (exact by default,
+    ``exact=False`` for the one-pass sketch)."""
     clean = df.select([finite_or_null(c).alias(c) for c in cols])
-    q = exact_quantiles(clean, cols, [0.5])
+    q = quantiles(clean, cols, [0.5], exact=exact)
     return {c: q[c][0] for c in cols}
 
 
@@ -88,10 +89,11 @@ def log_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- K2
-def fit_robust_scaler(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
+def fit_robust_scaler(df: DataFrame, cols: list[str],
+                      exact: bool = True) -> dict[str, tuple[float, float]]:
     """K2 fit: centre = median, scale = Q3 - Q1 (1 where that is 0, so a
     constant or sparse column is left unscaled instead of zeroed)."""
-    q = exact_quantiles(df.select(*cols), cols, [0.25, 0.5, 0.75])
+    q = quantiles(df.select(*cols), cols, [0.25, 0.5, 0.75], exact=exact)
     out = {}
     for c in cols:
         q1, med, q3 = q[c]

@@ -104,3 +104,11 @@ def test_cluster_analysis_shares(spark):
     assert an[0].session_count == 5 and an[0].percent_of_total == 50.0
     assert an[1].abandonment_rate == 1.0
     assert an[0].avg_duration == 4.0
+
+
+def test_approx_quantiles_close(spark):
+    from sessionkit.functions.quantiles import quantiles
+    df = spark.createDataFrame([(float(i),) for i in range(1001)], "x double")
+    ex = quantiles(df, ["x"], [0.25, 0.5], exact=True)["x"]
+    ap = quantiles(df, ["x"], [0.25, 0.5], exact=False)["x"]
+    assert ex == [250.0, 500.0] and all(abs(a - b) <= 1.0 for a, b in zip(ap, ex))
