@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import EVENT_SCHEMA
+from .schema import EVENT_COLUMNS, EVENT_SCHEMA, MONTHLY_CSV_SCHEMA, MONTHLY_CSV_TIMESTAMP_FORMAT
 
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # pandas keeps a float64 -> float32 downcast when values stay within this
@@ -37,6 +37,20 @@ def read_events_csv(spark: SparkSession, path: str, schema: T.StructType = EVENT
             .option("mode", "PERMISSIVE").csv(path))
 
 
+def read_monthly_csv(spark: SparkSession, path: str, month: str) -> DataFrame:
+    """S1 for the public monthly files: declared layout, ``... UTC`` times
+    parsed as wall-clock ``timestamp_ntz``, ``source_month`` attached, and the
+    columns put in event-table order (``category_id`` is not used).
+
+    ``event_id`` is the file-order stand-in for a group's "first" value:
+    ``monotonically_increasing_id`` grows with the split and the row within
+    it, i.e. with the position in the file."""
+    df = read_events_csv(spark, path, MONTHLY_CSV_SCHEMA, MONTHLY_CSV_TIMESTAMP_FORMAT)
+    df = (df.withColumn("source_month", F.lit(month))
+          .withColumn("event_id", F.monotonically_increasing_id()))
+    return df.select(*EVENT_COLUMNS)
+
+
 def write_csv(df: DataFrame, path: str, timestamp_format: str = CSV_TIMESTAMP_FORMAT) -> None:
     (df.write.mode("overwrite").option("header", True)
      .option("timestampFormat", timestamp_format)

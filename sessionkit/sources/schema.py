@@ -34,3 +34,17 @@ RUN_LOG_SCHEMA = T.StructType(
 )
 
 RUN_LOG_COLUMNS = [f.name for f in RUN_LOG_SCHEMA.fields]
+
+# Layout of the public monthly click-event CSV files (one file per month).
+MONTHLY_CSV_SCHEMA = T.StructType([
+    T.StructField("event_time", T.TimestampNTZType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("product_id", T.LongType(), True),
+    T.StructField("category_id", T.LongType(), True),
+    T.StructField("category_code", T.StringType(), True),
+    T.StructField("brand", T.StringType(), True),
+    T.StructField("price", T.DoubleType(), True),
+    T.StructField("user_id", T.LongType(), True),
+    T.StructField("user_session", T.StringType(), True),
+])
+MONTHLY_CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss 'UTC'"

@@ -41,3 +41,18 @@ def test_monthly_partition_pruning(spark, fixture_events):
     assert df.count() == 1
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "source_month" in plan
+
+
+def test_monthly_csv_layout(spark, tmp_path):
+    f = tmp_path / "2019-Oct.csv"
+    f.write_text("event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+                 "2019-10-01 00:00:00 UTC,view,44600062,2103807459595387724,,shiseido,35.79,541312140,72d76fde\n"
+                 "2019-10-01 00:00:05 UTC,cart,3900821,2053013552326770905,appliances.water_heater,aqua,33.20,554748717,9333dfbd\n")
+    df = IO.read_monthly_csv(spark, str(f), "2019-10")
+    rows = df.orderBy("event_time").collect()
+    assert [r.event_type for r in rows] == ["view", "cart"]
+    assert rows[1].event_time == datetime(2019, 10, 1, 0, 0, 5)
+    assert rows[0].category_code is None and rows[1].price == 33.2
+    assert rows[0].source_month == "2019-10" and df.columns[0] == "source_month"
+    ids = [r.event_id for r in rows]
+    assert ids == sorted(ids) and len(set(ids)) == 2
