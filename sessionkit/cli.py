@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--model-ready", help="model-ready Parquet table")
     ap.add_argument("--out", required=True, help="output table or results folder")
     ap.add_argument("--no-tune", action="store_true")
+    ap.add_argument("--monthly-csv", action="store_true",
+                    help="ingest: files in the public monthly layout (month from file name)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"sessionkit-{args.step}").getOrCreate()
@@ -39,7 +41,8 @@ def main(argv: list[str] | None = None) -> None:
 
     if args.step == "ingest":
         # the stream checkpoint sits next to the table so reruns resume
-        ingest_csv(spark, args.csv_dir, args.out, f"{args.out.rstrip('/')}_checkpoint")
+        ingest_csv(spark, args.csv_dir, args.out, f"{args.out.rstrip('/')}_checkpoint",
+                   monthly_layout=args.monthly_csv)
     elif args.step == "process":
         paths.process_sessions(events(), args.out).show()
     elif args.step == "bakeoff":

@@ -50,9 +50,11 @@ def select_existing(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _order_key(events: DataFrame) -> Column:
-    """Stand-in for file order when taking a group's "first" value (M6)."""
+    """Stand-in for file order when taking a group's "first" value (M6):
+    the event id where there is one, else the event time."""
     if "event_id" in events.columns:
-        return F.col("event_id")
+        return F.struct(F.col("event_id").isNull().alias("no_id"), F.col("event_id"),
+                        F.col("event_time"))
     return F.col("event_time")
 
 

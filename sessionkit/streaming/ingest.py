@@ -11,25 +11,41 @@ no duplicate rows (the file sink is exactly-once).
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.io import CSV_TIMESTAMP_FORMAT
-from ..sources.schema import EVENT_SCHEMA
+from ..sources.schema import (EVENT_COLUMNS, EVENT_SCHEMA, MONTHLY_CSV_SCHEMA,
+                              MONTHLY_CSV_TIMESTAMP_FORMAT)
+
+# The month of a monthly file, taken from its name (e.g. "2019-Oct.csv").
+MONTH_FROM_FILE = r"(\d{4}-[A-Za-z]{3})"
 
 
 def ingest_csv(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
                schema: T.StructType = EVENT_SCHEMA,
                timestamp_format: str = CSV_TIMESTAMP_FORMAT,
                partition_by: tuple[str, ...] = ("source_month",),
-               max_files_per_trigger: int | None = None) -> int:
+               max_files_per_trigger: int | None = None,
+               monthly_layout: bool = False) -> int:
     """Convert all new CSV files under ``source_dir``; returns the number of
-    micro-batches run."""
+    micro-batches run.  ``monthly_layout=True`` reads the public monthly
+    files (no ``source_month`` column: it comes from the file name)."""
+    if monthly_layout:
+        schema, timestamp_format = MONTHLY_CSV_SCHEMA, MONTHLY_CSV_TIMESTAMP_FORMAT
     reader = (spark.readStream.schema(schema).option("header", True)
               .option("timestampFormat", timestamp_format)
               .option("timestampNTZFormat", timestamp_format))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(source_dir)
+    if monthly_layout:
+        stream = (stream
+                  .withColumn("source_month",
+                              F.regexp_extract(F.col("_metadata.file_name"), MONTH_FROM_FILE, 1))
+                  # no file-order id in a stream: "first" falls back to event_time
+                  .withColumn("event_id", F.lit(None).cast("long"))
+                  .select(*EVENT_COLUMNS))
     writer = (stream.writeStream.format("parquet")
               .option("compression", "snappy")
               .option("checkpointLocation", checkpoint_dir)

@@ -56,3 +56,15 @@ def test_monthly_csv_layout(spark, tmp_path):
     assert rows[0].source_month == "2019-10" and df.columns[0] == "source_month"
     ids = [r.event_id for r in rows]
     assert ids == sorted(ids) and len(set(ids)) == 2
+
+
+def test_stream_ingest_monthly_layout(spark, tmp_path):
+    src = tmp_path / "drop"
+    src.mkdir()
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    (src / "2019-Oct.csv").write_text(head + "2019-10-31 23:59:00 UTC,cart,1,9,,b,5.0,7,s1\n")
+    (src / "2019-Nov.csv").write_text(head + "2019-11-01 00:01:00 UTC,purchase,1,9,,b,5.0,7,s1\n")
+    table, ckpt = scratch_path(spark, "t-mtab"), scratch_path(spark, "t-mckpt")
+    ingest_csv(spark, str(src), table, ckpt, monthly_layout=True)
+    got = sorted((r.source_month, r.event_type) for r in spark.read.parquet(table).collect())
+    assert got == [("2019-Nov", "purchase"), ("2019-Oct", "cart")]
