@@ -17,3 +17,11 @@ def test_process_and_segment_paths(spark):
     assert res["names"].count() == len(an)
     assert [r.behavior_cluster for r in res["analysis"].orderBy("behavior_cluster").collect()] \
         == list(range(len(an)))
+
+
+def test_cli_process_step(spark, capsys):
+    from sessionkit import cli
+    out = scratch_path(spark, "t-cli-ready")
+    cli.main(["process", "--sf-dir", SF_SMALL, "--out", out])
+    assert spark.read.parquet(out).count() == 366
+    assert "is_abandoned" in capsys.readouterr().out
