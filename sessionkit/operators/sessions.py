@@ -63,6 +63,17 @@ def _first_non_null(events: DataFrame, c: str) -> Column:
     return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), _order_key(events)))
 
 
+def _distinct(c: str, mode: str) -> Column:
+    """Distinct non-null count: ``expand`` = exact ``count(DISTINCT)``
+    (Catalyst's Expand: de-duplicate per (group, value), then count);
+    ``sets`` = ``size(collect_set)``, one pass without the Expand but holding
+    a group's distinct values in one task (bounded by distinct values, not
+    rows)."""
+    if mode == "sets":
+        return F.size(F.collect_set(c))
+    return F.count_distinct(c)
+
+
 def _type_counts(names: dict[str, str], require_time: bool) -> list[Column]:
     """One ``count_if`` per listed type; absent types give 0."""
     out = []
@@ -148,7 +159,7 @@ def basic_sessions(events: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- A3/A4
 def enriched_sessions(events: DataFrame, by_month: bool = True,
-                      keep_times: bool = True) -> DataFrame:
+                      keep_times: bool = True, distinct_mode: str = "expand") -> DataFrame:
     """A3 (T5/T6): one row per (month, session) -- or per session for the
     notebook form A4 -- with times, distinct counts, price stats, type
     counts, first user and label, in a single aggregate (the reference's
@@ -159,11 +170,11 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
     aggs = [
         F.min("event_time").alias("session_start"),
         F.max("event_time").alias("session_end"),
-        F.count_distinct("product_id").alias("products_viewed"),
+        _distinct("product_id", distinct_mode).alias("products_viewed"),
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
-        F.count_distinct("brand").alias("brands_viewed"),
-        F.count_distinct("category_code").alias("categories_viewed"),
+        _distinct("brand", distinct_mode).alias("brands_viewed"),
+        _distinct("category_code", distinct_mode).alias("categories_viewed"),
         abandoned_flag_agg().alias(LABEL),
         _first_non_null(ev, "user_id").alias("user_id"),
         *_type_counts(PROC_COUNT_NAMES, require_time=True),
@@ -176,7 +187,7 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
 
 
 # --------------------------------------------------------------------------- A5
-def segment_sessions(events: DataFrame) -> DataFrame:
+def segment_sessions(events: DataFrame, distinct_mode: str = "expand") -> DataFrame:
     """A5-A7 (T8): sessions over both months for segmentation.
 
     The reference aggregates 5M-row chunks and re-aggregates the partial rows,
@@ -192,9 +203,9 @@ def segment_sessions(events: DataFrame) -> DataFrame:
         _first_non_null(ev, "user_id").alias("user_id"),
         F.count(F.lit(1)).alias("total_events"),
         *counts,
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("brand").alias("unique_brands"),
-        F.count_distinct("category_code").alias("unique_categories"),
+        _distinct("product_id", distinct_mode).alias("unique_products"),
+        _distinct("brand", distinct_mode).alias("unique_brands"),
+        _distinct("category_code", distinct_mode).alias("unique_categories"),
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.sum("price").alias("total_price"),
