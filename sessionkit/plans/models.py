@@ -177,7 +177,7 @@ def top_models(log: DataFrame, k: int = 2, order: list[str] | None = None) -> li
 
 def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
             models: list[str] | None = None, tune_top: int = 0, grids: dict | None = None,
-            parallelism: int = 2) -> DataFrame:
+            parallelism: int = 4) -> DataFrame:
     """Resumable bake-off.  Models already in the log are skipped (L4);
     each new run appends its row before the next starts, so a crash loses at
     most the model in flight.  With ``tune_top`` > 0, the best untuned models
