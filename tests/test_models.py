@@ -44,3 +44,20 @@ def test_lr_reg_param_follows_c():
     clf = M.make_classifier("LogisticRegression", {"C": 10}, n_weight=100.0)
     assert abs(clf.getRegParam() - 1 / 1000) < 1e-15
     assert M.leaves_to_depth(31) == 5 and M.leaves_to_depth(70) == 7
+
+
+def test_bakeoff_resumes_from_log(spark, monkeypatch):
+    data = _data(spark)
+    log = scratch_path(spark, "t-bake")
+    first = M.bakeoff(spark, data, log, models=["LogisticRegression"]).collect()
+    assert [r.model_name for r in first] == ["LogisticRegression"]
+    calls = []
+    real = M.fit_predict
+    monkeypatch.setattr(M, "fit_predict", lambda d, n, p=None: calls.append(n) or real(
+        d, n, {"n_estimators": 5} if n != "LogisticRegression" else None))
+    log_df = M.bakeoff(spark, data, log, models=["LogisticRegression", "RandomForest"])
+    assert calls == ["RandomForest"]
+    rows = {r.model_name: r for r in log_df.collect()}
+    assert set(rows) == {"LogisticRegression", "RandomForest"}
+    assert rows["LogisticRegression"].train_time_sec == first[0].train_time_sec
+    assert all(0.0 <= rows[m].weighted_avg_f1 <= 1.0 for m in rows)
