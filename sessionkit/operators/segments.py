@@ -69,8 +69,11 @@ def fit_median_imputer(df: DataFrame, cols: list[str], exact: bool = True) -> di
     """K1 fit: median of each column after +-inf -> null (exact by default,
     ``exact=False`` for the one-pass sketch)."""
     clean = df.select([finite_or_null(c).alias(c) for c in cols])
-    q = quantiles(clean, cols, [0.5], exact=exact)
-    return {c: q[c][0] for c in cols}
+    # Only columns with a missing or non-finite value need their median.
+    row = clean.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in cols]).first()
+    need = [c for c in cols if row[c] < row["__n"]]
+    q = quantiles(clean, need, [0.5], exact=exact) if need else {}
+    return {c: (q[c][0] if c in q else None) for c in cols}
 
 
 def apply_median_imputer(df: DataFrame, medians: dict[str, float]) -> DataFrame:
