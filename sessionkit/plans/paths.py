@@ -23,6 +23,21 @@ from . import models as M
 from . import report as RP
 
 
+def convert_monthly_csv(spark: SparkSession, files: dict[str, str], output_path: str,
+                        narrow: bool = True) -> list[tuple[str, str, str]]:
+    """Step 1 as one batch job: every monthly CSV (``{month: path}``) read with
+    the declared layout, numeric columns narrowed by one whole-table pass,
+    written as snappy Parquet partitioned by ``source_month``.  Returns the
+    narrowing decisions (column, old type, new type)."""
+    months = [IO.read_monthly_csv(spark, path, month) for month, path in files.items()]
+    events = S.union_months(*months)
+    decisions: list[tuple[str, str, str]] = []
+    if narrow:
+        events, decisions = IO.narrow_types(events)
+    IO.write_parquet(events, output_path, ["source_month"])
+    return decisions
+
+
 def process_sessions(events: DataFrame, output_path: str) -> DataFrame:
     """PROC main: writes the model-ready table, returns the class balance."""
     IO.write_parquet(S.build_model_ready(events), output_path)

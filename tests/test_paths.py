@@ -25,3 +25,17 @@ def test_cli_process_step(spark, capsys):
     cli.main(["process", "--sf-dir", SF_SMALL, "--out", out])
     assert spark.read.parquet(out).count() == 366
     assert "is_abandoned" in capsys.readouterr().out
+
+
+def test_convert_monthly_csv(spark, tmp_path):
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    oct_, nov = tmp_path / "2019-Oct.csv", tmp_path / "2019-Nov.csv"
+    oct_.write_text(head + "2019-10-01 00:00:00 UTC,view,5,9,,b,12.5,7,s1\n")
+    nov.write_text(head + "2019-11-01 00:00:00 UTC,cart,6,9,a.b,c,3.25,8,s2\n")
+    out = scratch_path(spark, "t-conv")
+    dec = dict((c, n) for c, _, n in paths.convert_monthly_csv(
+        spark, {"2019-Oct": str(oct_), "2019-Nov": str(nov)}, out))
+    assert dec["product_id"] == "tinyint" and dec["price"] == "float"
+    df = paths.events_from(spark, out, months=["2019-Nov"])
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0].event_type == "cart" and rows[0].price == 3.25
