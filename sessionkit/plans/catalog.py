@@ -109,7 +109,9 @@ def q_segment_sessions(spark, sf):
 
 
 def _proc_sessions(spark, sf):
-    return S.enriched_sessions(_valid(spark, sf), by_month=True)
+    """Per-month sessions, cut from the event scan (written once, read by
+    both sides of the per-user join)."""
+    return materialize(S.enriched_sessions(_valid(spark, sf), by_month=True), "sessions")
 
 
 @register("user_first_session")
