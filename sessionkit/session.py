@@ -95,4 +95,4 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
