@@ -96,3 +96,17 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
+
+
+def spread_small(df):
+    """Round-robin an input that has fewer partitions than the cluster has
+    cores (a small single-file table) so the map side -- parsing, Expand,
+    partial aggregation -- runs on every core.  Inputs with at least that
+    many splits (any table at scale) are returned unchanged: no shuffle."""
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            return df.repartition(par)
+    except Exception:  # noqa: BLE001 - no RDD handle (e.g. Spark Connect)
+        pass
+    return df

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread_small
+
 # Fixed values of the adapter (must equal the oracle SQL).
 MONTH_SPLIT_TS = "2024-01-16 00:00:00"
 BRAND_NULL_EVERY = 7
@@ -72,7 +74,7 @@ def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False) -> D
     if valid_only:
         raw = raw.filter((F.col("event_type") != "error") & (F.col("value") > 0)
                          & ~F.isnan("value"))
-    return adapt_events(raw, load_table(spark, sf_dir, "part"))
+    return adapt_events(spread_small(raw), load_table(spark, sf_dir, "part"))
 
 
 # DuckDB form of the same adapter, used as a CTE by every oracle query.
