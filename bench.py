@@ -3,6 +3,9 @@
 Each query is run to completion through the no-op sink (the whole plan
 executes, nothing is collected) and timed on the driver clock.  Model keys
 time their fit + test-set prediction, the span the reference reports.
+Within the one application, keys share the intermediate tables a single
+run of the reference's scripts shares (prepared training data, the fitted
+segmentation matrix); the first key that needs one pays for it.
 Prints ONE JSON line.
 """
 

@@ -36,6 +36,19 @@ def register(key: str):
     return deco
 
 
+_SHARED: dict = {}
+
+
+def _shared(spark, sf, what, build):
+    """Per-application memo: the split/scaled training data and the trained
+    champion are built once and shared by the model keys, as the reference
+    prepares its data once per script and trains every model on it."""
+    key = (spark.conf.get("spark.app.id", str(id(spark))), sf, what)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every float/double column (R keys)."""
     return df.select([
@@ -279,7 +292,11 @@ def q_impute_median(spark, sf):
 
 
 def _matrix(spark, sf):
-    return SG.cluster_matrix(materialize(_segment_features(spark, sf)))
+    """Session features written once per application (lineage cut), with the
+    fitted imputation and scaling applied: shared by every segmentation key,
+    as one clustering run reuses its feature table across steps."""
+    return _shared(spark, sf, "matrix", lambda: SG.cluster_matrix(
+        materialize(_segment_features(spark, sf), "segment-features")))
 
 
 @register("robust_scale")
@@ -428,19 +445,6 @@ def q_metrics_long(spark, sf):
     return round_doubles(RP.metrics_long(_rule_predictions(spark, sf), "CartRule"))
 
 
-_SHARED: dict = {}
-
-
-def _shared(spark, sf, what, build):
-    """Per-application memo: the split/scaled training data and the trained
-    champion are built once and shared by the model keys, as the reference
-    prepares its data once per script and trains every model on it."""
-    key = (spark.conf.get("spark.app.id", str(id(spark))), sf, what)
-    if key not in _SHARED:
-        _SHARED[key] = build()
-    return _SHARED[key]
-
-
 def _prepared(spark, sf):
     return _shared(spark, sf, "prepared", lambda: M.Prepared(_model_ready(spark, sf)))
 
