@@ -250,7 +250,7 @@ def _basic(spark, sf):
     return S.basic_sessions(_valid(spark, sf))
 
 
-BASIC_FEATURES = ["event_count", "products_viewed", "duration_seconds"]
+BASIC_FEATURES = PR.BASIC_FEATURES
 
 
 @register("describe_sessions")
@@ -595,8 +595,11 @@ def q_low_cardinality(spark, sf):
 
 @register("notebook_models")
 def q_notebook_models(spark, sf):
-    """L8b/L8c (notebook form): enriched per-session features (A4) with the
-    notebook's 8 features, 70/15/15 split, default LR and the tuned RF / GBT."""
+    """L8a-L8c (notebook form), 70/15/15 split: default LR / RF on the basic
+    sessions (A1, 3 features), then default LR and the tuned RF / GBT on the
+    enriched sessions (A4, the notebook's 8 features)."""
     eda = S.enriched_sessions(_valid(spark, sf), by_month=False)
     data = M.Prepared(eda, features=PR.EDA_FEATURES, three_way=True)
-    return round_doubles(M.notebook_models(spark, data))
+    basic = M.Prepared(S.basic_sessions(_valid(spark, sf)), features=PR.BASIC_FEATURES,
+                       three_way=True)
+    return round_doubles(M.notebook_models(spark, data, basic))

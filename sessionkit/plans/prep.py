@@ -30,6 +30,8 @@ EDA_FEATURES = [
     "products_viewed", "avg_price", "max_price", "brands_viewed",
     "categories_viewed", "num_views", "num_carts", "duration_seconds",
 ]
+# The notebook's basic session features.
+BASIC_FEATURES = ["event_count", "products_viewed", "duration_seconds"]
 LABEL = "is_abandoned"
 KEYS = ["source_month", "user_session"]
 MAX_STRATA = 1000
