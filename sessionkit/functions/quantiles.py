@@ -10,9 +10,9 @@ JVM.  Here an order statistic is *selected* instead:
    most ``n / accuracy``;
 2. one ``count_if`` pass checks the bracket really contains the rank
    (widening it if not) and counts the values below it;
-3. if the bracket holds at most ``local_limit`` distinct values they are
-   grouped, counted and brought back (a bounded slice, never the column);
-   otherwise the same selection recurses on the bracket alone.
+3. if the bracket holds at most ``local_limit`` values it is sorted inside
+   one aggregate (a bounded list per bracket) and only the wanted element is
+   returned; otherwise the same selection recurses on the bracket alone.
 
 All statistics of all columns are batched into the same aggregate passes.
 Interpolation follows numpy's ``linear`` method (the reference's pandas /
@@ -94,15 +94,19 @@ def _select(df: DataFrame, targets: list[tuple[str, int]], depth: int = 0,
                 brackets[(c, r)] = [None, hi]  # open below: widen fully
             else:
                 brackets[(c, r)] = [lo, None]  # open above
-    # Resolve: small brackets locally (one grouped job per column, all of its
-    # brackets tagged in the same pass), large ones by recursion.
+    # Resolve: single-value brackets directly, small ones in one sorted-list
+    # aggregate, many-rows-few-values ones by value counts, large ones by
+    # recursion.
     local: dict[str, list] = {}
     for c, r, p, n in pending:
         if p is None:
             local.setdefault(c, []).append((r, None, None, 0))
             continue
         lo, hi, lt, le = brackets[(c, r)]
-        if le - lt > local_limit and depth < _MAX_ROUNDS:
+        if lo is not None and hi is not None and lo == hi:
+            result[(c, r)] = lo  # the verified bracket holds one value (a tie)
+            continue
+        if le - lt > local_limit:
             cond = F.col(c).isNotNull()
             if lo is not None:
                 cond = cond & (F.col(c) >= F.lit(lo))
@@ -110,47 +114,45 @@ def _select(df: DataFrame, targets: list[tuple[str, int]], depth: int = 0,
                 cond = cond & (F.col(c) <= F.lit(hi))
             sub = df.filter(cond).select(c)
             distinct = sub.agg(F.approx_count_distinct(c).alias("d")).first()["d"]
-            if distinct > local_limit:
+            if distinct > local_limit and depth < _MAX_ROUNDS:
                 result[(c, r)] = _select(sub, [(c, r - lt)], depth + 1,
                                          accuracy, local_limit)[(c, r - lt)]
-                continue
+            else:
+                result[(c, r)] = _by_counts(sub, c, r - lt)
+            continue
         local.setdefault(c, []).append((r, lo, hi, lt))
-    # One grouped job per column type: every bracket of every column of that
-    # type is a tagged struct of the same exploded pass.
-    dtypes = dict(df.dtypes)
-    by_type: dict[str, list[str]] = {}
-    for c in local:
-        by_type.setdefault(dtypes[c], []).append(c)
-    for cols_ in by_type.values():
-        structs, brs_of = [], {}
-        for ci, c in enumerate(cols_):
-            brs = sorted({(lo, hi) for _, lo, hi, _ in local[c]}, key=repr)
-            brs_of[c] = brs
-            for j, (lo, hi) in enumerate(brs):
+    # One aggregate for every remaining bracket of every column: each bracket
+    # is a sorted list of its values (at most ``local_limit`` of them, built
+    # per task and merged), and only the selected elements leave the JVM.
+    if local:
+        exprs, spec = [], []
+        for c, items in local.items():
+            for r, lo, hi, base in items:
                 cond = F.col(c).isNotNull()
                 if lo is not None:
                     cond = cond & (F.col(c) >= F.lit(lo))
                 if hi is not None:
                     cond = cond & (F.col(c) <= F.lit(hi))
-                structs.append(F.when(cond, F.struct(F.lit(ci).alias("ci"), F.lit(j).alias("tag"),
-                                                     F.col(c).alias("v"))))
-        tagged = (df.select(F.explode(F.array_compact(F.array(*structs))).alias("t"))
-                  .select("t.ci", "t.tag", "t.v").groupBy("ci", "tag", "v").count())
-        groups: dict[tuple, list] = {}
-        for row in tagged.collect():  # bounded: <= local_limit values per bracket
-            groups.setdefault((row["ci"], row["tag"]), []).append((row["v"], row["count"]))
-        for ci, c in enumerate(cols_):
-            for r, lo, hi, base in local[c]:
-                vc = sorted(groups.get((ci, brs_of[c].index((lo, hi))), []), key=lambda x: x[0])
-                want, acc = r - base, 0
-                for v, k in vc:
-                    acc += k
-                    if acc > want:
-                        result[(c, r)] = v
-                        break
+                values = F.sort_array(F.collect_list(F.when(cond, F.col(c))))
+                exprs.append(F.try_element_at(values, F.lit(r - base + 1)).alias(f"s{len(spec)}"))
+                spec.append((c, r))
+        row = df.agg(*exprs).first()
+        for i, key in enumerate(spec):
+            result[key] = row[f"s{i}"]
     return result
 
 
+def _by_counts(sub: DataFrame, c: str, want: int):
+    """Rank ``want`` of a bracket with many rows but few distinct values:
+    (value, count) pairs, bounded by the distinct values, walked in order."""
+    acc = 0
+    for v, k in sorted((row[c], row["count"]) for row in sub.groupBy(c).count().collect()):
+        acc += k
+        if acc > want:
+            return v
+    return None
+
+
 def order_statistics(df: DataFrame, targets: list[tuple[str, int]], **kw) -> dict:
     return _select(df.select(*sorted({c for c, _ in targets})), targets, **kw)
 

@@ -20,3 +20,11 @@ def test_exact_quantiles_equal_numpy(spark, values, probs, local_limit):
                            local_limit=local_limit)["x"]
     s = np.sort(x)
     assert disc == [s[max(math.ceil(p * len(s)) - 1, 0)] for p in probs]
+
+
+def test_tie_heavy_column_on_sketch_path(spark):
+    vals = [0.0] * 800 + [1.0] * 150 + [float(i) for i in range(2, 52)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
+    probs = [0.25, 0.5, 0.8, 0.85, 0.95, 0.97, 1.0]
+    got = exact_quantiles(df, ["x"], probs, accuracy=20, local_limit=10)["x"]
+    assert np.allclose(got, np.quantile(np.array(vals), probs), rtol=0, atol=1e-12)
