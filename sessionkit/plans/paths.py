@@ -38,6 +38,13 @@ def convert_monthly_csv(spark: SparkSession, files: dict[str, str], output_path:
     return decisions
 
 
+def label_events(events: DataFrame, output_path: str) -> DataFrame:
+    """The notebook's first output: valid events with their session's
+    abandoned flag (W1), written as Parquet and read back."""
+    IO.write_parquet(S.labeled_events(S.valid_events(events)), output_path)
+    return events.sparkSession.read.parquet(output_path)
+
+
 def process_sessions(events: DataFrame, output_path: str) -> DataFrame:
     """PROC main: writes the model-ready table, returns the class balance."""
     IO.write_parquet(S.build_model_ready(events), output_path)

@@ -39,3 +39,9 @@ def test_convert_monthly_csv(spark, tmp_path):
     df = paths.events_from(spark, out, months=["2019-Nov"])
     rows = df.collect()
     assert len(rows) == 1 and rows[0].event_type == "cart" and rows[0].price == 3.25
+
+
+def test_label_events_path(spark):
+    out = scratch_path(spark, "t-labeled")
+    df = paths.label_events(load_events(spark, SF_SMALL), out)
+    assert df.count() == 799 and dict(df.dtypes)["is_abandoned"] == "boolean"
