@@ -157,9 +157,8 @@ def q_join_counts(spark, sf):
 
 @register("union_months")
 def q_union_months(spark, sf):
-    ev = _valid(spark, sf)
-    months = [S.enriched_sessions(ev.filter(F.col("source_month") == m), by_month=True,
-                                  keep_times=False) for m in ("A", "B")]
+    months = [S.enriched_sessions(S.valid_events(load_events(spark, sf, valid_only=True, month=m)),
+                                  by_month=True, keep_times=False) for m in ("A", "B")]
     out = S.union_months(*months)
     return round_doubles(out.select("source_month", S.SESSION, "products_viewed", "num_views",
                                     "num_carts", "num_purchases", "is_abandoned",

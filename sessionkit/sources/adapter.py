@@ -63,17 +63,23 @@ def adapt_events(events: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False) -> DataFrame:
+def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False,
+                month: str | None = None) -> DataFrame:
     """Adapted event table for a driver scale-factor folder.
 
     ``valid_only=True`` adds the price rule on the raw columns (``error``
     events carry price 0, the others their ``value``), which Parquet can
     take as pushed filters; ``valid_events`` still applies on top.
+    ``month`` ("A" / "B") reads one monthly half as a pushed ``ts`` range,
+    the way a month-partitioned table is pruned.
     """
     raw = load_table(spark, sf_dir, "events")
     if valid_only:
         raw = raw.filter((F.col("event_type") != "error") & (F.col("value") > 0)
                          & ~F.isnan("value"))
+    if month is not None:
+        split = F.lit(MONTH_SPLIT_TS).cast("timestamp_ntz")
+        raw = raw.filter(F.col("ts") < split if month == "A" else F.col("ts") >= split)
     return adapt_events(spread_small(raw), load_table(spark, sf_dir, "part"))
 
 
