@@ -29,7 +29,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
-    for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
+    local_only = {}
+    if master.startswith("local"):
+        # One executor: every task is process-local, so waiting for locality
+        # only delays the many small jobs of iterative learners.
+        local_only["spark.locality.wait"] = "0s"
+    for k, v in {**RECOMMENDED_CONF, **local_only, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
