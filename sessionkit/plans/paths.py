@@ -30,7 +30,9 @@ def convert_monthly_csv(spark: SparkSession, files: dict[str, str], output_path:
     written as snappy Parquet partitioned by ``source_month``.  Returns the
     narrowing decisions (column, old type, new type)."""
     months = [IO.read_monthly_csv(spark, path, month) for month, path in files.items()]
-    events = S.union_months(*months)
+    # ids over the union: its partitions keep the files' order, so the ids
+    # follow file order across months too (per-file ids would collide)
+    events = S.union_months(*months).withColumn("event_id", F.monotonically_increasing_id())
     decisions: list[tuple[str, str, str]] = []
     if narrow:
         events, decisions = IO.narrow_types(events)

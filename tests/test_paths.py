@@ -45,3 +45,16 @@ def test_label_events_path(spark):
     out = scratch_path(spark, "t-labeled")
     df = paths.label_events(load_events(spark, SF_SMALL), out)
     assert df.count() == 799 and dict(df.dtypes)["is_abandoned"] == "boolean"
+
+
+def test_convert_monthly_csv_ids_follow_file_order(spark, tmp_path):
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    a, b = tmp_path / "2019-Oct.csv", tmp_path / "2019-Nov.csv"
+    a.write_text(head + "".join(f"2019-10-01 00:00:{i:02d} UTC,view,{i},9,,b,1.0,7,s{i}\n" for i in range(5)))
+    b.write_text(head + "".join(f"2019-11-01 00:00:{i:02d} UTC,view,{i},9,,b,1.0,7,t{i}\n" for i in range(5)))
+    out = scratch_path(spark, "t-conv-ids")
+    paths.convert_monthly_csv(spark, {"2019-Oct": str(a), "2019-Nov": str(b)}, out)
+    rows = paths.events_from(spark, out).collect()
+    assert len({r.event_id for r in rows}) == 10
+    oct_max = max(r.event_id for r in rows if r.source_month == "2019-Oct")
+    assert all(r.event_id > oct_max for r in rows if r.source_month == "2019-Nov")
