@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from sessionkit.functions.quantiles import exact_quantiles
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
 @given(values=st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=400),
        probs=st.lists(st.floats(min_value=0.0, max_value=1.0), min_size=1, max_size=4),
        local_limit=st.sampled_from([5, 40, 10_000]))
