@@ -129,8 +129,10 @@ class Prepared:
         self.scaled = prep.scaled_names(self.features)
         self.assembler = VectorAssembler(inputCols=self.scaled, outputCol="features")
         train = prep.add_folds(train, label, n_folds)
+        counts = prep.class_counts(train, label)
         for mode, col in WEIGHT_COLS.items():
-            train = prep.with_weights(train, prep.class_weights(train, label, mode), label, col)
+            train = prep.with_weights(train, prep.class_weights(None, label, mode, counts),
+                                      label, col)
         train = self.assembler.transform(self.scaler.transform(train))
         # Tree learners run one task per partition per pass: spread a small
         # training set over at least the cluster's cores (a big one already is).

@@ -121,10 +121,17 @@ def scaled_names(cols: list[str], suffix: str = "_z") -> list[str]:
 
 
 # --------------------------------------------------------------------------- L13
-def class_weights(df: DataFrame, label: str = LABEL, mode: str = "balanced") -> dict:
+def class_counts(df: DataFrame, label: str = LABEL) -> dict:
+    """Rows per class (one small aggregate; bounded by the number of classes)."""
+    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+
+
+def class_weights(df: DataFrame | None, label: str = LABEL, mode: str = "balanced",
+                  counts: dict | None = None) -> dict:
     """``balanced``: n / (k * n_c); ``unbalance``: positives weighted
-    n_neg / n_pos, negatives 1.  Reads only the per-class counts."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    n_neg / n_pos, negatives 1.  Reads only the per-class counts (pass
+    ``counts`` to reuse them)."""
+    counts = counts if counts is not None else class_counts(df, label)
     n, k = sum(counts.values()), len(counts)
     if mode == "balanced":
         return {c: n / (k * m) for c, m in counts.items()}
