@@ -68,3 +68,18 @@ def test_stream_ingest_monthly_layout(spark, tmp_path):
     ingest_csv(spark, str(src), table, ckpt, monthly_layout=True)
     got = sorted((r.source_month, r.event_type) for r in spark.read.parquet(table).collect())
     assert got == [("2019-Nov", "purchase"), ("2019-Oct", "cart")]
+
+
+def test_stream_ingest_is_incremental(spark, tmp_path):
+    src = tmp_path / "drops"
+    src.mkdir()
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    (src / "2019-Oct.csv").write_text(head + "2019-10-02 10:00:00 UTC,view,1,9,,b,5.0,7,s1\n")
+    table, ckpt = scratch_path(spark, "t-inc"), scratch_path(spark, "t-inc-ckpt")
+    ingest_csv(spark, str(src), table, ckpt, monthly_layout=True)
+    assert spark.read.parquet(table).count() == 1
+    (src / "2019-Nov.csv").write_text(head + "2019-11-02 10:00:00 UTC,cart,1,9,,b,5.0,7,s2\n"
+                                      "2019-11-02 10:01:00 UTC,purchase,1,9,,b,5.0,7,s2\n")
+    ingest_csv(spark, str(src), table, ckpt, monthly_layout=True)
+    got = {r.source_month: r["count"] for r in spark.read.parquet(table).groupBy("source_month").count().collect()}
+    assert got == {"2019-Oct": 1, "2019-Nov": 2}
