@@ -237,7 +237,11 @@ def q_event_funnel(spark, sf):
 
 
 def _model_ready(spark, sf):
-    return S.build_model_ready(load_events(spark, sf, valid_only=True))
+    """The model-ready table, written once per application and read by the
+    downstream keys (the processing step's output file the modelling
+    scripts read).  The ``model_ready`` key itself always recomputes."""
+    return _shared(spark, sf, "model_ready", lambda: materialize(
+        S.build_model_ready(load_events(spark, sf, valid_only=True)), "model-ready"))
 
 
 @register("class_balance")
@@ -399,7 +403,8 @@ def q_split_shapes(spark, sf):
 
 
 def _train_test(spark, sf):
-    s = materialize(PR.split_70_30(_model_ready(spark, sf)))
+    s = _shared(spark, sf, "split_70_30",
+                lambda: materialize(PR.split_70_30(_model_ready(spark, sf)), "split"))
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
