@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import scratch_path
 from .bpe import round_trip
 from .common import read_table
+from .exact_dedup import exact_duplicates
 from .packing import pack
+from .simhash import near_duplicates
 from .tokenfile import read_digests, write_token_files
+from .url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +41,12 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+@register("op1_simhash_near_dedup")
+def q_simhash(spark, sf):
+    return near_duplicates(read_table(spark, sf, "documents"), radius=3, width=3, seed=42) \
+        .select("doc_id", "fingerprint", "component_id")
+
+
 @register("op2_best_fit_packing")
 def q_packing(spark, sf):
     return pack(read_table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"),
@@ -56,3 +65,46 @@ def q_token_files(spark, sf):
     write_token_files(read_table(spark, sf, "documents"), path, vocabulary("byte_bpe_50k.json"),
                       end_id=0)
     return read_digests(spark, path)
+
+
+@register("op6_exact_dedup")
+def q_exact_dedup(spark, sf):
+    return exact_duplicates(read_table(spark, sf, "documents"))
+
+
+ORACLE["op6_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+# The rules of the query (verdict, host, path).
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@register("op8_url_filter")
+def q_url_filter(spark, sf):
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return filter_urls(read_table(spark, sf, "pages"), rules)
+
+
+ORACLE["op8_url_filter"] = """
+WITH rules(v, rh, rp) AS (VALUES %s),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS r
+         FROM pages),
+parts AS (SELECT row_number() OVER () AS n, page_id,
+                 translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fit AS (SELECT n, max(struct_pack(size := length(rh || rp), rule := rh || rp, verdict := v)) AS best
+        FROM parts JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+        GROUP BY n)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fit USING (n)
+""" % ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
