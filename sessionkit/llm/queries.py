@@ -9,14 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id, quality
 from ..session import scratch_path
 from .bpe import round_trip
-from .common import read_table
+from .common import read_table, share_package
 from .exact_dedup import exact_duplicates
+from .html_text import main_text
 from .packing import pack
 from .simhash import near_duplicates
 from .tokenfile import read_digests, write_token_files
+from .topk import top_k
 from .url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,8 +29,11 @@ ORACLE: dict[str, str] = {}
 
 def register(key: str):
     def deco(fn):
-        QUERIES[key] = fn
-        return fn
+        def query(spark: SparkSession, sf: str) -> DataFrame:
+            share_package(spark)
+            return fn(spark, sf)
+        QUERIES[key] = query
+        return query
     return deco
 
 
@@ -59,6 +66,12 @@ def q_byte_bpe(spark, sf):
                       split_pattern())
 
 
+@register("op4_quality_classifier")
+def q_quality(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return quality.score(docs, quality.fit(docs, read_table(spark, sf, "labels")))
+
+
 @register("op5_token_files")
 def q_token_files(spark, sf):
     path = scratch_path(spark, "token-files")
@@ -108,3 +121,36 @@ fit AS (SELECT n, max(struct_pack(size := length(rh || rp), rule := rh || rp, ve
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fit USING (n)
 """ % ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+
+
+@register("op7_html_main_text")
+def q_html(spark, sf):
+    return main_text(read_table(spark, sf, "pages"))
+
+
+@register("op9_language_id")
+def q_language_id(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    held = language_id.held_out("doc_id")
+    model = language_id.fit(docs.filter(~held), vocabulary("piece_bpe_32k.model"))
+    return language_id.identify(docs, model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@register("op10_exact_top_k")
+def q_top_k(spark, sf):
+    return top_k(read_table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+ORACLE["op10_exact_top_k"] = """
+WITH v AS (SELECT row_number() OVER () AS n, vec_id,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.n AS qn, q.vec_id AS query_id, c.n, c.vec_id,
+             CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.n <> c.n AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY qn ORDER BY score DESC, vec_id, n) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
