@@ -127,7 +127,7 @@ class SegmentTreeBPE:
 
     def _word_ids(self, words: list) -> list:
         found = [self.find(w) for w in words]
-        get = self.pieces.lookup(set().union(*found))
+        get = self.pieces.lookup(found)
         return [b"".join(map(get, f)) for f in found]
 
     def encode(self, texts: list):
@@ -135,7 +135,7 @@ class SegmentTreeBPE:
         texts = [t or "" for t in texts]
         for a, b in text_groups(texts):
             cut = [split_spaced(t) for t in texts[a:b]]
-            get = self.words.lookup(set().union(*cut))
+            get = self.words.lookup(cut)
             for words in cut:
                 yield b"".join(map(get, words))
 

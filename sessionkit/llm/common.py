@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from itertools import filterfalse
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,24 +36,26 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 class WordCache:
     """Word -> value map of a Python worker with a bound on its entries.
 
-    ``lookup`` is handed the words of one small group of texts.  Words seen
+    ``lookup`` is handed the word lists of one small group of texts.  Words seen
     before come from the map; the others are computed in one ``compute`` call
     (a list of words in, a list of values out).  The map has two generations
     of at most ``limit`` words each; words longer than ``max_len`` characters
     are never kept.  Only speed depends on it, never a result.
     """
 
-    def __init__(self, compute, limit: int = 250_000, max_len: int = 64):
+    def __init__(self, compute, limit: int = 500_000, max_len: int = 64):
         self.compute, self.limit, self.max_len = compute, limit, max_len
         self.new: dict = {}
         self.old: dict = {}
 
-    def lookup(self, words: set):
-        """A dict-like getter holding every word of ``words``."""
+    def lookup(self, texts: list):
+        """A getter for every word of ``texts`` (each a list of words)."""
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
-        missing, new, old = [], self.new, self.old
-        for w in words - new.keys():
+        new, old, unseen, missing = self.new, self.old, set(), []
+        for words in texts:
+            unseen.update(filterfalse(new.__contains__, words))
+        for w in unseen:
             v = old.get(w)
             if v is None:
                 missing.append(w)

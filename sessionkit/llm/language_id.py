@@ -150,7 +150,7 @@ class Model:
         texts = [t or "" for t in texts]
         for a, b in text_groups(texts):
             words = [t.split() for t in texts[a:b]]
-            get = scorer.lookup(set().union(*words))
+            get = scorer.lookup(words)
             for t, w in zip(texts[a:b], words):
                 if not n or not any(map(str.isalpha, t)):
                     yield UNDETERMINED, 0.0

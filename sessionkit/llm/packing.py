@@ -232,7 +232,8 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0,
                 [b.column(i) for i in range(5)] + [pa.array(bin_, pa.int64()),
                                                    pa.array(offset, pa.int64())],
                 names=[x.split()[0] for x in PACKED_SCHEMA.split(", ")])
-    ranked = pieces.join(bases.drop("count"), ["task", "length"]).select(
+    # grows with tasks and lengths, and packs small in files: never broadcast
+    ranked = pieces.join(bases.drop("count").hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         (F.col("base") + F.col("task_rank")).alias("rank"))
     return ranked.mapInArrow(run, PACKED_SCHEMA)

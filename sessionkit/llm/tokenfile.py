@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .common import only
 from .tokens import byte_encoder, text_groups
 
@@ -166,7 +167,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(FILE_SCHEMA).parquet(path)
     totals = rows.groupBy("shard").agg(F.max(F.col("start") + F.col("n_tokens")).alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    bases = materialize(totals.select(  # one row per shard, of known size
+        "shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")), "shard-bases")
     return rows.join(bases, "shard").withColumn("start", F.col("base") + F.col("start")) \
         .select(*_NAMES)
 

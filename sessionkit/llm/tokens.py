@@ -36,22 +36,48 @@ def id_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+def one_word(w: str) -> bool:
+    """One run without white space, a single space before it at most."""
+    parts = w.split()
+    return len(parts) == 1 and (w == parts[0] or w == " " + parts[0])
+
+
 class LibraryEncoder:
-    """Whole texts -> id bytes with a tokenizers file."""
+    """Whole texts -> id bytes with a tokenizers file.
+
+    ``cut`` cuts texts into pieces that encode on their own.  Pieces go to the
+    library joined by ``mark``, whose one id cannot come from such a piece, so
+    that one call encodes many; other pieces go one by one.
+    """
 
-    def __init__(self, path: str, cut):
+    def __init__(self, path: str, cut, mark: str, joinable):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cut = cut
+        self.cut, self.mark, self.joinable = cut, mark, joinable
+        self.mark_id, = self.tok.encode(mark, add_special_tokens=False).ids
         self.cache = WordCache(self._encode)
 
-    def _encode(self, words):
-        out = []
-        for i in range(0, len(words), 5000):
-            out += [id_bytes(e.ids) for e in
-                    self.tok.encode_batch_fast(words[i:i + 5000], add_special_tokens=False)]
+    def _ids(self, texts: list) -> list:
+        return [np.array(e.ids, dtype="<u4") for e in
+                self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, words: list) -> list:
+        out: list = [b""] * len(words)
+        join = [i for i, w in enumerate(words) if self.joinable(w)]
+        alone = set(range(len(words))).difference(join)
+        for i, ids in zip(alone, self._ids([words[i] for i in alone])):
+            out[i] = ids.tobytes()
+        for a in range(0, len(join), 1000):
+            part = join[a:a + 1000]
+            ids, = self._ids([self.mark.join([words[i] for i in part])])
+            ends = [*(np.flatnonzero(ids == self.mark_id) * 4).tolist(), 4 * len(ids)]
+            assert len(ends) == len(part)
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(part, ends):
+                out[i] = raw[start:end]
+                start = end + 4
         return out
 
     def encode(self, texts: list):
@@ -59,7 +85,7 @@ class LibraryEncoder:
         texts = [t or "" for t in texts]
         for a, b in text_groups(texts):
             pieces = [self.cut(t) for t in texts[a:b]]
-            get = self.cache.lookup(set().union(*pieces))
+            get = self.cache.lookup(pieces)
             for p in pieces:
                 yield b"".join(map(get, p))
 
@@ -67,10 +93,10 @@ class LibraryEncoder:
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> LibraryEncoder:
     """This worker's encoder for a word-level BPE that drops white space."""
-    return LibraryEncoder(path, split_words)
+    return LibraryEncoder(path, split_words, " \0 ", lambda w: "\0" not in w)
 
 
 @lru_cache(maxsize=4)
 def byte_encoder(path: str) -> LibraryEncoder:
     """This worker's encoder for a byte-level BPE."""
-    return LibraryEncoder(path, split_spaced)
+    return LibraryEncoder(path, split_spaced, "\n", one_word)
