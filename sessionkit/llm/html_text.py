@@ -10,7 +10,7 @@
    classes from the root, digits replaced) with their scores; votes are summed
    per host and path in Spark, so a host of any size is a few counts per task.
 3. Pages are parsed again and take the text under their host's winning path.
-   A page on which that path holds less than half of the text of its own best
+   A page on which that path holds less than a quarter of the text of its own best
    container (another template) takes its own best container instead.
 
 Blocks keep page order and are joined by an empty line; character references
@@ -198,12 +198,13 @@ class Page:
         return max(scores, key=lambda i: (scores[i], i)) if scores else 0
 
     def votes(self) -> dict:
-        """Generalised path -> score, for containers of at least half the text."""
+        """Generalised path -> score, for containers of at least half the text;
+        all but the best one at half their score."""
         out: dict = {}
-        held = self.weights()
+        held, best = self.weights(), self.best()
         for i, s in self.scores().items():
             if 2 * held[i] >= held[0]:
-                out[self.path[i]] = max(s, out.get(self.path[i], 0.0))
+                out[self.path[i]] = max(s if i == best else 0.5 * s, out.get(self.path[i], 0.0))
         return out
 
     def extract(self, path: str | None) -> str:
@@ -215,7 +216,7 @@ class Page:
             inside[i] = inside[i] or inside[self.parent[i]]
             own[i] = own[i] or own[self.parent[i]]
         size = lambda chosen: sum(len(t) for c, t, _ in self.blocks if chosen[c])
-        chosen = inside if 2 * size(inside) > size(own) else own
+        chosen = inside if 4 * size(inside) > size(own) else own
         return "\n\n".join(t for c, t, _ in self.blocks if chosen[c])
 
 
