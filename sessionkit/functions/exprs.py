@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Scales under this many machine epsilons count as constant, as in the reference's scalers.
+ZERO_SCALE = 10 * 2.220446049250313e-16
+
+
 def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -1,20 +1,17 @@
-"""Exact quantiles without gathering a column into one task.
-
-Spark's exact ``percentile`` / ``percentile_disc`` aggregates keep a map of
-every distinct value and merge it in a single task for a global aggregate;
-on a column of hashes or prices at 100 TB that is the whole column in one
-JVM.  Here an order statistic is *selected* instead:
-
-1. ``percentile_approx`` (a mergeable sketch of bounded size, partially
-   aggregated on every task) brackets the wanted rank: its rank error is at
-   most ``n / accuracy``;
-2. one ``count_if`` pass checks the bracket really contains the rank
-   (widening it if not) and counts the values below it;
-3. if the bracket holds at most ``local_limit`` values it is sorted inside
-   one aggregate (a bounded list per bracket) and only the wanted element is
-   returned; otherwise the same selection recurses on the bracket alone.
-
-All statistics of all columns are batched into the same aggregate passes.
+"""Exact quantiles by one range-partitioned selection, for any table size.
+
+All columns and ranks are answered by the same few jobs:
+
+1. the columns are unpivoted to (column, value) and counted per distinct value
+   (partial aggregation on the map side, so ties of any size cost one row);
+2. the distinct values are range-partitioned by (column, value) and written
+   once, each with the number of its partition;
+3. the rows per partition and column, summed over the partitions before, give
+   the partition that holds a wanted rank: partitions x columns numbers,
+   reduced in Spark to one row per wanted rank;
+4. in those partitions alone, the running count picks the value whose range of
+   ranks holds the wanted one.
+
 Interpolation follows numpy's ``linear`` method (the reference's pandas /
 scikit-learn quantiles); the discrete rank follows SQL ``percentile_disc``.
 """
@@ -23,12 +20,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 100_000
-LOCAL_LIMIT = 200_000
-_MAX_ROUNDS = 8
+from ..session import materialize
 
 
 def _lerp(a: float, b: float, t: float) -> float:
@@ -37,145 +32,61 @@ def _lerp(a: float, b: float, t: float) -> float:
     return a + d * t if t < 0.5 else b - d * (1.0 - t)
 
 
-def _select(df: DataFrame, targets: list[tuple[str, int]], depth: int = 0,
-            accuracy: int = ACCURACY, local_limit: int = LOCAL_LIMIT,
-            counts: dict | None = None) -> dict:
-    """Return {(col, rank): value} for 0-based ranks over the non-null values
-    of each column of ``df`` (which must hold only non-null rows per column,
-    see ``order_statistics``)."""
-    if not targets:
-        return {}
-    cols = sorted({c for c, _ in targets})
-    if counts is None:
-        counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    result: dict = {}
-    # Brackets from the sketch: probabilities around each rank.
-    pending = []
-    for c, r in targets:
-        n = counts[c]
-        if n == 0:
-            result[(c, r)] = None
-            continue
-        if n <= local_limit:
-            pending.append((c, r, None, None))
-            continue
-        p = r / max(n - 1, 1)
-        pending.append((c, r, p, n))
-    sketch_targets = [(c, r, p, n) for c, r, p, n in pending if p is not None]
-    brackets: dict = {}
-    if sketch_targets:
-        delta = 2.0 / accuracy
-        exprs = []
-        for i, (c, r, p, n) in enumerate(sketch_targets):
-            lo_p, hi_p = max(p - delta, 0.0), min(p + delta, 1.0)
-            exprs.append(F.percentile_approx(c, [lo_p, hi_p], accuracy).alias(f"b{i}"))
-        row = df.agg(*exprs).first()
-        for i, (c, r, p, n) in enumerate(sketch_targets):
-            lo, hi = row[f"b{i}"]
-            brackets[(c, r)] = [lo, hi]
-    # Verify brackets (and widen the rare miss) in batched count passes.
-    for _ in range(_MAX_ROUNDS):
-        todo = [(c, r) for (c, r) in brackets if len(brackets[(c, r)]) == 2]
-        if not todo:
-            break
-        exprs = []
-        for i, (c, r) in enumerate(todo):
-            lo, hi = brackets[(c, r)]
-            lo_cond = F.col(c) < F.lit(lo) if lo is not None else F.lit(False)
-            hi_cond = F.col(c) <= F.lit(hi) if hi is not None else F.col(c).isNotNull()
-            exprs += [F.count_if(lo_cond).alias(f"lt{i}"), F.count_if(hi_cond).alias(f"le{i}")]
-        row = df.agg(*exprs).first()
-        for i, (c, r) in enumerate(todo):
-            lt, le = row[f"lt{i}"], row[f"le{i}"]
-            lo, hi = brackets[(c, r)]
-            if lt <= r < le:
-                brackets[(c, r)] = [lo, hi, lt, le]
-            elif r < lt:
-                brackets[(c, r)] = [None, hi]  # open below: widen fully
-            else:
-                brackets[(c, r)] = [lo, None]  # open above
-    # Resolve: single-value brackets directly, small ones in one sorted-list
-    # aggregate, many-rows-few-values ones by value counts, large ones by
-    # recursion.
-    local: dict[str, list] = {}
-    for c, r, p, n in pending:
-        if p is None:
-            local.setdefault(c, []).append((r, None, None, 0))
-            continue
-        lo, hi, lt, le = brackets[(c, r)]
-        if lo is not None and hi is not None and lo == hi:
-            result[(c, r)] = lo  # the verified bracket holds one value (a tie)
-            continue
-        if le - lt > local_limit:
-            cond = F.col(c).isNotNull()
-            if lo is not None:
-                cond = cond & (F.col(c) >= F.lit(lo))
-            if hi is not None:
-                cond = cond & (F.col(c) <= F.lit(hi))
-            sub = df.filter(cond).select(c)
-            distinct = sub.agg(F.approx_count_distinct(c).alias("d")).first()["d"]
-            if distinct > local_limit and depth < _MAX_ROUNDS:
-                result[(c, r)] = _select(sub, [(c, r - lt)], depth + 1,
-                                         accuracy, local_limit)[(c, r - lt)]
-            else:
-                result[(c, r)] = _by_counts(sub, c, r - lt)
-            continue
-        local.setdefault(c, []).append((r, lo, hi, lt))
-    # One aggregate for every remaining bracket of every column: each bracket
-    # is a sorted list of its values (at most ``local_limit`` of them, built
-    # per task and merged), and only the selected elements leave the JVM.
-    if local:
-        exprs, spec = [], []
-        for c, items in local.items():
-            for r, lo, hi, base in items:
-                cond = F.col(c).isNotNull()
-                if lo is not None:
-                    cond = cond & (F.col(c) >= F.lit(lo))
-                if hi is not None:
-                    cond = cond & (F.col(c) <= F.lit(hi))
-                values = F.sort_array(F.collect_list(F.when(cond, F.col(c))))
-                exprs.append(F.try_element_at(values, F.lit(r - base + 1)).alias(f"s{len(spec)}"))
-                spec.append((c, r))
-        row = df.agg(*exprs).first()
-        for i, key in enumerate(spec):
-            result[key] = row[f"s{i}"]
-    return result
-
-
-def _by_counts(sub: DataFrame, c: str, want: int):
-    """Rank ``want`` of a bracket with many rows but few distinct values:
-    (value, count) pairs, bounded by the distinct values, walked in order."""
-    acc = 0
-    for v, k in sorted((row[c], row["count"]) for row in sub.groupBy(c).count().collect()):
-        acc += k
-        if acc > want:
-            return v
-    return None
-
-
-def order_statistics(df: DataFrame, targets: list[tuple[str, int]], **kw) -> dict:
-    return _select(df.select(*sorted({c for c, _ in targets})), targets, **kw)
-
-
-def column_counts(df: DataFrame, cols: list[str]) -> dict:
-    return df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+class ValueCounts:
+    """The counted, range-partitioned distinct values of some columns."""
+
+    def __init__(self, df: DataFrame, cols: list[str]):
+        self.cols = list(dict.fromkeys(cols))
+        pairs = ", ".join(f"{i}, cast(`{c}` as double)" for i, c in enumerate(self.cols))
+        values = df.selectExpr(f"stack({len(self.cols)}, {pairs}) as (c, v)") \
+            .filter("v is not null and not isnan(v)")
+        counted = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        self.values = materialize(
+            counted.repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()),
+            "value-counts")
+        per_part = self.values.groupBy("c", "part").agg(F.sum("n").alias("n"))
+        before = Window.partitionBy("c").orderBy("part")
+        self.parts = materialize(per_part.withColumn(
+            "upto", F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, 0))), "value-parts")
+        found = {r["c"]: r["n"] for r in
+                 self.parts.groupBy("c").agg(F.max("upto").alias("n")).collect()}
+        self.counts = {c: found.get(i, 0) for i, c in enumerate(self.cols)}
+
+    def select(self, targets: set[tuple[str, int]]) -> dict:
+        """{(column, rank): value} for 0-based ranks below the column's count."""
+        targets = {t for t in targets if t[1] < self.counts[t[0]]}
+        if not targets:
+            return {}
+        number = {c: i for i, c in enumerate(self.cols)}
+        spark = self.values.sparkSession
+        wanted = spark.createDataFrame([(number[c], int(r)) for c, r in targets],
+                                       "c int, rank bigint")
+        hits = self.parts.join(F.broadcast(wanted), "c").filter(
+            (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))) \
+            .select("c", "part", "rank", (F.col("upto") - F.col("n")).alias("base"))
+        ranks = hits.groupBy("c", "part", "base").agg(F.collect_list("rank").alias("ranks"))
+        run = F.sum("n").over(Window.partitionBy("c", "part").orderBy("v")
+                              .rowsBetween(Window.unboundedPreceding, 0))
+        rows = self.values.join(F.broadcast(ranks), ["c", "part"]) \
+            .withColumn("upto", F.col("base") + run) \
+            .withColumn("rank", F.explode(F.expr(
+                "filter(ranks, r -> r < upto and r >= upto - n)")))
+        return {(self.cols[r["c"]], r["rank"]): r["v"] for r in rows.select("c", "rank", "v").collect()}
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    discrete: bool = False, **kw) -> dict[str, list]:
+                    discrete: bool = False) -> dict[str, list]:
     """Exact quantiles of each column (nulls and NaN ignored).
 
     ``discrete=False``: linear interpolation between order statistics
     (numpy / pandas / DuckDB ``quantile_cont``).
     ``discrete=True``: SQL ``percentile_disc`` (0-based rank ceil(p*n)-1).
     """
-    clean = df.select([F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).alias(c)
-                       for c in cols])
-    n_by_col = column_counts(clean, cols)
+    values = ValueCounts(df, cols)
     plan: dict[str, list] = {}
     targets = set()
     for c in cols:
-        n = n_by_col[c]
+        n = values.counts[c]
         plan[c] = []
         for p in probs:
             if n == 0:
@@ -190,8 +101,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 lo, hi = math.floor(h), math.ceil(h)
                 plan[c].append((lo, hi, h - lo))
                 targets.update({(c, lo), (c, hi)})
-    stats = (order_statistics(clean, sorted(targets), counts=n_by_col, **kw)
-             if targets else {})
+    stats = values.select(targets)
     out: dict[str, list] = {}
     for c in cols:
         vals = []
@@ -216,9 +126,8 @@ def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
 
 
-def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True,
-              **kw) -> dict[str, list]:
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], exact: bool = True) -> dict[str, list]:
     """Exact (default) or approximate quantiles of each column."""
     if exact:
-        return exact_quantiles(df, cols, probs, **kw)
-    return approx_quantiles(df, cols, probs, **kw)
+        return exact_quantiles(df, cols, probs)
+    return approx_quantiles(df, cols, probs)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import valid_price
 from ..functions.quantiles import quantiles
+from ..session import materialize
 
 # The describe() statistics, in pandas order.
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -74,8 +75,10 @@ def describe(df: DataFrame, cols: list[str], long: bool = True,
              exact: bool = True) -> DataFrame:
     """Pandas ``describe``: count, mean, std (sample), min,
     quartiles (linear interpolation, exact), max."""
-    clean = df.select([F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-                       .alias(c) for c in cols])
+    # written once: the moments and the quantiles read it, not the plan above
+    clean = materialize(df.select([
+        F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
+        for c in cols]), "described")
     q = quantiles(clean, cols, [0.25, 0.5, 0.75], exact=exact)
     aggs = []
     for c in cols:
@@ -137,14 +140,13 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
             .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint")))
 
 
-def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
+def kde(df: DataFrame, col: str, grid: int = 200, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density on ``grid`` points over [min, max] with
-    Scott's bandwidth ``std * n ** (-1/5)``.
+    Scott's bandwidth ``std * n ** (-1/5)``; ``bins`` scales the curve to the
+    counts of a histogram of that many bins over the same range.
 
-    Values are first grouped by distinct value (partial aggregation), each
-    distinct value is paired with the grid indices inside the same stage, and
-    a ``grid``-group aggregate sums the kernels: every task ships at most
-    ``grid`` partial sums.  No cross join; the grid is generated per row.
+    One aggregate holds a sum per grid point, so every task ships ``grid``
+    partial sums and no row is multiplied or shuffled.
     """
     x = F.col(col).cast("double")
     data = df.filter(x.isNotNull() & ~F.isnan(x))
@@ -157,13 +159,16 @@ def kde(df: DataFrame, col: str, grid: int = 200) -> DataFrame:
     h = sd * n ** (-1.0 / 5.0)
     step = (hi - lo) / (grid - 1)
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    vc = data.groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    pts = vc.select("v", "k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
-    gx = F.col("point").cast("double") * F.lit(step) + F.lit(lo)
-    z = (gx - F.col("v")) / F.lit(h)
-    sums = pts.groupBy("point").agg(F.sum(F.col("k") * F.exp(F.lit(-0.5) * z * z)).alias("s"))
-    return sums.select(F.col("point").cast("int").alias("point"), gx.alias("x"),
-                       (F.col("s") * F.lit(norm)).alias("density"))
+    if bins:
+        norm *= n * (hi - lo) / bins
+    points = [i * step + lo for i in range(grid)]
+    v = data.select(x.alias("v"))
+    sums = v.agg(*[F.sum(F.exp(-0.5 * ((F.lit(g) - F.col("v")) / h)
+                               * ((F.lit(g) - F.col("v")) / h))).alias(f"s{i}")
+                   for i, g in enumerate(points)])
+    stacked = ", ".join(f"{i}, double('{g!r}'), s{i}" for i, g in enumerate(points))
+    return sums.selectExpr(f"stack({grid}, {stacked}) as (point, x, s)").select(
+        "point", "x", (F.col("s") * F.lit(norm)).alias("density"))
 
 
 def means_by(df: DataFrame, by: str, cols: list[str]) -> DataFrame:

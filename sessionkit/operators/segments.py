@@ -15,7 +15,7 @@ import time
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (finite_or_null, fmt_int_half_even, per_minute, ratio_plus_one,
+from ..functions.exprs import (ZERO_SCALE, finite_or_null, fmt_int_half_even, per_minute, ratio_plus_one,
                                seconds_between)
 from ..functions.quantiles import quantiles
 
@@ -94,15 +94,15 @@ def log_features(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 # --------------------------------------------------------------------------- K2
 def fit_robust_scaler(df: DataFrame, cols: list[str],
                       exact: bool = True) -> dict[str, tuple[float, float]]:
-    """K2 fit: centre = median, scale = Q3 - Q1 (1 where that is 0, so a
-    constant or sparse column is left unscaled instead of zeroed)."""
+    """K2 fit: centre = median, scale = Q3 - Q1 (1 where that is 0 or of
+    rounding size, so a constant or sparse column is left unscaled)."""
     q = quantiles(df.select(*cols), cols, [0.25, 0.5, 0.75], exact=exact)
     out = {}
     for c in cols:
         q1, med, q3 = q[c]
         iqr = (q3 - q1) if q1 is not None else None
         out[c] = (med if med is not None else 0.0,
-                  iqr if iqr not in (None, 0, 0.0) else 1.0)
+                  iqr if iqr is not None and iqr >= ZERO_SCALE else 1.0)
     return out
 
 

@@ -163,7 +163,8 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
     """A3 (T5/T6): one row per (month, session) -- or per session for the
     notebook form A4 -- with times, distinct counts, price stats, type
     counts, first user and label, in a single aggregate (the reference's
-    separate pivot + aggregate + join, J1, fused).
+    separate pivot + aggregate + join, J1, fused).  Events without the brand
+    or category column give sessions without their counts.
     """
     keys = (["source_month", SESSION] if by_month else [SESSION])
     ev = events.filter(F.col(SESSION).isNotNull())
@@ -173,8 +174,8 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
         _distinct("product_id", distinct_mode).alias("products_viewed"),
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
-        _distinct("brand", distinct_mode).alias("brands_viewed"),
-        _distinct("category_code", distinct_mode).alias("categories_viewed"),
+        *[_distinct(c, distinct_mode).alias(n) for c, n in
+          (("brand", "brands_viewed"), ("category_code", "categories_viewed")) if c in ev.columns],
         abandoned_flag_agg().alias(LABEL),
         _first_non_null(ev, "user_id").alias("user_id"),
         *_type_counts(PROC_COUNT_NAMES, require_time=True),
@@ -204,8 +205,8 @@ def segment_sessions(events: DataFrame, distinct_mode: str = "expand") -> DataFr
         F.count(F.lit(1)).alias("total_events"),
         *counts,
         _distinct("product_id", distinct_mode).alias("unique_products"),
-        _distinct("brand", distinct_mode).alias("unique_brands"),
-        _distinct("category_code", distinct_mode).alias("unique_categories"),
+        *[_distinct(c, distinct_mode).alias(n) for c, n in
+          (("brand", "unique_brands"), ("category_code", "unique_categories")) if c in ev.columns],
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.sum("price").alias("total_price"),
@@ -234,8 +235,12 @@ def returning_users(sessions: DataFrame, method: str = "join") -> DataFrame:
     if method == "window":
         from pyspark.sql import Window
         first = F.min("session_start").over(Window.partitionBy("user_id"))
-        out = sessions.withColumn("user_first_session_time",
-                                  F.when(F.col("user_id").isNotNull(), first))
+        known = sessions.filter(F.col("user_id").isNotNull())
+        # null users are no user: they never meet in one window
+        out = known.withColumn("user_first_session_time", first).unionByName(
+            sessions.filter(F.col("user_id").isNull())
+            .withColumn("user_first_session_time", F.lit(None).cast(
+                sessions.schema["session_start"].dataType)))
     else:
         out = sessions.join(user_first_session(sessions), "user_id", "left")
     return out.withColumn(
@@ -264,8 +269,8 @@ def union_months(*months: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- F3
 def model_ready(sessions: DataFrame, index: bool = True) -> DataFrame:
     """F3 (T7): the 9 stored features, label last, plus the session index."""
-    keys = [c for c in ("source_month", SESSION) if index and c in sessions.columns]
-    return sessions.select(*keys, *MODEL_READY_FEATURES, LABEL)
+    keys = ["source_month", SESSION] if index else []
+    return select_existing(sessions, [*keys, *MODEL_READY_FEATURES, LABEL])
 
 
 def build_model_ready(events: DataFrame, returning_method: str = "join",

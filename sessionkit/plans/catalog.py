@@ -16,7 +16,7 @@ from ..functions.exprs import seconds_between
 from ..operators import profile as P
 from ..operators import segments as SG
 from ..operators import sessions as S
-from ..session import materialize, scratch_path
+from ..session import delete_scratch, folder_state, materialize, scratch_path
 from ..sources import io as IO
 from ..sources.adapter import load_events
 from ..sources.schema import EVENT_COLUMNS
@@ -40,15 +40,37 @@ _SHARED: dict = {}
 
 
 def _shared(spark, sf, what, build):
-    """Per-application memo: the split/scaled training data and the trained
+    """Per-application memo, tied to the state of the input files: the split/scaled training data and the trained
     champion are built once and shared by the model keys, as the reference
     prepares its data once per script and trains every model on it."""
-    key = (spark.conf.get("spark.app.id", str(id(spark))), sf, what)
+    state = tuple(folder_state(spark, f"{sf.rstrip('/')}/{t}.parquet") for t in ("events", "part"))
+    key = (spark.sparkContext.applicationId, sf, state, what)
     if key not in _SHARED:
         _SHARED[key] = build()
     return _SHARED[key]
 
 
+def release(spark: SparkSession) -> None:
+    """Forget the shared tables of this application, drop what it has cached
+    and delete its scratch tables.  Results read after this are lost."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _SHARED if k[0] == app]:
+        if isinstance(held := _SHARED.pop(key), M.Prepared):
+            held.unpersist()
+    for df in _CACHED.pop(app, []):
+        df.unpersist()
+    delete_scratch(spark)
+
+
+_CACHED: dict[str, list] = {}
+
+
+def _cached(df: DataFrame) -> DataFrame:
+    """A small table that a key reads more than once; dropped by ``release``."""
+    _CACHED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(df.persist())
+    return df
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every float/double column (R keys)."""
     return df.select([
@@ -57,14 +79,25 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields])
 
 
-def _valid(spark, sf):
-    return S.valid_events(load_events(spark, sf, valid_only=True))
+#: The event columns that need no product table.
+OWN_COLUMNS = [c for c in EVENT_COLUMNS if c not in ("brand", "category_code")]
+
+
+def _events(spark, sf, columns=None, **kw):
+    """The events of the folder; the session's ``sessionkit.inputPartitions``
+    (unset: the input's own splits) deals a small input over the cores."""
+    n = spark.conf.get("sessionkit.inputPartitions", None)
+    return load_events(spark, sf, columns=columns, partitions=int(n) if n else None, **kw)
+
+
+def _valid(spark, sf, columns=None, require_session=True, **kw):
+    return S.valid_events(_events(spark, sf, columns, valid_only=True, **kw), require_session)
 
 
 # ----------------------------------------------------------------- sessions
 @register("model_ready")
 def q_model_ready(spark, sf):
-    return round_doubles(S.build_model_ready(load_events(spark, sf, valid_only=True)))
+    return round_doubles(S.build_model_ready(_events(spark, sf, valid_only=True)))
 
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -86,18 +119,18 @@ def q_valid_events(spark, sf):
 
 @register("labeled_events")
 def q_labeled_events(spark, sf):
-    lab = S.labeled_events(_valid(spark, sf))
+    lab = S.labeled_events(_valid(spark, sf, ["event_id", S.SESSION, "event_type", "price"]))
     return lab.select("event_id", "user_session", "event_type", "is_abandoned")
 
 
 @register("event_type_pivot")
 def q_event_type_pivot(spark, sf):
-    return S.event_type_pivot(_valid(spark, sf))
+    return S.event_type_pivot(_valid(spark, sf, OWN_COLUMNS))
 
 
 @register("basic_sessions")
 def q_basic_sessions(spark, sf):
-    return round_doubles(S.basic_sessions(_valid(spark, sf)))
+    return round_doubles(S.basic_sessions(_valid(spark, sf, OWN_COLUMNS)))
 
 
 def _session_times_out(df):
@@ -147,7 +180,7 @@ def q_returning_users_join(spark, sf):
 
 @register("join_counts")
 def q_join_counts(spark, sf):
-    ev = _valid(spark, sf)
+    ev = materialize(_valid(spark, sf, OWN_COLUMNS), "valid-events")
     aggs = (ev.groupBy(S.SESSION)
             .agg(F.count_distinct("product_id").alias("products_viewed"),
                  F.max("price").alias("max_price")))
@@ -157,7 +190,7 @@ def q_join_counts(spark, sf):
 
 @register("union_months")
 def q_union_months(spark, sf):
-    months = [S.enriched_sessions(S.valid_events(load_events(spark, sf, valid_only=True, month=m)),
+    months = [S.enriched_sessions(_valid(spark, sf, OWN_COLUMNS, month=m),
                                   by_month=True, keep_times=False) for m in ("A", "B")]
     out = S.union_months(*months)
     return round_doubles(out.select("source_month", S.SESSION, "products_viewed", "num_views",
@@ -167,7 +200,7 @@ def q_union_months(spark, sf):
 
 @register("session_duration")
 def q_session_duration(spark, sf):
-    s = S.segment_sessions(_valid(spark, sf))
+    s = S.segment_sessions(_valid(spark, sf, OWN_COLUMNS))
     return round_doubles(s.select(S.SESSION, seconds_between("session_start", "session_end")
                                   .alias("duration_seconds")))
 
@@ -177,63 +210,80 @@ def q_session_duration(spark, sf):
 
 @register("preview")
 def q_preview(spark, sf):
-    return _events_out(P.preview(load_events(spark, sf), 5))
+    return _events_out(P.preview(_events(spark, sf), 5))
 
 
 @register("null_profile")
 def q_null_profile(spark, sf):
-    return P.null_profile(load_events(spark, sf))
+    return P.null_profile(_events(spark, sf))
 
 
 @register("distinct_counts")
 def q_distinct_counts(spark, sf):
-    return P.distinct_counts(load_events(spark, sf))
+    return P.distinct_counts(_events(spark, sf))
 
 
 @register("event_share")
 def q_event_share(spark, sf):
-    return round_doubles(P.value_share(load_events(spark, sf), "event_type"))
+    return round_doubles(P.value_share(_events(spark, sf, OWN_COLUMNS), "event_type"))
 
 
 @register("top_brands")
 def q_top_brands(spark, sf):
-    return P.top_values(load_events(spark, sf), "brand", 10)
+    return P.top_values(_events(spark, sf), "brand", 10)
 
 
 @register("top_categories")
 def q_top_categories(spark, sf):
-    return P.top_values(load_events(spark, sf), "category_code", 10)
+    return P.top_values(_events(spark, sf), "category_code", 10)
 
 
 @register("describe_price")
 def q_describe_price(spark, sf):
-    return round_doubles(P.describe(load_events(spark, sf), ["price"]))
+    return round_doubles(P.describe(_events(spark, sf, OWN_COLUMNS), ["price"]))
+
+
+@register("describe_price_valid")
+def q_describe_price_valid(spark, sf):
+    """P7 after the price filter; events without a session count too."""
+    return round_doubles(P.describe(_valid(spark, sf, OWN_COLUMNS, require_session=False),
+                                    ["price"]))
 
 
 @register("zero_price_by_type")
 def q_zero_price_by_type(spark, sf):
-    return P.zero_price_by_type(load_events(spark, sf))
+    return P.zero_price_by_type(_events(spark, sf, OWN_COLUMNS))
 
 
 @register("clean_counts")
 def q_clean_counts(spark, sf):
-    return P.clean_counts(load_events(spark, sf))
+    return P.clean_counts(_events(spark, sf, OWN_COLUMNS))
 
 
 @register("price_histogram")
 def q_price_histogram(spark, sf):
-    return round_doubles(P.histogram(_valid(spark, sf), "price", 50))
+    return round_doubles(P.histogram(_valid(spark, sf, OWN_COLUMNS, require_session=False),
+                                     "price", 50))
 
 
 @register("price_kde")
 def q_price_kde(spark, sf):
-    return round_doubles(P.kde(_valid(spark, sf), "price", 200))
+    return round_doubles(P.kde(_valid(spark, sf, OWN_COLUMNS, require_session=False),
+                               "price", 200))
+
+
+@register("price_kde_counts")
+def q_price_kde_counts(spark, sf):
+    """P11 scaled to the counts of the 50-bin histogram it is drawn over."""
+    return round_doubles(P.kde(_valid(spark, sf, OWN_COLUMNS, require_session=False),
+                               "price", 200, bins=50))
 
 
 @register("event_funnel")
 def q_event_funnel(spark, sf):
-    ev = _valid(spark, sf)
-    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"))
+    ev = _valid(spark, sf, OWN_COLUMNS, require_session=False)
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("count")) \
+        .orderBy(F.desc("count"), "event_type")
 
 
 def _model_ready(spark, sf):
@@ -241,7 +291,7 @@ def _model_ready(spark, sf):
     downstream keys (the processing step's output file the modelling
     scripts read).  The ``model_ready`` key itself always recomputes."""
     return _shared(spark, sf, "model_ready", lambda: materialize(
-        S.build_model_ready(load_events(spark, sf, valid_only=True)), "model-ready"))
+        S.build_model_ready(_events(spark, sf, valid_only=True)), "model-ready"))
 
 
 @register("class_balance")
@@ -249,8 +299,14 @@ def q_class_balance(spark, sf):
     return round_doubles(P.value_share(_model_ready(spark, sf), S.LABEL, pct=False))
 
 
+@register("class_balance_percent")
+def q_class_balance_percent(spark, sf):
+    """P13 in the notebook's form: percent of the basic sessions' outcomes."""
+    return round_doubles(P.value_share(_basic(spark, sf), S.LABEL, pct=True))
+
+
 def _basic(spark, sf):
-    return S.basic_sessions(_valid(spark, sf))
+    return S.basic_sessions(_valid(spark, sf, OWN_COLUMNS))
 
 
 BASIC_FEATURES = PR.BASIC_FEATURES
@@ -269,13 +325,13 @@ def q_means_by_outcome(spark, sf):
 # ----------------------------------------------------------------- segmentation
 
 
-def _segment_features(spark, sf):
-    return SG.segment_features(S.segment_sessions(_valid(spark, sf)))
+def _segment_features(spark, sf, columns=None):
+    return SG.segment_features(S.segment_sessions(_valid(spark, sf, columns)))
 
 
 @register("segment_features")
 def q_segment_features(spark, sf):
-    f = _segment_features(spark, sf)
+    f = _segment_features(spark, sf, OWN_COLUMNS)
     return round_doubles(f.select(S.SESSION, "duration_seconds", "events_per_minute",
                                   "cart_to_view_ratio", "purchase_to_cart_ratio",
                                   "products_per_event"))
@@ -283,7 +339,7 @@ def q_segment_features(spark, sf):
 
 @register("log_features")
 def q_log_features(spark, sf):
-    f = SG.log_features(_segment_features(spark, sf), SG.LOG_FEATURES)
+    f = SG.log_features(_segment_features(spark, sf, OWN_COLUMNS), SG.LOG_FEATURES)
     return round_doubles(f.select(S.SESSION, *SG.LOG_FEATURES))
 
 
@@ -330,18 +386,18 @@ def q_cluster_analysis(spark, sf):
 
 @register("cluster_thresholds")
 def q_cluster_thresholds(spark, sf):
-    return round_doubles(SG.thresholds_frame(_analysis(spark, sf).persist()))
+    return round_doubles(SG.thresholds_frame(_cached(_analysis(spark, sf))))
 
 
 @register("cluster_names")
 def q_cluster_names(spark, sf):
-    return SG.cluster_names(_analysis(spark, sf).persist())
+    return SG.cluster_names(_cached(_analysis(spark, sf)))
 
 
 @register("named_sessions")
 def q_named_sessions(spark, sf):
     assigned = _assigned(spark, sf)
-    names = SG.cluster_names(SG.cluster_analysis(assigned).persist())
+    names = SG.cluster_names(_cached(SG.cluster_analysis(assigned)))
     return SG.named_sessions(assigned, names).select(
         S.SESSION, SG.CLUSTER_COL, "cluster_name", "cluster_description")
 
@@ -349,7 +405,7 @@ def q_named_sessions(spark, sf):
 @register("cluster_summary")
 def q_cluster_summary(spark, sf):
     assigned = materialize(_assigned(spark, sf))
-    names = SG.cluster_names(SG.cluster_analysis(assigned).persist())
+    names = SG.cluster_names(_cached(SG.cluster_analysis(assigned)))
     return round_doubles(SG.cluster_summary(SG.named_sessions(assigned, names)))
 
 
@@ -370,7 +426,7 @@ def q_cluster_intensity(spark, sf):
 
 @register("cluster_cards")
 def q_cluster_cards(spark, sf):
-    a = _analysis(spark, sf).persist()
+    a = _cached(_analysis(spark, sf))
     return round_doubles(SG.cluster_cards(a, SG.cluster_names(a)))
 
 
@@ -539,7 +595,7 @@ def q_champion_score(spark, sf):
 def q_csv_scan(spark, sf):
     """Events written as CSV, read back with the declared schema."""
     path = scratch_path(spark, "events-csv")
-    IO.write_csv(load_events(spark, sf), path)
+    IO.write_csv(_events(spark, sf), path)
     return _events_out(IO.read_events_csv(spark, path))
 
 
@@ -548,7 +604,7 @@ def q_csv_ingest_stream(spark, sf):
     """S1 + S4 incrementally: CSV drops -> partitioned Parquet via a file
     stream with an available-now trigger and a checkpoint."""
     src = scratch_path(spark, "events-csv-drop")
-    IO.write_csv(load_events(spark, sf), src)
+    IO.write_csv(_events(spark, sf), src)
     table = scratch_path(spark, "events-ingested")
     ingest_csv(spark, src, table, scratch_path(spark, "ingest-ckpt"))
     return _events_out(IO.read_parquet(spark, table).select(*EVENT_COLUMNS))
@@ -558,7 +614,7 @@ def q_csv_ingest_stream(spark, sf):
 def q_parquet_scan(spark, sf):
     """S3: one monthly file of a month-partitioned table (partition pruning)."""
     path = scratch_path(spark, "events-monthly")
-    IO.write_parquet(load_events(spark, sf), path, ["source_month"])
+    IO.write_parquet(_events(spark, sf), path, ["source_month"])
     return _events_out(IO.read_parquet(spark, path, months=["A"]).select(*EVENT_COLUMNS))
 
 
@@ -566,7 +622,7 @@ def q_parquet_scan(spark, sf):
 def q_parquet_roundtrip(spark, sf):
     """Snappy Parquet sink and scan of the whole event table."""
     path = scratch_path(spark, "events-parquet")
-    IO.write_parquet(load_events(spark, sf), path)
+    IO.write_parquet(_events(spark, sf), path)
     return _events_out(IO.read_parquet(spark, path))
 
 
@@ -581,20 +637,20 @@ def q_csv_report_roundtrip(spark, sf):
 @register("narrow_types")
 def q_narrow_types(spark, sf):
     """The event table with every numeric column narrowed."""
-    narrowed, _ = IO.narrow_types(load_events(spark, sf))
+    narrowed, _ = IO.narrow_types(_events(spark, sf))
     return _events_out(narrowed)
 
 
 @register("narrow_report")
 def q_narrow_report(spark, sf):
     """Old -> new type per numeric column."""
-    return IO.narrow_report(load_events(spark, sf))
+    return IO.narrow_report(_events(spark, sf))
 
 
 @register("low_cardinality")
 def q_low_cardinality(spark, sf):
     """Distinct / rows per string column, below 0.5 -> category."""
-    return round_doubles(IO.low_cardinality(load_events(spark, sf)))
+    return round_doubles(IO.low_cardinality(_events(spark, sf)))
 
 
 @register("notebook_models")

@@ -240,6 +240,9 @@ def describe_sql(source: str, cols: list[str]) -> str:
 
 ORACLE["describe_price"] = with_ctes(EVENTS_CTE_SQL) + "\n" + describe_sql("ev", ["price"])
 
+ORACLE["describe_price_valid"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + "\n" + describe_sql(
+    "valid", ["price"])
+
 ORACLE["zero_price_by_type"] = with_ctes(EVENTS_CTE_SQL) + """
 SELECT event_type, count(*) AS count FROM ev WHERE price = 0 GROUP BY event_type"""
 
@@ -273,6 +276,11 @@ SELECT CAST(g.point AS INTEGER) AS point, round(g.x, 6) AS x,
              * (1.0 / (pr.n * pr.h * sqrt(2.0 * pi()))), 6) AS density
 FROM g, vc, pr GROUP BY g.point, g.x, pr.n, pr.h"""
 
+ORACLE["price_kde_counts"] = ORACLE["price_kde"].replace(
+    "(1.0 / (pr.n * pr.h * sqrt(2.0 * pi())))", "(pr.w / (pr.h * sqrt(2.0 * pi())))").replace(
+    "(hi - lo) / 199 AS step FROM st", "(hi - lo) / 199 AS step, (hi - lo) / 50 AS w FROM st").replace(
+    "pr.n, pr.h", "pr.w, pr.h")
+
 ORACLE["event_funnel"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + """
 SELECT event_type, count(*) AS count FROM valid GROUP BY event_type ORDER BY count DESC"""
 
@@ -280,6 +288,10 @@ ORACLE["class_balance"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE
 SELECT is_abandoned, count, {r6('count / sum(count) OVER ()', 'share')}
 FROM (SELECT is_abandoned, count(*) AS count FROM ps GROUP BY is_abandoned)"""
 
+ORACLE["class_balance_percent"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, BASIC_CTE) + f"""
+SELECT is_abandoned, count, {r6('count / sum(count) OVER () * 100.0', 'percent')}
+FROM (SELECT is_abandoned, count(*) AS count FROM basic GROUP BY is_abandoned)"""
+
 ORACLE["describe_sessions"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, BASIC_CTE) + "\n" + describe_sql(
     "basic", ["event_count", "products_viewed", "duration_seconds"])
 
@@ -538,7 +550,8 @@ SELECT 'balanced' AS mode, is_abandoned, round(n / (k * count), 6) AS weight, co
 FROM cnt, tot
 UNION ALL
 SELECT 'unbalance', is_abandoned,
-       round(CASE WHEN is_abandoned = 1 THEN CAST(neg AS DOUBLE) / pos ELSE 1.0 END, 6), count
+       round(greatest(CASE WHEN is_abandoned = 1 THEN CAST(neg AS DOUBLE) / pos
+                           ELSE CAST(pos AS DOUBLE) / neg END, 1.0), 6), count
 FROM cnt, tot"""
 
 CONF_CTE = """

@@ -16,6 +16,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import ZERO_SCALE
 from ..functions.quantiles import exact_quantiles
 
 SEED = 42
@@ -34,7 +35,6 @@ EDA_FEATURES = [
 BASIC_FEATURES = ["event_count", "products_viewed", "duration_seconds"]
 LABEL = "is_abandoned"
 KEYS = ["source_month", "user_session"]
-MAX_STRATA = 1000
 
 
 def key_hash(keys: list[str], salt: str) -> Column:
@@ -45,10 +45,8 @@ def key_hash(keys: list[str], salt: str) -> Column:
 
 
 def _strata(df: DataFrame, label: str) -> list:
-    vals = [r[0] for r in df.select(label).distinct().limit(MAX_STRATA + 1).collect()]
-    if len(vals) > MAX_STRATA:
-        raise ValueError(f"{label} has more than {MAX_STRATA} classes; not a stratum")
-    return vals
+    """The classes of the label (a column of few classes by its meaning)."""
+    return [r[0] for r in df.select(label).distinct().collect()]
 
 
 def stratified_assign(df: DataFrame, label: str, cum_probs: list[float], names: list[str],
@@ -103,7 +101,7 @@ def add_folds(train: DataFrame, label: str = LABEL, n_folds: int = 3,
 # --------------------------------------------------------------------------- L7
 def fit_standard_scaler(train: DataFrame, cols: list[str], suffix: str = "_z") -> SQLTransformer:
     """(x - mean) / population std, fitted on the training rows only
-    (one aggregate).  Zero std -> scale 1.  Returned as a ``SQLTransformer``
+    (one aggregate).  Zero or rounding-size std -> scale 1.  Returned as a ``SQLTransformer``
     so it is a persistable stage of the saved pipeline."""
     row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                     *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
@@ -111,7 +109,7 @@ def fit_standard_scaler(train: DataFrame, cols: list[str], suffix: str = "_z") -
     for c in cols:
         m = row[f"m_{c}"] or 0.0
         s = row[f"s_{c}"]
-        s = s if s not in (None, 0.0) else 1.0
+        s = s if s is not None and s >= ZERO_SCALE else 1.0
         exprs.append(f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({s!r}) AS `{c}{suffix}`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
 
@@ -128,8 +126,8 @@ def class_counts(df: DataFrame, label: str = LABEL) -> dict:
 
 def class_weights(df: DataFrame | None, label: str = LABEL, mode: str = "balanced",
                   counts: dict | None = None) -> dict:
-    """``balanced``: n / (k * n_c); ``unbalance``: positives weighted
-    n_neg / n_pos, negatives 1.  Reads only the per-class counts (pass
+    """``balanced``: n / (k * n_c); ``unbalance``: the rarer of the two
+    classes weighted by the ratio of their sizes, the other 1.  Reads only the per-class counts (pass
     ``counts`` to reuse them)."""
     counts = counts if counts is not None else class_counts(df, label)
     n, k = sum(counts.values()), len(counts)
@@ -137,7 +135,9 @@ def class_weights(df: DataFrame | None, label: str = LABEL, mode: str = "balance
         return {c: n / (k * m) for c, m in counts.items()}
     if mode == "unbalance":
         pos, neg = counts.get(1, 0), counts.get(0, 0)
-        return {0: 1.0, 1: (neg / pos) if pos else 1.0}
+        if not pos or not neg:
+            return {0: 1.0, 1: 1.0}
+        return {0: max(pos / neg, 1.0), 1: max(neg / pos, 1.0)}
     raise ValueError(mode)
 
 

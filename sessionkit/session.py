@@ -45,29 +45,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is.  Only when the
-    session has none (a bare local test session) is a private temporary folder
-    created and registered.
+    The folder named by ``spark.checkpoint.dir`` is used as is.  A session on
+    one machine (``local``) that names none gets a private temporary folder; on
+    a cluster, whose machines would each write to a disk of their own, that is
+    an error.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sessionkit-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # noqa: BLE001 - static conf on some deployments
-            pass
-    if sc is None:
-        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location.
 
@@ -75,15 +72,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     loss) and for round-trip sinks in the registered queries.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/sessionkit/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/sessionkit/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def delete_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this application has written; returns how
+    many.  Call it when the results that read them are no longer needed."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs, jpath = file_system(spark, path)
+        fs.delete(jpath, True)
+    return len(paths)
+
+
+def folder_state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files of a file or folder, as text: it
+    changes when the data do."""
+    fs, jpath = file_system(spark, path)
+    files = [f for top in fs.globStatus(jpath) or [] for f in fs.listStatus(top.getPath())]
+    return ";".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (works for
     local, HDFS and object-store paths alike)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
@@ -101,17 +121,3 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
-
-
-def spread_small(df):
-    """Round-robin an input that has fewer partitions than the cluster has
-    cores (a small single-file table) so the map side -- parsing, Expand,
-    partial aggregation -- runs on every core.  Inputs with at least that
-    many splits (any table at scale) are returned unchanged: no shuffle."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            return df.repartition(par)
-    except Exception:  # noqa: BLE001 - no RDD handle (e.g. Spark Connect)
-        pass
-    return df

@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread_small
-
 # Fixed values of the adapter (must equal the oracle SQL).
 MONTH_SPLIT_TS = "2024-01-16 00:00:00"
 BRAND_NULL_EVERY = 7
@@ -30,10 +28,13 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def adapt_events(events: DataFrame, part: DataFrame) -> DataFrame:
+PART_COLUMNS = {"brand", "category_code"}
+
+
+def adapt_events(events: DataFrame, part: DataFrame | None) -> DataFrame:
     """Driver ``events`` + ``part`` -> T2 event rows (plus ``source_month``).
 
-    ``part`` is joined with a plain left equi-join: Spark broadcasts it only
+    Without ``part`` the two columns that come from it are left out.  ``part`` is joined with a plain left equi-join: Spark broadcasts it only
     when its (pruned) size is under ``autoBroadcastJoinThreshold``; otherwise
     it is a shuffle join whose few hot product keys AQE's skew-join splits.
     """
@@ -51,6 +52,9 @@ def adapt_events(events: DataFrame, part: DataFrame) -> DataFrame:
         F.when(F.col("ts") < F.lit(MONTH_SPLIT_TS).cast("timestamp_ntz"), F.lit("A"))
          .otherwise(F.lit("B")).alias("source_month"),
     )
+    if part is None:
+        return ev.select("source_month", "event_id", "event_time", "event_type", "product_id",
+                         "price", "user_id", "user_session")
     pt = part.select(F.col("p_partkey").alias("product_id"), "p_brand", "p_type")
     joined = ev.join(pt, "product_id", "left")
     return joined.select(
@@ -64,9 +68,14 @@ def adapt_events(events: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False,
-                month: str | None = None) -> DataFrame:
+                month: str | None = None, columns: list[str] | None = None,
+                partitions: int | None = None) -> DataFrame:
     """Adapted event table for a driver scale-factor folder.
 
+    ``columns``: only these event columns; ``part`` is read and joined only
+    for brand or category.  ``partitions``: deal the raw rows into that many
+    partitions first, for an input of fewer files than there are cores.
+
     ``valid_only=True`` adds the price rule on the raw columns (``error``
     events carry price 0, the others their ``value``), which Parquet can
     take as pushed filters; ``valid_events`` still applies on top.
@@ -80,7 +89,12 @@ def load_events(spark: SparkSession, sf_dir: str, valid_only: bool = False,
     if month is not None:
         split = F.lit(MONTH_SPLIT_TS).cast("timestamp_ntz")
         raw = raw.filter(F.col("ts") < split if month == "A" else F.col("ts") >= split)
-    return adapt_events(spread_small(raw), load_table(spark, sf_dir, "part"))
+    if partitions:
+        raw = raw.repartition(partitions)
+    part = (load_table(spark, sf_dir, "part")
+            if columns is None or PART_COLUMNS & set(columns) else None)
+    events = adapt_events(raw, part)
+    return events if columns is None else events.select(*columns)
 
 
 # DuckDB form of the same adapter, used as a CTE by every oracle query.

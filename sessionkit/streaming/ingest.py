@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import file_system
 from ..sources.io import CSV_TIMESTAMP_FORMAT
 from ..sources.schema import (EVENT_COLUMNS, EVENT_SCHEMA, MONTHLY_CSV_SCHEMA,
                               MONTHLY_CSV_TIMESTAMP_FORMAT)
@@ -22,6 +23,15 @@ from ..sources.schema import (EVENT_COLUMNS, EVENT_SCHEMA, MONTHLY_CSV_SCHEMA,
 MONTH_FROM_FILE = r"(\d{4}-[A-Za-z]{3})"
 
 
+def _last_batch(spark: SparkSession, checkpoint_dir: str) -> int:
+    """Number of the last committed micro-batch; -1 before the first."""
+    fs, path = file_system(spark, f"{checkpoint_dir.rstrip('/')}/commits")
+    if not fs.exists(path):
+        return -1
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return max([int(n) for n in names if n.isdigit()], default=-1)
+
+
 def ingest_csv(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
                schema: T.StructType = EVENT_SCHEMA,
                timestamp_format: str = CSV_TIMESTAMP_FORMAT,
@@ -52,8 +62,6 @@ def ingest_csv(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_
               .trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(table_dir)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return len(query.recentProgress)
+    before = _last_batch(spark, checkpoint_dir)
+    writer.start(table_dir).awaitTermination()  # raises if the query failed
+    return _last_batch(spark, checkpoint_dir) - before

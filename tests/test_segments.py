@@ -22,15 +22,14 @@ def test_quantile_fixture(spark):
     assert [round(v, 2) for v in q] == [1.99, 3.96, 3.0]
 
 
-def test_exact_quantiles_match_numpy_on_the_sketch_path(spark):
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(7)
     x = np.round(rng.lognormal(3, 1, 20000), 2)
     df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4)
     probs = [0.0, 0.1, 0.25, 0.33, 0.5, 0.66, 0.75, 0.9, 1.0]
-    got = exact_quantiles(df, ["x"], probs, accuracy=500, local_limit=300)["x"]
+    got = exact_quantiles(df, ["x"], probs)["x"]
     assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12)
-    disc = exact_quantiles(df, ["x"], [0.7, 0.3], discrete=True, accuracy=500,
-                           local_limit=300)["x"]
+    disc = exact_quantiles(df, ["x"], [0.7, 0.3], discrete=True)["x"]
     s = np.sort(x)
     assert disc == [s[math.ceil(p * len(s)) - 1] for p in (0.7, 0.3)]
 
