@@ -506,7 +506,30 @@ def q_metrics_long(spark, sf):
 
 
 def _prepared(spark, sf):
-    return _shared(spark, sf, "prepared", lambda: M.Prepared(_model_ready(spark, sf)))
+    return _shared(spark, sf, "prepared", lambda: M.Prepared(
+        _model_ready(spark, sf), partitions=_train_partitions(spark)))
+
+
+def _train_partitions(spark):
+    """The session's ``sessionkit.trainPartitions``, or the input's own splits."""
+    n = spark.conf.get("sessionkit.trainPartitions", None)
+    return int(n) if n else None
+
+
+def _notebook(spark, sf):
+    """The notebook's enriched sessions, split three ways."""
+    return _shared(spark, sf, "notebook", lambda: M.Prepared(
+        S.enriched_sessions(_valid(spark, sf), by_month=False), features=PR.EDA_FEATURES,
+        three_way=True, partitions=_train_partitions(spark)))
+
+
+def _bakeoff_log(spark, sf):
+    """Folder of the run log of one bake-off of the four default models."""
+    def build():
+        log = scratch_path(spark, "runlog")
+        M.bakeoff(spark, _prepared(spark, sf), log)
+        return log
+    return _shared(spark, sf, "bakeoff", build)
 
 
 def _champion(spark, sf):
@@ -548,12 +571,24 @@ def q_model_gbt_leafcapped(spark, sf):
 
 @register("bakeoff")
 def q_bakeoff(spark, sf):
-    data = _prepared(spark, sf)
-    log = M.bakeoff(spark, data, scratch_path(spark, "runlog"))
+    log = RP.read_run_log(spark, _bakeoff_log(spark, sf))
     top = M.top_models(log, 2)
     return log.withColumn("selected_for_tuning", F.col("model_name").isin(top))
 
 
+@register("bakeoff_confusion")
+def q_bakeoff_confusion(spark, sf):
+    """L3b per logged model."""
+    return RP.read_confusion(spark, _bakeoff_log(spark, sf))
+
+
+@register("bakeoff_support")
+def q_bakeoff_support(spark, sf):
+    """The test rows per logged model and class: its confusion matrix's sums."""
+    return RP.read_confusion(spark, _bakeoff_log(spark, sf)).groupBy("model_name", "actual").agg(
+        F.sum("count").cast("bigint").alias("support"))
+
+
 @register("grid_search")
 def q_grid_search(spark, sf):
     res = TU.grid_search(_prepared(spark, sf), "LogisticRegression")
@@ -562,14 +597,47 @@ def q_grid_search(spark, sf):
 
 @register("random_search")
 def q_random_search(spark, sf):
-    res = TU.random_search(_prepared(spark, sf), "RandomForest", n_iter=10)
+    res = TU.random_search(_notebook(spark, sf), "RandomForest", n_iter=10)
     return TU.scores_frame(spark, res)
 
 
+@register("fold_sizes")
+def q_fold_sizes(spark, sf):
+    """Rows per fold and class of the training part (the folds of L9 / L10)."""
+    train, _ = _train_test(spark, sf)
+    return PR.add_folds(train).groupBy("fold", S.LABEL).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("kmeans_nearest")
+def q_kmeans_nearest(spark, sf):
+    """Whether every row of a cluster of the k-means result has the same
+    nearest fitted centre, no two clusters the same, and the number of rows."""
+    m = materialize(_matrix(spark, sf))
+    model, _ = SG.fit_kmeans(m)
+    z = SG.zcols()
+    labelled = SG.kmeans_segments(m, model)
+    away = [sum(((F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x)))
+                 for c, x in zip(z, center)), F.lit(0.0)) for center in model.clusterCenters()]
+    nearest = F.array_position(F.array(*away), F.least(*away))
+    pairs = labelled.groupBy(F.col(SG.CLUSTER_COL).alias("c"), nearest.alias("i")).count()
+    n = F.count(F.lit(1))
+    return pairs.agg(((n == F.count_distinct("c")) & (n == F.count_distinct("i"))).alias("nearest"),
+                     F.sum("count").alias("rows"))
+
+
+@register("importance_total")
+def q_importance_total(spark, sf):
+    """Number and sum of the champion's importances."""
+    imp = M.feature_importance(_champion(spark, sf), _prepared(spark, sf).features, spark)
+    return imp.agg(F.count(F.lit(1)).alias("features"),
+                   F.round(F.sum("Importance"), 6).alias("total"))
+
+
 @register("leaderboard")
 def q_leaderboard(spark, sf):
     data = _prepared(spark, sf)
     log = scratch_path(spark, "runlog")
+    M.bakeoff(spark, data, log)  # the four defaults, then the tuned linear model
     M.bakeoff(spark, data, log, models=["LogisticRegression"], tune_top=1)
     return RP.leaderboard(spark, log)
 
@@ -658,8 +726,7 @@ def q_notebook_models(spark, sf):
     """L8a-L8c (notebook form), 70/15/15 split: default LR / RF on the basic
     sessions (A1, 3 features), then default LR and the tuned RF / GBT on the
     enriched sessions (A4, the notebook's 8 features)."""
-    eda = S.enriched_sessions(_valid(spark, sf), by_month=False)
-    data = M.Prepared(eda, features=PR.EDA_FEATURES, three_way=True)
-    basic = M.Prepared(S.basic_sessions(_valid(spark, sf)), features=PR.BASIC_FEATURES,
-                       three_way=True)
+    data = _notebook(spark, sf)
+    basic = M.Prepared(_basic(spark, sf), features=PR.BASIC_FEATURES, three_way=True,
+                       partitions=_train_partitions(spark))
     return round_doubles(M.notebook_models(spark, data, basic))

@@ -9,11 +9,13 @@ libraries):
   ``regParam = 1 / (C * sum of weights)`` (scikit-learn minimises
   C * sum(loss) + |w|^2 / 2), no internal standardisation;
 * RandomForest(n_estimators, max_depth, min_samples_leaf, max_features)
-  -> ``RandomForestClassifier`` (depth "None" -> 30, Spark's maximum);
+  -> ``RandomForestClassifier`` (depth "None" -> 30, Spark's maximum; a
+  greater depth is refused);
 * XGBoost (depth-wise boosting: 100 rounds, depth 6, rate 0.3)
   -> ``GBTClassifier(maxIter, maxDepth, stepSize)``;
 * LightGBM (leaf-wise: 100 rounds, 31 leaves, rate 0.1) -> ``GBTClassifier``
-  with depth ceil(log2(num_leaves)) -- an approximation of the leaf cap.
+  with depth ceil(log2(num_leaves)) -- an approximation of the leaf cap -- and
+  the library's least 20 rows per leaf.
 
 Training data is cut from its lineage (checkpoint) and cached once; boosted
 trees checkpoint their running predictions every 10 iterations into the
@@ -48,7 +50,7 @@ DEFAULT_PARAMS = {
                      "max_features": "sqrt", "class_weight": None},
     "XGBoost": {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6},
     "LightGBM": {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31,
-                 "is_unbalance": False},
+                 "min_child_samples": 20, "is_unbalance": False},
 }
 # The champion's parameters.
 CHAMPION_PARAMS = {"n_estimators": 300, "learning_rate": 0.05, "max_depth": 10}
@@ -64,8 +66,15 @@ EDA_TUNED = {
 WEIGHT_COLS = {"balanced": "w_balanced", "unbalance": "w_unbalance"}
 
 
+#: Memory for the split statistics of one pass over the rows: a level of deep
+#: trees that does not fit is split into several passes.
+MAX_MEMORY_MB = 1024
+
+
 def depth_of(max_depth) -> int:
-    return MAX_SPARK_DEPTH if max_depth is None else min(int(max_depth), MAX_SPARK_DEPTH)
+    if max_depth is not None and int(max_depth) > MAX_SPARK_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is above Spark's {MAX_SPARK_DEPTH}")
+    return MAX_SPARK_DEPTH if max_depth is None else int(max_depth)
 
 
 def _deep(max_depth) -> bool:
@@ -89,7 +98,8 @@ def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0
     ensure_checkpoint_dir(SparkSession.getActiveSession())
     # Node-id caching pays off for deep trees only (it is an extra cached RDD
     # rewritten every iteration); shallow boosted trees ship the model instead.
-    tree = {"maxBins": MAX_BINS, "checkpointInterval": 10, "seed": SEED, **common}
+    tree = {"maxBins": MAX_BINS, "checkpointInterval": 10, "seed": SEED,
+            "maxMemoryInMB": int(p.get("max_memory_mb", MAX_MEMORY_MB)), **common}
     if name == "RandomForest":
         wc = WEIGHT_COLS.get(p.get("class_weight"), "")
         return RandomForestClassifier(numTrees=int(p["n_estimators"]),
@@ -108,6 +118,7 @@ def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0
         wc = WEIGHT_COLS["unbalance"] if p.get("is_unbalance") else ""
         return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
                              maxDepth=leaves_to_depth(int(p["num_leaves"])), weightCol=wc,
+                             minInstancesPerNode=int(p["min_child_samples"]),
                              cacheNodeIds=False, **tree)
     raise ValueError(f"unknown model {name}")
 
@@ -115,10 +126,16 @@ def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0
 # --------------------------------------------------------------------------- data
 class Prepared:
     """Model-ready sessions split 70/30, scaled on train, with class-weight
-    and fold columns; both sides checkpointed and cached."""
+    and fold columns; both sides checkpointed and cached.
+
+    Tree learners run one task per partition and pass, and row sampling
+    follows the partitions: ``partitions`` sets their number (by the hash of
+    the row's keys, so that it alone decides); unset, the input's splits stay.
+    """
 
     def __init__(self, sessions: DataFrame, features: list[str] | None = None,
-                 label: str = prep.LABEL, n_folds: int = 3, three_way: bool = False):
+                 label: str = prep.LABEL, n_folds: int = 3, three_way: bool = False,
+                 partitions: int | None = None):
         self.features = features or prep.MODEL_FEATURES
         self.label = label
         split = (prep.split_70_15_15(sessions, label) if three_way
@@ -134,14 +151,8 @@ class Prepared:
             train = prep.with_weights(train, prep.class_weights(None, label, mode, counts),
                                       label, col)
         train = self.assembler.transform(self.scaler.transform(train))
-        # Tree learners run one task per partition per pass: spread a small
-        # training set over at least the cluster's cores (a big one already is).
-        try:
-            par = train.sparkSession.sparkContext.defaultParallelism
-            if train.rdd.getNumPartitions() < par:
-                train = train.repartition(par)
-        except Exception:  # noqa: BLE001 - no RDD handle (e.g. Spark Connect)
-            pass
+        if partitions:
+            train = train.repartition(partitions, *[k for k in prep.KEYS if k in train.columns])
         self.train = train.persist()
         self.test = self.assembler.transform(
             self.scaler.transform(split.filter(F.col("split") == "test"))).persist()
@@ -189,6 +200,7 @@ def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
     pending = [r["model_name"] for r in report.pending_models(spark, models, log_path).collect()]
     for name in pending:
         _, pred, secs = fit_predict(data, name)
+        report.append_confusion(spark, log_path, name, pred, data.label)
         report.append_run(spark, log_path, report.run_log_row(pred, name, secs, False, data.label))
         pred.unpersist()
     if tune_top:
@@ -199,6 +211,8 @@ def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
                 continue
             grid = (grids or tuning.PARAM_GRIDS)[name]
             res = tuning.grid_search(data, name, grid, parallelism=parallelism)
+            report.append_confusion(spark, log_path, f"{name}_Tuned", res.test_predictions,
+                                    data.label)
             report.append_run(spark, log_path, report.run_log_row(
                 res.test_predictions, f"{name}_Tuned", res.seconds, True, data.label))
     return report.read_run_log(spark, log_path)
@@ -208,14 +222,15 @@ def notebook_models(spark: SparkSession, data: Prepared,
                     basic: Prepared | None = None) -> DataFrame:
     """The notebook's comparison on the 70/15/15 split: default logistic
     regression and random forest on the basic 3-feature sessions (when
-    ``basic`` is given), then default logistic regression, the tuned random
-    forest and the tuned boosted trees on the enriched features, each scored
-    on the validation and the test rows."""
-    runs = []
+    ``basic`` is given), then the default and the tuned models on the enriched
+    features, each scored on the validation and the test rows."""
+    runs = []  # (name, data, model, parameters)
     if basic is not None:
         runs += [("LogisticRegression (basic)", basic, "LogisticRegression", None),
                  ("RandomForest (basic)", basic, "RandomForest", None)]
     runs += [("LogisticRegression", data, "LogisticRegression", None),
+             ("RandomForest", data, "RandomForest", None),
+             ("XGBoost", data, "XGBoost", None),
              ("RandomForest (Tuned)", data, "RandomForest", EDA_TUNED["RandomForest"]),
              ("XGBoost (Tuned)", data, "XGBoost", EDA_TUNED["XGBoost"])]
     out = None

@@ -579,6 +579,25 @@ mf AS (
   FROM mt
 )"""
 
+ORACLE["bakeoff_support"] = with_ctes(*ML_BASE) + """
+SELECT m.model_name, is_abandoned AS actual, count(*) AS support
+FROM sp, (VALUES ('LogisticRegression'), ('RandomForest'), ('XGBoost'), ('LightGBM')) m(model_name)
+WHERE split = 'test' GROUP BY ALL"""
+
+ORACLE["fold_sizes"] = with_ctes(*ML_BASE) + """,
+fh AS (SELECT is_abandoned,
+              CAST('0x' || substr(md5('fold42:' || source_month || ':' || user_session), 1, 8)
+                   AS BIGINT) AS h FROM sp WHERE split = 'train'),
+ft AS (SELECT is_abandoned AS c, quantile_disc(h, 1.0 / 3) AS a, quantile_disc(h, 2.0 / 3) AS b
+       FROM fh GROUP BY 1)
+SELECT CASE WHEN h <= a THEN 0 WHEN h <= b THEN 1 ELSE 2 END AS fold, is_abandoned, count(*) AS rows
+FROM fh JOIN ft ON c = is_abandoned GROUP BY ALL"""
+
+ORACLE["kmeans_nearest"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE) + """
+SELECT true AS nearest, count(DISTINCT user_session) AS rows FROM valid"""
+
+ORACLE["importance_total"] = f"SELECT CAST({len(MODEL_FEATURES)} AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total"
+
 ORACLE["confusion_matrix"] = with_ctes(*ML_BASE, CONF_CTE) + """
 SELECT 0 AS actual, 0 AS predicted, tn AS count FROM cm
 UNION ALL SELECT 0, 1, fp FROM cm
@@ -609,6 +628,8 @@ SELECT model_name, run_order FROM (VALUES ('RandomForest', 1), ('XGBoost', 2), (
 
 # ------------------------------------------------------------------ sources and sinks
 ORACLE["csv_scan"] = with_ctes(EVENTS_CTE_SQL) + f"\nSELECT {EVENT_COLS_TEXT} FROM ev"
+ORACLE["narrow_types"] = with_ctes(EVENTS_CTE_SQL) + "\nSELECT " + EVENT_COLS_TEXT.replace(
+    " price,", " CAST(price AS FLOAT) AS price,") + " FROM ev"
 ORACLE["csv_ingest_stream"] = ORACLE["csv_scan"]
 ORACLE["parquet_roundtrip"] = ORACLE["csv_scan"]
 ORACLE["parquet_scan"] = ORACLE["csv_scan"] + " WHERE source_month = 'A'"

@@ -119,6 +119,20 @@ def append_run(spark: SparkSession, log_path: str, row: dict) -> None:
     df.coalesce(1).write.mode("append").option("header", True).csv(log_path)
 
 
+def append_confusion(spark: SparkSession, log_path: str, name: str, pred: DataFrame,
+                     label: str = "is_abandoned") -> None:
+    """The confusion matrix of one logged run, beside the run log."""
+    confusion_matrix(pred, label).select(F.lit(name).alias("model_name"), "actual", "predicted",
+                                         F.col("count").cast("bigint").alias("count")) \
+        .coalesce(1).write.mode("append").option("header", True).csv(f"{log_path}_confusion")
+
+
+def read_confusion(spark: SparkSession, log_path: str) -> DataFrame:
+    """The confusion matrices of all logged runs."""
+    return spark.read.schema("model_name string, actual int, predicted int, count bigint") \
+        .option("header", True).csv(f"{log_path}_confusion")
+
+
 def read_run_log(spark: SparkSession, log_path: str) -> DataFrame:
     """The run log with its declared schema (empty when absent)."""
     if not path_exists(spark, log_path):

@@ -61,3 +61,49 @@ def test_bakeoff_resumes_from_log(spark, monkeypatch):
     assert set(rows) == {"LogisticRegression", "RandomForest"}
     assert rows["LogisticRegression"].train_time_sec == first[0].train_time_sec
     assert all(0.0 <= rows[m].weighted_avg_f1 <= 1.0 for m in rows)
+
+
+def test_logistic_regression_equals_newton(spark):
+    """Coefficients against a Newton solution of C * sum(loss) + |w|^2 / 2."""
+    import numpy as np
+    data = _data(spark)
+    model = M.make_classifier("LogisticRegression", {"C": 0.5}, float(data.n_train)).fit(data.train)
+    rows = data.train.select(*data.scaled, data.label).toPandas().to_numpy(dtype=float)
+    x, y = np.c_[rows[:, :-1], np.ones(len(rows))], rows[:, -1]
+    w, keep = np.zeros(x.shape[1]), np.r_[np.ones(x.shape[1] - 1), 0.0] / 0.5
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep + 1e-12),
+                                x.T @ (p - y) + keep * w)
+    p = 1 / (1 + np.exp(-x @ w))
+    ours = 1 / (1 + np.exp(-x @ np.r_[model.coefficients.toArray(), model.intercept]))
+    objective = lambda v: (-np.log(np.where(y == 1, v, 1 - v)).sum())
+    assert abs(objective(ours) - objective(p)) <= 0.01 * len(y) ** 0.5
+    assert np.abs(ours - p).max() < 0.02
+
+
+def test_folds_scale_the_penalty_and_equal_points_share_a_fit(spark, monkeypatch):
+    data = _data(spark)
+    seen = []
+    real = M.make_classifier
+    monkeypatch.setattr(M, "make_classifier", lambda name, params=None, n=1.0, **kw: (
+        seen.append((name, n)), real(name, params, n, **kw))[1])
+    TU.grid_search(data, "LogisticRegression", {"C": [1.0], "class_weight": [None]}, parallelism=1)
+    fitted = [n for _, n in seen if n != 1.0]
+    assert len(fitted) == 4 and fitted[-1] == data.n_train
+    assert abs(sum(fitted[:3]) - 2 * data.n_train) < 1e-9
+    grid = TU.expand_grid({"max_depth": [10, 30, None]})
+    assert len({TU._meaning("RandomForest", c) for c in grid}) == 2
+
+
+def test_depths_beyond_spark_are_refused():
+    import pytest
+    with pytest.raises(ValueError):
+        M.depth_of(31)
+    assert M.depth_of(None) == M.depth_of(30) == 30
+
+
+def test_rarer_class_is_weighted():
+    from sessionkit.plans import prep
+    assert prep.class_weights(None, mode="unbalance", counts={0: 6, 1: 2}) == {0: 1.0, 1: 3.0}
+    assert prep.class_weights(None, mode="unbalance", counts={0: 2, 1: 6}) == {0: 3.0, 1: 1.0}
