@@ -60,11 +60,12 @@ DROP_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr",
               "notice", "notices", "alert", "popup", "modal", "overlay", "sidebar", "rail", "menu",
               "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header",
-              "masthead", "comment", "comments", "disqus", "reply", "replies", "respond", "share",
+              "masthead", "disqus", "reply", "replies", "respond", "discussion", "share",
               "sharing", "social", "related", "recommended", "newsletter", "subscribe", "signup",
               "login", "widget", "pagination", "pager", "toolbar", "form", "search", "hidden",
               "disclaimer", "toc", "skip"}
-COMMENT_NAMES = {"comment", "comments", "disqus", "reply", "replies", "respond"}
+DROP_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor")
+COMMENT_NAMES = {"comment", "comments", "disqus", "reply", "replies", "respond", "discussion"}
 NEVER_DROP = {"html", "body", "main"}
 BEST_TAGS = {"article", "main"}
 
@@ -117,7 +118,8 @@ class Page:
             out = bool(names & COMMENT_NAMES)
         else:
             out = tag not in NEVER_DROP and (tag in DROP_TAGS or hidden or role in DROP_ROLES
-                                             or bool(names & DROP_NAMES))
+                                             or bool(names & DROP_NAMES)
+                                             or any(n.startswith(DROP_STARTS) for n in names))
         self.parent.append(top)
         self.tag.append("main" if role == "main" else tag)
         self.dropped.append(self.dropped[top] or out)
@@ -148,6 +150,8 @@ class Page:
             tag, closing = name.lower(), (m[1] or m[4]) == "/"
             if tag == "br":
                 self.text.append(" ")
+            elif tag in VOID and tag != "hr":  # an image does not end its block
+                pass
             elif tag == "a":
                 self.links = 0 if closing else 1
             elif tag in INLINE:

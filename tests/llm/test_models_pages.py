@@ -185,6 +185,13 @@ def test_pages_odd_rows(spark):
     assert main_text(df.limit(0)).count() == 0
 
 
+def test_images_stay_inside_their_block_and_named_boxes_go():
+    page = Page("<div class='main-text'><p>one <img src='x'>two<wbr>three<!-- c --> four<hr>five</p>"
+                "<div class=cookiebar>c</div><div id='userComments'><p>no</p></div>"
+                "<div class='advertBox'>ad</div><ul><li>six<li>seven</ul></div>")
+    assert page.extract(None) == "one twothree four\n\nfive\n\nsix\n\nseven"
+
+
 def test_truncated_references_and_quotes():
     assert Page("<p>a &am</p><p>b &amp c</p><p title='x>y'>d &#x41;&#0;&bogus;</p>").extract(None) \
         == "a &am\n\nb & c\n\nd A�&bogus;"
