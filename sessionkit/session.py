@@ -107,6 +107,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+#: Functions called with (name, DataFrame) before a table is cut; for tools
+#: that report the plan behind a written table.
+CUT_WATCHERS: list = []
+
+
 def materialize(df, name: str = "table"):
     """Cut a DataFrame's lineage by writing it as a Parquet table in the
     shared checkpoint folder and reading it back (never ``localCheckpoint``).
@@ -118,6 +123,8 @@ def materialize(df, name: str = "table"):
     data volume.
     """
     spark = df.sparkSession
+    for watch in CUT_WATCHERS:
+        watch(name, df)
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference
