@@ -9,10 +9,16 @@ read from the top where the query's component is positive and from the bottom
 where it is negative.  All lists are read to the same growing depth.  A
 candidate's lower bound takes its read entries and, for the others, the least
 entry of the list; its upper bound takes the last entry read.  Candidates, and
-with them all that no list has shown yet, are dropped once their upper bound is
-under the k-th lower bound; reading ends when at most ``RESOLVE * k`` remain
-or the lists end, and the final scores of those that remain are summed up.
-The best k of each group meet in a ranking per query.
+with them all that no list has shown yet, are out once their upper bound is
+under the k-th lower bound; a query stops reading when at most ``RESOLVE * k``
+remain, and their final scores are summed up.  A query that is still open
+after the last depth reads the lists to their end, where bounds are scores.
+
+What a list has shown to a depth is the same for all queries that read it from
+that end, so the bounds of all open queries are products of their positive and
+negative parts with the block's read-so-far vectors, in floating point of
+enough bits for the integers to be exact.  The best k of each group meet in a
+ranking per query.
 
 Null vectors and vectors with null or non-finite components take no part;
 vectors only meet vectors of their length.  Values and scores saturate at the
@@ -33,8 +39,9 @@ from ..session import materialize
 from .common import only
 
 RESOLVE = 4
-DEPTHS = (0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875)
-EXACT = 1 << 53
+DEPTHS = (0.25, 0.5, 0.75)
+#: Sums below these are exact in the type.
+EXACT = ((1 << 24, np.float32), (1 << 53, np.float64))
 LONG = (1 << 63) - 1
 
 
@@ -43,33 +50,53 @@ class SortedLists:
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        n = len(vectors)
-        order = np.argsort(vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(vectors, order, axis=0)
-        self.rank = np.empty_like(order)  # position from the bottom
-        np.put_along_axis(self.rank, order, np.broadcast_to(
-            np.arange(n)[:, None], order.shape), axis=0)
-
-    def best(self, query: np.ndarray, k: int, alive: np.ndarray, tie: np.ndarray):
-        """Rows and scores of the k best of ``alive`` (``tie`` breaks ties)."""
+        self.sorted = np.sort(vectors, axis=0)
+
+    def bounds(self, queries: np.ndarray, depth: int):
+        """(query, candidate) lower and upper bounds after ``depth`` entries of
+        every list; entries equal to the last one read count as read."""
+        x, lists = self.vectors, self.sorted
+        up, down = np.maximum(queries, 0), np.maximum(-queries, 0)
+        top, bottom = lists[len(x) - depth], lists[depth - 1]
+        upper = up @ np.maximum(x, top).T - down @ np.minimum(x, bottom).T
+        lower = up @ np.where(x >= top, x, lists[0]).T - down @ np.where(x <= bottom, x, lists[-1]).T
+        return lower, upper
+
+    def best(self, queries: np.ndarray, k: int, own: np.ndarray, tie: np.ndarray):
+        """Yield (query, rows, scores) of the k best rows; ``own`` is the row a
+        query must not meet, or -1; ``tie`` breaks ties."""
         n = len(self.vectors)
-        up = query > 0
-        least = query * np.where(up, self.sorted[0], self.sorted[-1])
+        open_ = np.arange(len(queries))
+        apart = np.full((len(queries), n), False)
+        apart[own >= 0, own[own >= 0]] = True
+        alive = ~apart
         for part in DEPTHS:
             depth = int(n * part)
-            if depth == 0 or len(alive) <= RESOLVE * k:
+            if not depth or not len(open_) or n <= k:
                 continue
-            rank = self.rank[alive]
-            seen = np.where(up, n - 1 - rank, rank) < depth
-            gives = self.vectors[alive] * query
-            last = query * np.where(up, self.sorted[n - depth], self.sorted[depth - 1])
-            lower = np.where(seen, gives, least).sum(axis=1)
-            upper = np.where(seen, gives, last).sum(axis=1)
-            kth = np.partition(lower, len(lower) - k)[len(lower) - k]
-            alive = alive[upper >= kth]
-        score = (self.vectors[alive] * query).sum(axis=1)
-        at = np.lexsort((tie[alive], -score))[:k]
-        return alive[at], score[at]
+            lower, upper = self.bounds(queries[open_], depth)
+            lower[apart[open_]] = -np.inf
+            kth = np.partition(lower, n - k, axis=1)[:, n - k]
+            alive[open_] &= upper >= kth[:, None]
+            few = alive[open_].sum(axis=1) <= RESOLVE * k
+            for q in open_[few]:
+                rows = np.flatnonzero(alive[q])
+                yield self._ranked(q, rows, self.vectors[rows] @ queries[q], k, tie)
+            open_ = open_[~few]
+        if len(open_):
+            scores = queries[open_] @ self.vectors.T
+            for q, score in zip(open_, scores):
+                rows = np.flatnonzero(alive[q])
+                score = score[rows]
+                if len(rows) > k:
+                    keep = score >= np.partition(score, len(rows) - k)[len(rows) - k]
+                    rows, score = rows[keep], score[keep]
+                yield self._ranked(q, rows, score, k, tie)
+
+    @staticmethod
+    def _ranked(q, rows, score, k, tie):
+        at = np.lexsort((tie[rows], -score))[:k]
+        return q, rows[at], score[at]
 
 
 def _group(cand: pa.Table, queries: pa.Table, k: int):
@@ -80,35 +107,36 @@ def _group(cand: pa.Table, queries: pa.Table, k: int):
         read = lambda t: t.column("v").combine_chunks().flatten().to_numpy(
             zero_copy_only=False).reshape(t.num_rows, dim)
         vectors, asked = read(cand), read(queries)
-        rows = cand.column("row").to_numpy()
-        ids = cand.column("vec_id").to_pylist()
+        rows, asked_rows = (t.column("row").to_numpy() for t in (cand, queries))
+        ids, query_ids = (t.column("vec_id").to_pylist() for t in (cand, queries))
         tie = np.empty(len(ids), dtype=np.int64)
         tie[sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, rows[i]))] = \
             np.arange(len(ids))
+        place = {r: i for i, r in enumerate(rows.tolist())}
+        own = np.array([place.get(r, -1) for r in asked_rows.tolist()])
         top = max([1, *(int(abs(int(f(x)))) for x in (vectors, asked) if x.size
                         for f in (np.min, np.max))])
-        if top * top * max(dim, 1) < EXACT:
-            lists = SortedLists(vectors)
-        else:  # beyond 64-bit sums: exact Python integers
-            lists, vectors, asked = None, vectors.astype(object), asked.astype(object)
-        for q, row, query_id in zip(asked, queries.column("row").to_pylist(),
-                                    queries.column("vec_id").to_pylist()):
-            others = np.flatnonzero(rows != row)
-            if not len(others):
-                continue
-            if lists is not None:
-                at, score = lists.best(q, min(k, len(others)), others, tie)
-            else:
-                every = [sum(a * b for a, b in zip(vectors[i], q)) for i in others]
-                best = sorted(zip(every, others), key=lambda x: (-x[0], tie[x[1]]))[:k]
-                at = [i for _, i in best]
-                score = [max(-LONG - 1, min(LONG, s)) for s, _ in best]
-            out += [(row, query_id, int(rows[i]), ids[i], int(s)) for i, s in zip(at, score)]
+        exact = next((t for limit, t in EXACT if 2 * top * top * max(dim, 1) < limit), None)
+        if exact:
+            found = SortedLists(vectors.astype(exact)).best(asked.astype(exact), k, own, tie)
+        else:  # beyond 53-bit sums: exact Python integers
+            found = _by_integers(vectors.tolist(), asked.tolist(), k, own, tie)
+        for q, best, score in found:
+            out += [(int(asked_rows[q]), query_ids[q], int(rows[i]), ids[i], int(x))
+                    for i, x in zip(best, score)]
     cols = list(zip(*out)) or [()] * 5
     return pa.table({n: pa.array(c, pa.int64()) for n, c in
                      zip(("query_row", "query_id", "row", "vec_id", "score"), cols)})
 
 
+def _by_integers(vectors: list, asked: list, k: int, own, tie):
+    for q, query in enumerate(asked):
+        every = [(-sum(a * b for a, b in zip(v, query)), tie[i], i)
+                 for i, v in enumerate(vectors) if i != own[q]]
+        best = sorted(every)[:k]
+        yield q, [i for _, _, i in best], [max(-LONG - 1, min(LONG, -s)) for s, _, _ in best]
+
+
 def top_k(table: DataFrame, is_query, k: int = 5, scale: float = 256.0, block: int = 2048,
           query_block: int = 1024, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
