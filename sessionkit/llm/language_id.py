@@ -37,6 +37,7 @@ SMOOTHING = 0.05
 DOCS_PER_LANGUAGE = 1000
 ROUNDS = 3
 UNDETERMINED = "und"
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, so that hashing keeps order apart
 
 
 @lru_cache(maxsize=2)
@@ -57,19 +58,40 @@ class Lattices:
         self.unknown = len(pieces)
         self.none = len(pieces) + 1  # a column of probability 0
         self.longest = max(map(len, pieces), default=1)
+        # pieces of each length as sorted 64-bit hashes, for whole arrays of spans at once
+        self.tables: dict = {}
+        for k in range(1, self.longest + 1):
+            own = [p for p in pieces if len(p) == k]
+            hashes = np.zeros(len(own), dtype=np.uint64)
+            codes = self._codes(own, k)
+            for j in range(k):
+                hashes = hashes * MULTIPLIER + codes[:, j]
+            order = np.argsort(hashes)
+            assert len(np.unique(hashes)) == len(own)
+            self.tables[k] = (np.append(hashes[order], np.uint64(0)), np.append(
+                np.array([pieces[p] for p in own], dtype=np.int32)[order], np.int32(self.none)))
+
+    @staticmethod
+    def _codes(words: list, n: int) -> np.ndarray:
+        """(word, position): the words' code points, plus one."""
+        return np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(
+            len(words), n).astype(np.uint64) + np.uint64(1)
 
     def spans(self, words: list, n: int) -> np.ndarray:
         """(word, end, k): the piece of k + 1 characters that ends there."""
         width = min(self.longest, n)
-        get, unknown, none = self.pieces.get, self.unknown, self.none
-        flat = []
-        for w in words:
-            for end in range(1, n + 1):
-                one = get(w[end - 1])
-                flat.append(unknown if one is None else one)
-                flat += [get(w[end - k:end], none) if k <= end else none
-                         for k in range(2, width + 1)]
-        return np.array(flat, dtype=np.int32).reshape(len(words), n, width)
+        out = np.full((len(words), n, width), self.none, dtype=np.int32)
+        codes = self._codes(words, n)
+        rolling = np.zeros_like(codes)  # of the span that begins there
+        for k in range(1, width + 1):
+            rolling = rolling[:, :n - k + 1] * MULTIPLIER + codes[:, k - 1:]
+            hashes, ids = self.tables[k]
+            at = np.searchsorted(hashes[:-1], rolling)
+            found = np.where(hashes[at] == rolling, ids[at], self.none)
+            out[:, k - 1:, k - 1] = found
+        one = out[:, :, 0]
+        one[one == self.none] = self.unknown
+        return out
 
     def forward(self, spans: np.ndarray, probs: np.ndarray):
         """Scaled sums (word, position, language) and the log scale of each
