@@ -42,6 +42,22 @@ _HALVES = [(2, 1), (3, 2), (4, 2), (5, 4), (6, 3), (7, 4), (8, 4), (10, 5), (12,
            (20, 10), (30, 15), (60, 30), (120, 60)]  # a window of n as a window of k and its rest
 
 
+_SMALL_BITS = np.array([x.bit_length() for x in range(1 << 16)], dtype=np.uint8)
+
+
+def _bit_lengths(values: np.ndarray) -> np.ndarray:
+    """Bits of each value, as bytes."""
+    if not len(values) or values.max() < len(_SMALL_BITS):
+        return _SMALL_BITS[values.astype(np.uint16)]
+    bits = np.zeros(len(values), dtype=np.uint8)
+    rest = values.copy()
+    for k in (32, 16, 8, 4, 2, 1):
+        big = rest >= np.uint64(1 << k)
+        bits[big] += k
+        rest[big] >>= np.uint64(k)
+    return bits + (rest > 0)
+
+
 def encode(values: np.ndarray, lengths: np.ndarray):
     """Words of the concatenated ``values`` of rows of ``lengths`` ids.
 
@@ -56,31 +72,29 @@ def encode(values: np.ndarray, lengths: np.ndarray):
     in_row = np.arange(len(row_of_block)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
     block_start = row_start[row_of_block] + in_row * BLOCK
     block_end = np.minimum(block_start + BLOCK, row_end[row_of_block])
-    room = np.repeat(block_end, block_end - block_start) - np.arange(n)
-    bits = np.zeros(n, dtype=np.uint8)
-    rest = values.copy()
-    for k in (32, 16, 8, 4, 2, 1):
-        big = rest >= np.uint64(1 << k)
-        bits[big] += k
-        rest[big] >>= np.uint64(k)
-    bits += rest > 0
-    take = np.ones(n, dtype=np.int64)
+    room = np.full(n, 255, dtype=np.uint8)  # ids left in the block, as far as a word can ask
+    for k in range(1, int(COUNTS.max())):
+        at = block_end - k
+        room[at[at >= block_start]] = k
+    bits = _bit_lengths(values)
+    take = np.ones(n, dtype=np.uint8)
     window = {1: bits}
     for count, k in _HALVES:
+        if n < count:
+            break
         a, b = window[k], window[count - k]
-        w = np.full(n, 255, dtype=np.uint8)
-        if n >= count:
-            w[:n - count + 1] = np.maximum(a[:n - count + 1], b[k:k + n - count + 1])
+        w = np.maximum(a[:n - count + 1], b[k:k + n - count + 1])
         window[count] = w
-        fit = (w <= (0 if count == 120 else 60 // count)) & (room >= count)
+        fit = w <= (0 if count == 120 else 60 // count)
         if not fit.any():
             break
-        take[fit] = count
-    step = (np.arange(n) + take).tolist()
+        fit &= room[:n - count + 1] >= count
+        take[:n - count + 1][fit] = count
+    step = take.tobytes()
     first, i = [], 0
     while i < n:
         first.append(i)
-        i = step[i]
+        i += step[i]
     first = np.array(first, dtype=np.int64)
     taken = take[first]
     words = np.zeros(len(first), dtype=np.uint64)

@@ -15,11 +15,27 @@ import numpy as np
 from .common import WordCache, text_groups
 
 
+#: White space other than the space and the line end.
+OTHER_SPACE = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(0x1c, 0x20), 0x85, 0xa0, 0x1680,
+                                *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000)]
+ASCII_SPACE = [c for c in OTHER_SPACE if c < "\x80"]
+
+
 def split_words(text: str) -> list:
-    """Cuts for tokenizers that drop white space: at spaces and line ends."""
+    """Cuts for tokenizers that lower-case and drop white space: at spaces and
+    line ends.  ASCII text is lower-cased before, so that words meet."""
+    if text.isascii():
+        text = text.lower()
     return text.replace("\n", " ").split(" ")
 
 
+def plain_spacing(text: str) -> bool:
+    """White space is only single spaces and single line ends between words."""
+    return not (any(x in text for x in ("\0", "  ", " \n", "\n ", "\n\n"))
+                or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
+                or any(x in text for x in (ASCII_SPACE if text.isascii() else OTHER_SPACE)))
+
+
 def split_spaced(text: str) -> list:
     """Cuts for byte-level tokenizers whose words own the space before them.
 
@@ -27,7 +43,7 @@ def split_spaced(text: str) -> list:
     words, no match of the splitting pattern crosses the border before a
     space or on either side of a line end.  Any other text stays whole.
     """
-    if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
+    if not plain_spacing(text):
         return [text]
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
@@ -47,7 +63,9 @@ class LibraryEncoder:
 
     ``cut`` cuts texts into pieces that encode on their own.  Pieces go to the
     library joined by ``mark``, whose one id cannot come from such a piece, so
-    that one call encodes many; other pieces go one by one.
+    that one call encodes many; other pieces go one by one.  A letter and a
+    comma or full stop after it never share a token, so a word that was met
+    before without its stop needs no call.
     """
 
     def __init__(self, path: str, cut, mark: str, joinable):
@@ -57,6 +75,7 @@ class LibraryEncoder:
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut, self.mark, self.joinable = cut, mark, joinable
         self.mark_id, = self.tok.encode(mark, add_special_tokens=False).ids
+        self.stops = dict(zip(",.", [x.tobytes() for x in self._ids([",", "."])]))
         self.cache = WordCache(self._encode)
 
     def _ids(self, texts: list) -> list:
@@ -65,8 +84,14 @@ class LibraryEncoder:
 
     def _encode(self, words: list) -> list:
         out: list = [b""] * len(words)
-        join = [i for i, w in enumerate(words) if self.joinable(w)]
-        alone = set(range(len(words))).difference(join)
+        join, alone, known = [], [], self.cache.new
+        for i, w in enumerate(words):
+            if w[-1:] in self.stops and w[-2:-1].isalpha() and w[:-1] in known:
+                out[i] = known[w[:-1]] + self.stops[w[-1]]  # a word met without its stop
+            elif self.joinable(w):
+                join.append(i)
+            else:
+                alone.append(i)
         for i, ids in zip(alone, self._ids([words[i] for i in alone])):
             out[i] = ids.tobytes()
         for a in range(0, len(join), 1000):
