@@ -3,6 +3,12 @@
 1. Each page is parsed into containers and text blocks.  Containers that are
    menus, headers, footers, sidebars, notices, adverts, forms or reader
    comments by their tag, role, class or id are left out with all they hold.
+   A class or id alone does not leave out the page's text (``no-sidebar``,
+   ``overflow-hidden``): what it names stays if it holds an ``article`` or
+   ``main`` not shorter than any beside it, or, with none beside it, more text
+   outside links than all that stays otherwise.  Reader comments stay only around an ``article`` or
+   ``main`` that is no list of them (three quarters of the text of those held),
+   or on a page of nothing else.
    Every other container is scored by the text it holds outside links; an
    ``article`` or ``main`` counts more, and of containers that hold nearly the
    same the innermost wins.
@@ -66,7 +72,9 @@ DROP_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "disclaimer", "toc", "skip"}
 DROP_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor")
 COMMENT_NAMES = {"comment", "comments", "disqus", "reply", "replies", "respond", "discussion"}
+COMMENTARY = {"commentary", "commentaries"}  # of the writer, not of readers
 NEVER_DROP = {"html", "body", "main"}
+NAMED, COMMENTS = 1, 2  # containers that their class or id may leave out
 BEST_TAGS = {"article", "main"}
 
 
@@ -75,6 +83,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.path, self.dropped = [-1], ["#root"], [""], [False]
+        self.named = [0]
         self.blocks: list = []  # (container, text, characters in links)
         self.stack = [0]
         self.text: list = []
@@ -82,6 +91,8 @@ class Page:
         self.link_chars = 0
         self._parse(source)
         self._flush()
+        if any(self.named):
+            self._settle()
 
     def _flush(self):
         if self.text:
@@ -114,13 +125,18 @@ class Page:
                 elif key == "style" and "display:none" in value.replace(" ", "").lower():
                     hidden = True
         top = self.stack[-1]
+        out, named = False, 0
         if tag == "article":
-            out = bool(names & COMMENT_NAMES)
-        else:
-            out = tag not in NEVER_DROP and (tag in DROP_TAGS or hidden or role in DROP_ROLES
-                                             or bool(names & DROP_NAMES)
-                                             or any(n.startswith(DROP_STARTS) for n in names))
+            named = COMMENTS if names & COMMENT_NAMES else 0
+        elif tag not in NEVER_DROP:
+            out = tag in DROP_TAGS or hidden or role in DROP_ROLES
+            if names & COMMENT_NAMES or any(n.startswith("comment") and n not in COMMENTARY
+                                            for n in names):
+                named = COMMENTS
+            elif names & DROP_NAMES or any(n.startswith(DROP_STARTS) for n in names):
+                named = NAMED
         self.parent.append(top)
+        self.named.append(named)
         self.tag.append("main" if role == "main" else tag)
         self.dropped.append(self.dropped[top] or out)
         self.path.append(self.path[top] + "/" + ".".join([tag, *(DIGITS.sub("#", c) for c in classes)]))
@@ -175,6 +191,62 @@ class Page:
                     self.stack.pop()
                 self._open(tag, m[3] or "")
 
+    def _settle(self):
+        """Leave out the containers that their class or id names, but for those
+        that hold the page's article, main or most of its text."""
+        n, parent, named = len(self.tag), self.parent, self.named
+        for i in range(1, n):
+            if self.dropped[i]:
+                named[i] = 0
+        inside = [0] * n  # the innermost named container at or above
+        for i in range(1, n):
+            inside[i] = i if named[i] else inside[parent[i]]
+        held, alone = [0] * n, [0] * n  # characters outside links; those of them in no named child
+        for c, text, linked in self.blocks:
+            held[c] += len(text) - linked
+            alone[c] += len(text) - linked
+        net = [0] * n  # by innermost named container
+        for i in range(n):
+            net[inside[i]] += held[i]
+        longest, total = [0] * n, [0] * n  # of the articles and mains held
+        rival = [0] * n  # the longest article or main in a named container and in none within
+        for i in range(n - 1, 0, -1):
+            if self.tag[i] in BEST_TAGS and held[i]:
+                longest[i], total[i] = max(longest[i], held[i]), held[i]
+                rival[inside[i]] = max(rival[inside[i]], alone[i])
+            up = parent[i]
+            if named[i] == COMMENTS and (4 * longest[i] <= 3 * total[i] or self.tag[i] == "article"):
+                longest[i] = 0
+                continue
+            held[up] += held[i]
+            if not named[i]:
+                alone[up] += alone[i]
+            longest[up] = max(longest[up], longest[i])
+            total[up] += total[i]
+        kept = {0}
+        for i in range(1, n):
+            up = inside[parent[i]]
+            if named[i] and up in kept and longest[i] and longest[i] >= rival[up]:
+                kept.add(i)
+        live = sum(net[i] for i in kept)
+        main = {i for i in range(1, n) if self.tag[i] in BEST_TAGS and alone[i] and inside[i] in kept}
+        for i in sorted((i for i in range(1, n) if named[i] == NAMED and i not in kept),
+                        key=lambda i: (-held[i], i)):
+            if held[i] <= live:
+                break
+            up, above = parent[i], 0
+            while up > 0 and above < len(main):
+                above, up = above + (up in main), parent[up]
+            if inside[parent[i]] in kept and above == len(main):
+                kept.add(i)
+                live += net[i]
+        if not any(inside[c] in kept for c, _, _ in self.blocks):
+            kept.update(i for i in range(n) if named[i] == COMMENTS)
+        for i in range(1, n):
+            self.dropped[i] = self.dropped[i] or self.dropped[parent[i]] \
+                or bool(named[i]) and i not in kept
+        self.blocks = [b for b in self.blocks if not self.dropped[b[0]]]
+
     # -- scores
     def weights(self) -> list:
         """Characters outside links under each container."""

@@ -197,6 +197,43 @@ def test_truncated_references_and_quotes():
         == "a &am\n\nb & c\n\nd A�&bogus;"
 
 
+WRAPPERS = ["overflow-hidden", "no-sidebar", "has-sidebar", "with-header", "long-form",
+            "category-commentary", "has-comments"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_layout_names_do_not_leave_out_the_article(wrapper):
+    comments = f"<div id=comments><article class=comment><p>{'No. ' * 200}</p></article></div>"
+    story = f"<h1>Head</h1><p>{'Words of it. ' * 9}</p>"
+    want = "Head\n\n" + " ".join(("Words of it. " * 9).split())
+    side = "<div class=sidebar><p>Side.</p></div><div class=related><article>Less.</article></div>"
+    for tag in ("article", "main", "div role=main"):
+        inner = f"<{tag}>{story}</{tag.split()[0]}>"
+        for page in (f"<div class='{wrapper}'>{inner}</div>{comments}<p>Stray</p>",
+                     f"<div id='{wrapper}'><div class='{wrapper}'>{inner}{side}</div>{comments}</div>",
+                     f"<main><div class='a {wrapper}'>{inner}</div></main>{side}{comments}"):
+            assert Page(f"<html><body>{page}</body></html>").extract(None) == want
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS[:-1])
+def test_layout_names_do_not_leave_out_most_of_the_text(wrapper):
+    comments = f"<div id=comments><div class=comment><p>{'No. ' * 200}</p></div></div>"
+    story = f"<h1>Head</h1><p>{'Words of it. ' * 9}</p>"
+    want = "Head\n\n" + " ".join(("Words of it. " * 9).split())
+    side = "<div class=sidebar><p>Side box.</p></div><div class=cookies>We use them.</div>"
+    for page in (f"<div class='{wrapper}'>{story}</div>{side}{comments}",
+                 f"<div class='{wrapper}'><div class='x {wrapper}'>{story}{side}</div>{comments}</div>"):
+        assert Page(f"<html><body>{page}</body></html>").extract(None) == want
+
+
+def test_named_boxes_beside_the_article_still_go():
+    page = (f"<main><article><p>{'Story. ' * 20}</p></article><div class=related><article>Other one."
+            f"</article></div><div class='user-comments'><article>A</article><article>B</article></div>")
+    assert Page(page).extract(None) == " ".join(["Story."] * 20)
+    assert Page("<div class=comments><p>Only this</p></div>").extract(None) == "Only this"
+    assert Page("<nav>x</nav><div class=hidden><nav><article>y</article></nav></div>").extract(None) == ""
+
+
 def brute_top(rows, k, is_query):
     vectors = [(n, i, [math.floor(256 * float(x)) for x in v]) for n, (i, v) in enumerate(rows)
                if v is not None and all(x is not None and math.isfinite(x) for x in v)]
