@@ -10,14 +10,16 @@
    ``main`` that is no list of them (three quarters of the text of those held),
    or on a page of nothing else.
    Every other container is scored by the text it holds outside links; an
-   ``article`` or ``main`` counts more, and of containers that hold nearly the
-   same the innermost wins.
+   ``article`` or ``main`` counts more, and a container gives way to one within
+   only if nothing but link or left-out text lies beside that.
 2. Each page votes for the generalised paths of its containers (tags and
    classes from the root, digits replaced) with their scores; votes are summed
    per host and path in Spark, so a host of any size is a few counts per task.
 3. Pages are parsed again and take the text under their host's winning path.
-   A page on which that path holds less than a quarter of the text of its own best
-   container (another template) takes its own best container instead.
+   A page on which that path lacks an ``h1`` or more than a twentieth of the text
+   of its own best container (another template) takes its own best container
+   instead; boxes named as teasers of other texts are no lack, as long as the
+   path holds a quarter.
 
 Blocks keep page order and are joined by an empty line; character references
 are decoded and white space inside a block becomes one space.  Null html is
@@ -74,6 +76,7 @@ DROP_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sideb
 COMMENT_NAMES = {"comment", "comments", "disqus", "reply", "replies", "respond", "discussion"}
 COMMENTARY = {"commentary", "commentaries"}  # of the writer, not of readers
 NEVER_DROP = {"html", "body", "main"}
+TEASER_NAMES = {"teaser", "teasers", "related", "recommended", "promo", "sponsored"}
 NAMED, COMMENTS = 1, 2  # containers that their class or id may leave out
 BEST_TAGS = {"article", "main"}
 
@@ -83,7 +86,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.tag, self.path, self.dropped = [-1], ["#root"], [""], [False]
-        self.named = [0]
+        self.named, self.teaser = [0], [False]
         self.blocks: list = []  # (container, text, characters in links)
         self.stack = [0]
         self.text: list = []
@@ -137,6 +140,7 @@ class Page:
                 named = NAMED
         self.parent.append(top)
         self.named.append(named)
+        self.teaser.append(self.teaser[top] or bool(names & TEASER_NAMES))
         self.tag.append("main" if role == "main" else tag)
         self.dropped.append(self.dropped[top] or out)
         self.path.append(self.path[top] + "/" + ".".join([tag, *(DIGITS.sub("#", c) for c in classes)]))
@@ -260,18 +264,15 @@ class Page:
     def scores(self) -> dict:
         """Score of each container that may be the main one."""
         held = self.weights()
-        out, depth = {}, [0] * len(held)
-        for i in range(1, len(held)):
-            depth[i] = depth[self.parent[i]] + 1
-            if not self.dropped[i] and held[i] and self.tag[i] != "p":
-                out[i] = held[i] / held[0] * (2.0 if self.tag[i] in BEST_TAGS else 1.0) \
-                    + 0.05 * min(depth[i], 20)
-        return out
+        return {i: held[i] / held[0] * (2.0 if self.tag[i] in BEST_TAGS else 1.0)
+                for i in range(1, len(held))
+                if not self.dropped[i] and held[i] and self.tag[i] != "p"}
 
     def best(self):
-        """The main container: the innermost of those with (nearly) the best score."""
-        scores = self.scores()
-        return max(scores, key=lambda i: (scores[i], i)) if scores else 0
+        """The main container: of those with the best score the one that holds
+        most, and of those that hold the same the innermost."""
+        scores, held = self.scores(), self.weights()
+        return max(scores, key=lambda i: (scores[i], held[i], i)) if scores else 0
 
     def votes(self) -> dict:
         """Generalised path -> score, for containers of at least half the text;
@@ -291,8 +292,15 @@ class Page:
         for i in range(1, len(inside)):
             inside[i] = inside[i] or inside[self.parent[i]]
             own[i] = own[i] or own[self.parent[i]]
-        size = lambda chosen: sum(len(t) for c, t, _ in self.blocks if chosen[c])
-        chosen = inside if 4 * size(inside) > size(own) else own
+        mine = [(c, len(t) - linked) for c, t, linked in self.blocks if own[c]]
+        if not any(n for _, n in mine):  # a page of links
+            mine = [(c, len(t)) for c, t, _ in self.blocks if own[c]]
+        size = sum(n for _, n in mine)
+        shared = sum(n for c, n in mine if inside[c])
+        lost = [(c, n) for c, n in mine if not inside[c] and not self.teaser[c]]
+        fits = 4 * shared > size and 20 * sum(n for _, n in lost) <= size \
+            and not any(n and self.tag[c] == "h1" for c, n in lost)
+        chosen = inside if fits else own
         return "\n\n".join(t for c, t, _ in self.blocks if chosen[c])
 
 

@@ -234,6 +234,33 @@ def test_named_boxes_beside_the_article_still_go():
     assert Page("<nav>x</nav><div class=hidden><nav><article>y</article></nav></div>").extract(None) == ""
 
 
+def test_h1_and_lead_beside_the_body_stay(spark):
+    body = "Long words here. " * 60
+    words = " ".join(body.split())
+
+    def post(n, inner):
+        return f"<html><body><nav><p>Go</p></nav><div class='post p-{n}'>{inner}</div></body></html>"
+
+    entry = f"<div class=entry><p>{body}</p></div>"
+    pages = [(i, f"http://{'ab'[i % 2]}.net/{i}", post(i, f"<h1>H {i}</h1><p>Lead {i}</p>{entry}"))
+             for i in range(6)]
+    # most pages of a host without h1 and lead, then such with, and other templates
+    pages += [(10 + i, "http://c.net/x", post(i, entry)) for i in range(6)]
+    pages.append((20, "http://c.net/y", post(0, f"<h1>Head</h1>{entry}")))
+    pages.append((21, "http://c.net/y", post(0, f"{entry}<div class=more><p>{body}</p></div>")))
+    pages.append((22, "http://c.net/y", post(0, f"{entry}<p><a href=x>Link</a></p><aside>No</aside>")))
+    pages.append((23, "http://c.net/y", post(0, f"{entry}<p>By me</p>")))
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in main_text(df).collect()}
+    for i in range(6):
+        assert got[i] == f"H {i}\n\nLead {i}\n\n{words}" and got[10 + i] == words
+    assert got[20] == f"Head\n\n{words}" and got[21] == f"{words}\n\n{words}"
+    assert got[22] == got[23] == words  # a twentieth beside the host's path goes
+    assert Page(f"<body><h1>H</h1><p>Lead</p>{entry}</body>").extract(None) == f"H\n\nLead\n\n{words}"
+    assert Page("<body><article>One a.</article><article>Two b.</article></body>").extract(None) \
+        == "One a.\n\nTwo b."
+
+
 def brute_top(rows, k, is_query):
     vectors = [(n, i, [math.floor(256 * float(x)) for x in v]) for n, (i, v) in enumerate(rows)
                if v is not None and all(x is not None and math.isfinite(x) for x in v)]
