@@ -5,8 +5,8 @@ The metadata view sees what the table says about the page: source, language
 and stated length.  Neither sees the other's.
 
 *Co-training.*  Both classifiers (logistic regressions) start from the
-labelled rows.  In each round either one scores a pool of unlabelled rows and
-hands the rows it is confident about to the other as pseudo-labels; both are
+labelled rows.  In each round either one scores a pool of rows whose label it
+has not learned from (without one, or beyond the labelled sample) and hands the rows it is confident about to the other as pseudo-labels; both are
 then fitted again.  Labelled rows and pool are samples of about
 ``max_labelled`` and ``max_pool`` rows, taken by a hash of the id at the rate
 that gives these numbers (documented bounds); all else covers all rows.
@@ -196,9 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         train, check = known.filter(~held).persist(), known.filter(held).persist()
     else:  # too few labels to spare any
         train = check = known.persist()
-    share = min(1.0, max_pool / max(docs.count(), 1)) * SCALE
-    pool = materialize(with_features(rows.filter(_hash("quality pool") < share)), "quality-pool")
-    pool = pool.join(marked.select("doc_id").distinct(), "doc_id", "left_anti")
+    others = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+    share = min(1.0, max_pool / max(docs.count() - sum(classes.values()), 1)) * SCALE
+    pool = materialize(with_features(others.filter(_hash("quality pool") < share)), "quality-pool")
     pool = _with_views(pool).select("content", "meta").persist()
 
     content, meta = _fit(train, "content"), _fit(train, "meta")

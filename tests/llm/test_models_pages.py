@@ -109,6 +109,21 @@ def test_quality_held_out(spark):
     assert both[["text_score", "meta_score", "score"]].stack().between(0, 1).all()
 
 
+def test_quality_pool_is_drawn_from_the_rows_not_learned_from(spark, monkeypatch):
+    """Rows whose label is not among those used are in the pool."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    seen, views = [], quality._with_views
+    monkeypatch.setattr(quality, "_with_views", lambda rows: seen.append(rows.count()) or views(rows))
+    n = docs.count()
+    quality.fit(docs, labels, max_labelled=n // 4, rounds=1)
+    known, pool = seen[:2]
+    assert 0 < known < n / 2 and pool == n - known
+    del seen[:]
+    quality.fit(docs, labels, max_labelled=n // 4, max_pool=n // 4, rounds=1)
+    assert seen[0] == known and n / 8 < seen[1] < n / 2
+
+
 def test_quality_odd_rows(spark):
     docs = odd_documents(spark)
     schema = "doc_id bigint, quality int"
