@@ -12,7 +12,7 @@ entry of the list; its upper bound takes the last entry read.  Candidates, and
 with them all that no list has shown yet, are out once their upper bound is
 under the k-th lower bound; a query stops reading when at most ``RESOLVE * k``
 remain, and their final scores are summed up.  A query that is still open
-after the last depth reads the lists to their end, where bounds are scores.
+after the last depth sums up the scores of all that remain, and of no others.
 
 What a list has shown to a depth is the same for all queries that read it from
 that end, so the bounds of all open queries are products of their positive and
@@ -39,7 +39,7 @@ from ..session import materialize
 from .common import only
 
 RESOLVE = 4
-DEPTHS = (0.25, 0.5, 0.75)
+DEPTHS = (0.25, 0.5, 0.75, 0.875, 0.9375, 0.96875)
 #: Sums below these are exact in the type.
 EXACT = ((1 << 24, np.float32), (1 << 53, np.float64))
 LONG = (1 << 63) - 1
@@ -83,15 +83,13 @@ class SortedLists:
                 rows = np.flatnonzero(alive[q])
                 yield self._ranked(q, rows, self.vectors[rows] @ queries[q], k, tie)
             open_ = open_[~few]
-        if len(open_):
-            scores = queries[open_] @ self.vectors.T
-            for q, score in zip(open_, scores):
-                rows = np.flatnonzero(alive[q])
-                score = score[rows]
-                if len(rows) > k:
-                    keep = score >= np.partition(score, len(rows) - k)[len(rows) - k]
-                    rows, score = rows[keep], score[keep]
-                yield self._ranked(q, rows, score, k, tie)
+        for q in open_:
+            rows = np.flatnonzero(alive[q])
+            score = self.vectors[rows] @ queries[q]
+            if len(rows) > k:
+                keep = score >= np.partition(score, len(rows) - k)[len(rows) - k]
+                rows, score = rows[keep], score[keep]
+            yield self._ranked(q, rows, score, k, tie)
 
     @staticmethod
     def _ranked(q, rows, score, k, tie):

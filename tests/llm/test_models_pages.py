@@ -11,7 +11,7 @@ from sessionkit.llm import language_id as L
 from sessionkit.llm import quality
 from sessionkit.llm import queries as Q
 from sessionkit.llm.html_text import Page, main_text
-from sessionkit.llm.topk import top_k
+from sessionkit.llm.topk import SortedLists, top_k
 
 SF = "/root/testdata/sf0.001"
 PIECES = {p: i for i, p in enumerate(["▁", "a", "b", "ab", "▁a", "aba", "ba", "▁ab"])}
@@ -276,6 +276,32 @@ def test_h1_and_lead_beside_the_body_stay(spark):
         == "One a.\n\nTwo b."
 
 
+def test_top_k_scores_few_candidates_and_only_those_that_remain():
+    t = duckdb.sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
+    vectors = np.floor(np.array([v for _, v in t]) * 256)
+    asked = np.array([i for i, (x, _) in enumerate(t) if x % 50 == 0])
+    lists, scored = SortedLists(vectors), []
+
+    class Vectors(np.ndarray):
+        def __matmul__(self, other):
+            scored.append(len(self))
+            return np.asarray(self) @ np.asarray(other)
+
+        def __rmatmul__(self, other):
+            scored.append(self.size)
+            return np.asarray(other) @ np.asarray(self)
+
+    lists.bounds = lambda *a: SortedLists.bounds(plain, *a)
+    plain, lists.vectors = SortedLists(vectors), vectors.view(Vectors)
+    tie = np.arange(len(vectors))
+    for q, rows, score in lists.best(vectors[asked], 5, asked, tie):
+        want = vectors @ vectors[asked[q]]
+        want[asked[q]] = -np.inf
+        best = np.lexsort((tie, -want))[:5]
+        assert rows.tolist() == best.tolist() and np.asarray(score).tolist() == want[best].tolist()
+    assert len(scored) == len(asked) and max(scored) <= 20
+
+
 def brute_top(rows, k, is_query):
     vectors = [(n, i, [math.floor(256 * float(x)) for x in v]) for n, (i, v) in enumerate(rows)
                if v is not None and all(x is not None and math.isfinite(x) for x in v)]
