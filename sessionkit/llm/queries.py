@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from . import language_id, quality
 from ..session import scratch_path
 from .bpe import round_trip
+from .centroids import cluster
 from .common import read_table, share_package
 from .exact_dedup import exact_duplicates
 from .html_text import main_text
 from .packing import pack
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .tokenfile import read_digests, write_token_files
 from .topk import top_k
 from .url_filter import filter_urls
@@ -154,3 +156,49 @@ s AS (SELECT q.n AS qn, q.vec_id AS query_id, c.n, c.vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY qn ORDER BY score DESC, vec_id, n) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@register("op11_spelling_variants")
+def q_spelling(spark, sf):
+    return spelling_variants(read_table(spark, sf, "documents"), least_length=6, least_count=5,
+                             ratio=5, drop_every=199)
+
+
+@register("op13_centroid_clustering")
+def q_centroids(spark, sf):
+    return cluster(read_table(spark, sf, "embeddings"), k=40, dim=64, rounds=5, seed="2",
+                   scale=256.0)
+
+
+def _rounds(n: int) -> str:
+    """Assignment and new centroids of each round, as common table expressions."""
+    away = "list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    near = """a{r} AS MATERIALIZED (
+  SELECT n, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT v.n, c.c, %s AS d FROM v CROSS JOIN c{r} c) GROUP BY n)""" % away
+    mean = """c{next} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+    SELECT c, list((s - ((s % k) + k) % k) // k ORDER BY i) AS e FROM (
+      SELECT a.c, i, sum(v.e[i])::BIGINT AS s, count(*) AS k
+      FROM a{r} a JOIN v USING (n), range(1, 65) t(i) GROUP BY a.c, i) GROUP BY c) m USING (c))"""
+    out = []
+    for r in range(n):
+        out += [near.replace("{r}", str(r)), mean.replace("{r}", str(r)).replace("{next}", str(r + 1))]
+    return ",\n".join([*out, near.replace("{r}", str(n))])
+
+
+ORACLE["op13_centroid_clustering"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE len(embedding) = 64
+   AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, e) - 1 AS c, e
+  FROM v QUALIFY c < 40),
+{_rounds(5)}
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d::BIGINT AS distance,
+       (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(f.e, ',')) AS centroid_sha256
+FROM a5 a JOIN v USING (n) JOIN c5 f ON f.c = a.c
+"""
