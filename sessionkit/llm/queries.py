@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality
+from . import language_id, personal_data, quality
 from ..session import scratch_path
 from .bpe import round_trip
 from .centroids import cluster
@@ -164,6 +164,12 @@ def q_spelling(spark, sf):
                              ratio=5, drop_every=199)
 
 
+@register("op12_personal_data")
+def q_personal_data(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return personal_data.digests(personal_data.find_personal_data(docs, personal_data.fit(docs)))
+
+
 @register("op13_centroid_clustering")
 def q_centroids(spark, sf):
     return cluster(read_table(spark, sf, "embeddings"), k=40, dim=64, rounds=5, seed="2",
