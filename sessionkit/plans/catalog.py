@@ -645,13 +645,13 @@ def q_leaderboard(spark, sf):
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     data = _prepared(spark, sf)
-    return M.feature_importance(_champion(spark, sf), data.features, spark)
+    return round_doubles(M.feature_importance(_champion(spark, sf), data.features, spark))
 
 
 @register("champion_score")
 def q_champion_score(spark, sf):
     data = _prepared(spark, sf)
-    model = M.save_and_reload(_champion(spark, sf), scratch_path(spark, "champion"))
+    model = M.save_and_reload(_champion(spark, sf), scratch_path(spark, "champion"), spark)
     raw_test = data.test.drop("features", *data.scaled)
     return _pred_out(model.transform(raw_test))
 

@@ -11,32 +11,26 @@ libraries):
 * RandomForest(n_estimators, max_depth, min_samples_leaf, max_features)
   -> ``RandomForestClassifier`` (depth "None" -> 30, Spark's maximum; a
   greater depth is refused);
-* XGBoost (depth-wise boosting: 100 rounds, depth 6, rate 0.3)
-  -> ``GBTClassifier(maxIter, maxDepth, stepSize)``;
-* LightGBM (leaf-wise: 100 rounds, 31 leaves, rate 0.1) -> ``GBTClassifier``
-  with depth ceil(log2(num_leaves)) -- an approximation of the leaf cap -- and
-  the library's least 20 rows per leaf.
-
-Training data is cut from its lineage (checkpoint) and cached once; boosted
-trees checkpoint their running predictions every 10 iterations into the
-shared checkpoint folder (and deep trees their node-id cache), so a lost
-executor does not replay the boosting history.
+* XGBoost (level-wise, 100 rounds, depth 6, rate 0.3, L2 1, least hessian 1)
+  and LightGBM (leaf-wise, 100 rounds, 31 leaves, rate 0.1, 20 rows a leaf)
+  -> ``boosting.py``: second-order boosting on gradient histograms.
+
+Training data is cut from its lineage (checkpoint) and cached once; deep
+forests checkpoint their node-id cache, boosted models their margins, so a lost
+executor does not replay the history.
 """
 
 from __future__ import annotations
 
-import math
 import time
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import prep, report
+from . import boosting, prep, report
 
 SEED = 42
 MAX_BINS = 128
@@ -81,22 +75,35 @@ def _deep(max_depth) -> bool:
     return depth_of(max_depth) > 10
 
 
-def leaves_to_depth(num_leaves: int) -> int:
-    return max(1, math.ceil(math.log2(num_leaves)))
+BOOSTED = ("XGBoost", "LightGBM", "Champion")
+
+
+def boost_spec(name: str, params: dict | None = None, weights: tuple = (1.0, 1.0),
+               fold: int | None = None) -> boosting.Spec:
+    """The boosted model of a reference name and its parameters; ``weights`` are
+    the class weights that an unbalanced model takes."""
+    p = {**DEFAULT_PARAMS[name.replace("Champion", "XGBoost")], **(params or {})}
+    common = {"rounds": int(p["n_estimators"]), "rate": float(p["learning_rate"]), "fold": fold,
+              "row_share": float(p.get("subsample", 1.0)),
+              "feature_share": float(p.get("colsample", 1.0))}
+    if name == "LightGBM":
+        return boosting.Spec(max_leaves=int(p["num_leaves"]), l2=0.0, least_hessian=1e-3,
+                             least_rows=int(p["min_child_samples"]),
+                             weights=tuple(weights) if p.get("is_unbalance") else (1.0, 1.0), **common)
+    return boosting.Spec(max_depth=int(p["max_depth"]), **common)
 
 
 def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0,
                     features: str = "features", label: str = prep.LABEL):
     """One MLlib classifier for a reference model name and its parameters."""
-    p = {**DEFAULT_PARAMS.get(name.replace("Champion", "XGBoost"), {}), **(params or {})}
+    p = {**DEFAULT_PARAMS.get(name, {}), **(params or {})}
     common = {"featuresCol": features, "labelCol": label}
     if name == "LogisticRegression":
         wc = WEIGHT_COLS.get(p.get("class_weight"), "")
         return LogisticRegression(maxIter=int(p["max_iter"]), regParam=1.0 / (p["C"] * n_weight),
                                   elasticNetParam=0.0, standardization=False, tol=1e-4,
                                   family="binomial", weightCol=wc, **common)
-    # Node-id caching pays off for deep trees only (it is an extra cached RDD
-    # rewritten every iteration); shallow boosted trees ship the model instead.
+    # Node-id caching pays off for deep trees only (an extra cached RDD per level).
     tree = {"maxBins": MAX_BINS, "checkpointInterval": 10, "seed": SEED,
             "maxMemoryInMB": int(p.get("max_memory_mb", MAX_MEMORY_MB)), **common}
     if name == "RandomForest":
@@ -107,18 +114,6 @@ def make_classifier(name: str, params: dict | None = None, n_weight: float = 1.0
                                       featureSubsetStrategy=str(p.get("max_features", "sqrt")),
                                       weightCol=wc, cacheNodeIds=_deep(p.get("max_depth")),
                                       **tree)
-    if name in ("XGBoost", "Champion"):
-        return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
-                             maxDepth=depth_of(p["max_depth"]),
-                             subsamplingRate=float(p.get("subsample", 1.0)),
-                             featureSubsetStrategy=str(p.get("colsample", "all")),
-                             cacheNodeIds=_deep(p["max_depth"]), **tree)
-    if name == "LightGBM":
-        wc = WEIGHT_COLS["unbalance"] if p.get("is_unbalance") else ""
-        return GBTClassifier(maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
-                             maxDepth=leaves_to_depth(int(p["num_leaves"])), weightCol=wc,
-                             minInstancesPerNode=int(p["min_child_samples"]),
-                             cacheNodeIds=False, **tree)
     raise ValueError(f"unknown model {name}")
 
 
@@ -146,6 +141,9 @@ class Prepared:
         self.assembler = VectorAssembler(inputCols=self.scaled, outputCol="features")
         train = prep.add_folds(train, label, n_folds)
         counts = prep.class_counts(train, label)
+        rare = prep.class_weights(None, label, "unbalance", counts)
+        self.unbalance = (rare.get(0, 1.0), rare.get(1, 1.0))
+        self.keys = [k for k in prep.KEYS if k in sessions.columns]
         for mode, col in WEIGHT_COLS.items():
             train = prep.with_weights(train, prep.class_weights(None, label, mode, counts),
                                       label, col)
@@ -166,12 +164,19 @@ class Prepared:
                 df.unpersist()
 
 
+def fit_model(data: Prepared, name: str, params: dict | None = None):
+    """One model on all training rows."""
+    if name in BOOSTED:
+        return boosting.fit(data.train, data.scaled, boost_spec(name, params, data.unbalance),
+                            data.label, data.keys)
+    return make_classifier(name, params, n_weight=float(data.n_train), label=data.label).fit(data.train)
+
+
 def fit_predict(data: Prepared, name: str, params: dict | None = None):
     """Fit on train, predict test, timed together (the reference's span).
     Returns (model, predictions, seconds)."""
-    clf = make_classifier(name, params, n_weight=float(data.n_train), label=data.label)
     t0 = time.time()
-    model = clf.fit(data.train)
+    model = fit_model(data, name, params)
     pred = model.transform(data.test).persist()
     pred.count()
     return model, pred, time.time() - t0
@@ -234,8 +239,7 @@ def notebook_models(spark: SparkSession, data: Prepared,
              ("XGBoost (Tuned)", data, "XGBoost", EDA_TUNED["XGBoost"])]
     out = None
     for label, d, name, params in runs:
-        clf = make_classifier(name, params, n_weight=float(d.n_train), label=d.label)
-        model = clf.fit(d.train)
+        model = fit_model(d, name, params)
         for split_name, part in (("val", d.val), ("test", d.test)):
             m = report.metrics_frame(model.transform(part), d.label).select(
                 F.lit(label).alias("model"), F.lit(split_name).alias("split"),
@@ -246,25 +250,40 @@ def notebook_models(spark: SparkSession, data: Prepared,
 
 
 # --------------------------------------------------------------------------- L11/L12
-def fit_champion(data: Prepared, params: dict | None = None) -> PipelineModel:
-    """The champion as ONE saved pipeline: scaler -> assembler -> GBT
-    (the reference saves the booster without its scaler)."""
-    clf = make_classifier("Champion", {**CHAMPION_PARAMS, **(params or {})},
-                          label=data.label)
-    raw_train = data.train.drop("features", *data.scaled)
-    pipe = Pipeline(stages=[data.scaler, data.assembler, clf])
-    return pipe.fit(raw_train)
-
-
-def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:
-    model.write().overwrite().save(path)
-    return PipelineModel.load(path)
-
-
-def feature_importance(model, features: list[str], spark: SparkSession) -> DataFrame:
-    """Importances (normalised gain, summing to 1) sorted descending."""
-    tree = model.stages[-1] if isinstance(model, PipelineModel) else model
-    imp = tree.featureImportances.toArray().tolist()
-    rows = [(f, float(v)) for f, v in zip(features, imp)]
-    return (spark.createDataFrame(rows, "Feature string, Importance double")
-            .orderBy(F.desc("Importance"), "Feature"))
+class Champion:
+    """The scaler and the boosted ensemble as one saved model (the
+    reference saves the booster without its scaler)."""
+
+    def __init__(self, scaler: SQLTransformer, booster: boosting.Boosted):
+        self.scaler, self.booster = scaler, booster
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.booster.transform(self.scaler.transform(df))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.scaler.write().overwrite().save(f"{path}/scaler")
+        self.booster.save(spark, f"{path}/booster")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Champion:
+        return cls(SQLTransformer.load(f"{path}/scaler"),
+                   boosting.Boosted.load(spark, f"{path}/booster"))
+
+
+def fit_champion(data: Prepared, params: dict | None = None) -> Champion:
+    """The champion's parameters on all training rows."""
+    return Champion(data.scaler, fit_model(data, "Champion", {**CHAMPION_PARAMS, **(params or {})}))
+
+
+def save_and_reload(model: Champion, path: str, spark: SparkSession) -> Champion:
+    model.save(spark, path)
+    return Champion.load(spark, path)
+
+
+def feature_importance(model: Champion, features: list[str], spark: SparkSession) -> DataFrame:
+    """Mean gain per split, scaled to a sum of 1, best first, beside the
+    number of splits and the mean and total gain; read from the node table."""
+    nodes = model.booster.node_table(spark)
+    names = dict(zip(model.booster.features, features))
+    plain = nodes.replace(names, subset=["feature"])
+    return boosting.importances(plain, features)

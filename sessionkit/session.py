@@ -7,8 +7,10 @@ need ``spark.sql.session.timeZone`` to be irrelevant (all timestamps are
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it was imported, for
+    sessions started elsewhere; where it is installed this changes nothing."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 _SCRATCH: dict[str, list[str]] = {}
 
 
