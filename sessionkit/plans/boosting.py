@@ -25,7 +25,9 @@ splits.  All models given to ``fit_many`` share each pass.
 
 The margins of all rows are the only state.  They are persisted per round and
 checkpointed every ``CHECKPOINT_EVERY`` rounds in the shared folder, so a lost
-executor costs a few rounds of tree lookups.  Missing values count as the
+executor costs a few rounds of tree lookups.  Where rows x models make a single
+partition (at most ``TASK_ROWS``), there are no sums to add across partitions,
+and the task of that partition grows the same trees without a job per level.  Missing values count as the
 largest.  Ties go to the lower feature, then the lower bin.
 """
 
@@ -50,6 +52,8 @@ MAX_BINS = 256
 BLOCK_ROWS = 65_536
 #: Rows x models of one task and pass.
 TASK_ROWS = 200_000
+#: A partition has this many rows at least.
+LEAST_ROWS = 2_000
 #: Bytes of sums fetched by one pass; more leaves are fetched in several.
 PASS_BYTES = 128 << 20
 #: Leaves of a tree whose sums the driver keeps for subtraction.
@@ -147,15 +151,32 @@ def _added(a: dict, b: dict) -> dict:
     return {m: a[m] + b[m] if m in a and m in b else a.get(m, b.get(m)) for m in a.keys() | b.keys()}
 
 
-def _moved(block: dict, trees: dict, rates: dict) -> dict:
+def _moved(block: dict, trees: dict, specs: list) -> dict:
     """The block with the margins after one more tree of each model."""
     margin = block["margin"].copy()
     for m, t in trees.items():
-        margin[m] += rates[m] * t.value[_leaf_of(block["bins"], t.feature, t.bin, t.left, t.depth)]
+        margin[m] += specs[m].rate * t.value[_leaf_of(block["bins"], t.feature, t.bin, t.left, t.depth)]
     return {**block, "margin": margin}
 
 
-# ------------------------------------------------------------------ on the driver
+def _rounds_in_place(blocks: list, specs: list, shape: tuple, first: int, last: int):
+    """Rounds of training rows that are one partition: there is nothing to add up
+    across partitions, so its task grows the trees.  The first block carries
+    them."""
+    grown = []
+    for turn in range(first, last):
+        def sums_of(want, turn=turn):
+            out = {}
+            for b in blocks:
+                out = _added(out, _block_sums(b, want, specs, shape[1], turn))
+            return out
+        trees = _one_round(specs, shape, turn, sums_of)
+        blocks = [_moved(b, trees, specs) for b in blocks]
+        grown.append(trees)
+    return [{**b, "grown": grown if not i else None} for i, b in enumerate(blocks)]
+
+
+# ------------------------------------------------------------------ growing
 class Growth:
     """One tree in growth: which leaves' sums are needed next, and its splits."""
 
@@ -292,6 +313,32 @@ class Growth:
                     max((self.level[x] for x in order), default=0))
 
 
+def _one_round(specs: list, shape: tuple, turn: int, sums_of) -> dict:
+    """One tree of every model that has this round; ``sums_of`` fetches the sums
+    of the leaves asked for."""
+    n_features, bins_per = shape
+    growing = {m: Growth(s, allowed_features(n_features, s.feature_share, turn), bins_per)
+               for m, s in enumerate(specs) if turn < s.rounds}
+    room = max(1, PASS_BYTES // (3 * 8 * n_features * bins_per))
+    open_ = dict(growing)
+    while open_:
+        asked = {m: g.request() for m, g in open_.items()}
+        # leaves beyond the room of a pass wait for the next
+        flat = [(m, leaf) for m, a in asked.items() for leaf in a[4]]
+        for lo in range(0, len(flat), room):
+            piece: dict = {}
+            for m, leaf in flat[lo:lo + room]:
+                piece.setdefault(m, []).append(leaf)
+            sums = sums_of({m: (*asked[m][:4], leaves) for m, leaves in piece.items()})
+            for m, leaves in piece.items():
+                open_[m].receive(leaves, sums[m])
+        for m, g in list(open_.items()):
+            g.advance()
+            if g.done:
+                del open_[m]
+    return {m: g.tree() for m, g in growing.items()}
+
+
 def allowed_features(n: int, share: float, turn: int) -> np.ndarray:
     """The features of a tree: the round(share * n) of least hash, at least one."""
     if share >= 1:
@@ -481,8 +528,7 @@ def fit_many(train: DataFrame, features: list, specs: list, label: str, keys: li
                 * s.weights[c] for c in (0, 1)]
         base.append(math.log(mass[1] / mass[0]) if min(mass) > 0 else 0.0)
     n = sum(r["count"] for r in seen)
-    parts = max(1, math.ceil(n * len(specs) / TASK_ROWS))
-    parts = min(parts, max(1, math.ceil(n / 2_000)))
+    parts = min(max(1, math.ceil(n * len(specs) / TASK_ROWS)), max(1, math.ceil(n / LEAST_ROWS)))
     models = [Boosted(s, list(features), edges, b) for s, b in zip(specs, base)]
     if not n:
         return models
@@ -499,49 +545,38 @@ def fit_many(train: DataFrame, features: list, specs: list, label: str, keys: li
                 out = x if out is None else _added(out, x)
             return [] if out is None else [out]
         sums = rdd.mapPartitions(part)
-        if parts <= 16:
-            out = {}
-            for x in sums.collect():
-                out = _added(out, x)
-            return out
-        return sums.treeReduce(_added, 3)
-
-    room = max(1, PASS_BYTES // (3 * 8 * len(features) * bins_per))
-    for turn in range(max((s.rounds for s in specs), default=0)):
-        growing = {m: Growth(s, allowed_features(len(features), s.feature_share, turn), bins_per)
-                   for m, s in enumerate(specs) if turn < s.rounds}
-        open_ = dict(growing)
-        while open_:
-            asked = {m: g.request() for m, g in open_.items()}
-            # leaves beyond the room of a pass wait for the next
-            flat = [(m, i) for m, a in asked.items() for i in range(len(a[4]))]
-            for lo in range(0, len(flat), room):
-                piece: dict = {}
-                for m, i in flat[lo:lo + room]:
-                    piece.setdefault(m, []).append(asked[m][4][i])
-                want = {m: (*asked[m][:4], leaves) for m, leaves in piece.items()}
-                sums = total(state, lambda b, w=want, t=turn: _block_sums(b, w, specs, bins_per, t))
-                for m, leaves in piece.items():
-                    open_[m].receive(leaves, sums[m])
-            while len(held) > 1:
-                held.pop(0).unpersist()
-            for m, g in list(open_.items()):
-                g.advance()
-                if g.done:
-                    del open_[m]
-        trees = {m: g.tree() for m, g in growing.items()}
-        for m, t in trees.items():
-            models[m].trees.append(t)
-        due = [m for m, rounds in scored.items() if turn + 1 in rounds]
-        if due or turn + 1 < max(s.rounds for s in specs):
-            rates = {m: specs[m].rate for m in trees}
-            state = state.map(lambda b, t=trees, r=rates: _moved(b, t, r)).persist()
-            if (turn + 1) % CHECKPOINT_EVERY == 0:
-                state.checkpoint()
-            held.append(state)
+        return sums.collect()[0] if parts == 1 else sums.treeReduce(_added, 2 + (parts > 64))
+
+    shape, last = (len(features), bins_per), max((s.rounds for s in specs), default=0)
+    stops = sorted({last, *range(0, last, CHECKPOINT_EVERY), *(r for x in scored.values() for r in x)})
+    for turn, stop in zip(stops, stops[1:]):
+        if parts == 1:
+            state = state.mapPartitions(
+                lambda blocks, a=turn, z=stop: _rounds_in_place(list(blocks), specs, shape, a, z)).persist()
+            state.checkpoint()
+            grown = state.map(lambda b: b.get("grown")).collect()[0]
+        else:
+            grown = []
+            for t in range(turn, stop):
+                trees = _one_round(specs, shape, t, lambda want, s=state, t=t: total(
+                    s, lambda b: _block_sums(b, want, specs, bins_per, t)))
+                grown.append(trees)
+                state = state.map(lambda b, x=trees: _moved(b, x, specs)).persist()
+                if t + 1 == stop:
+                    state.checkpoint()
+                while len(held) > 1:  # the state before has been read for the last time
+                    held.pop(0).unpersist()
+                held.append(state)
+        for trees in grown:
+            for m, t in trees.items():
+                models[m].trees.append(t)
+        due = [m for m, rounds in scored.items() if stop in rounds]
         if due:
             counts = total(state, lambda b, d=due: {m: _outcomes(b, m, specs[m].fold) for m in d})
-            on_scores(turn + 1, {m: tuple(int(x) for x in counts[m]) for m in due})
+            on_scores(stop, {m: tuple(int(x) for x in counts[m]) for m in due})
+        if parts == 1:
+            held.pop().unpersist()
+            held.append(state)
     for s in held:
         s.unpersist()
     return models

@@ -589,10 +589,21 @@ def q_bakeoff_support(spark, sf):
         F.sum("count").cast("bigint").alias("support"))
 
 
+def _tuned_log(spark, sf):
+    """Folder of the run log of one whole bake-off: the four default models, then
+    the full grids of the two best of them (its ledger lies beside it)."""
+    def build():
+        log = scratch_path(spark, "runlog")
+        M.bakeoff(spark, _prepared(spark, sf), log, tune_top=2)
+        return log
+    return _shared(spark, sf, "tuned", build)
+
+
 @register("grid_search")
 def q_grid_search(spark, sf):
-    res = TU.grid_search(_prepared(spark, sf), "LogisticRegression")
-    return TU.scores_frame(spark, res)
+    """Mean scores of every combination of the two best models' grids, from
+    the search ledger."""
+    return TU.mean_scores(TU.read_scores(spark, f"{_tuned_log(spark, sf)}_search"))
 
 
 @register("random_search")
@@ -601,6 +612,12 @@ def q_random_search(spark, sf):
     return TU.scores_frame(spark, res)
 
 
+@register("random_search_boosted")
+def q_random_search_boosted(spark, sf):
+    res = TU.random_search(_notebook(spark, sf), "XGBoost", n_iter=10)
+    return TU.scores_frame(spark, res)
+
+
 @register("fold_sizes")
 def q_fold_sizes(spark, sf):
     """Rows per fold and class of the training part (the folds of L9 / L10)."""
@@ -635,11 +652,8 @@ def q_importance_total(spark, sf):
 
 @register("leaderboard")
 def q_leaderboard(spark, sf):
-    data = _prepared(spark, sf)
-    log = scratch_path(spark, "runlog")
-    M.bakeoff(spark, data, log)  # the four defaults, then the tuned linear model
-    M.bakeoff(spark, data, log, models=["LogisticRegression"], tune_top=1)
-    return RP.leaderboard(spark, log)
+    """The four default models and the two best ones tuned."""
+    return RP.leaderboard(spark, _tuned_log(spark, sf))
 
 
 @register("feature_importance")

@@ -169,7 +169,7 @@ def fit_model(data: Prepared, name: str, params: dict | None = None):
     if name in BOOSTED:
         return boosting.fit(data.train, data.scaled, boost_spec(name, params, data.unbalance),
                             data.label, data.keys)
-    return make_classifier(name, params, n_weight=float(data.n_train), label=data.label).fit(data.train)
+    return make_classifier(name, params, float(data.n_train), label=data.label).fit(data.train)
 
 
 def fit_predict(data: Prepared, name: str, params: dict | None = None):
@@ -198,7 +198,9 @@ def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
     """Resumable bake-off.  Models already in the log are skipped (L4);
     each new run appends its row before the next starts, so a crash loses at
     most the model in flight.  With ``tune_top`` > 0, the best untuned models
-    are grid-searched (L9) and logged as ``<name>_Tuned``."""
+    are grid-searched (L9, resumed from the ledger beside the log) and logged as
+    ``<name>_Tuned``; boosted models searched together each log the time of the
+    shared passes."""
     from . import tuning
     models = models or DEFAULT_MODELS
     pending = [r["model_name"] for r in report.pending_models(spark, models, log_path).collect()]
@@ -210,11 +212,18 @@ def bakeoff(spark: SparkSession, data: Prepared, log_path: str,
     if tune_top:
         log = report.read_run_log(spark, log_path)
         done = {r["model_name"] for r in log.select("model_name").collect()}
-        for name in top_models(log, tune_top, models):
-            if f"{name}_Tuned" in done:
-                continue
-            grid = (grids or tuning.PARAM_GRIDS)[name]
-            res = tuning.grid_search(data, name, grid, parallelism=parallelism)
+        grids = grids or tuning.PARAM_GRIDS
+        top = [n for n in top_models(log, tune_top, models) if f"{n}_Tuned" not in done]
+        ledger = f"{log_path}_search"
+        # the boosted searches share their passes; each then finds its scores in the ledger
+        t0 = time.time()
+        boosted = {n: tuning.expand_grid(grids[n]) for n in top if n in BOOSTED}
+        if boosted:
+            tuning.boosted_scores(data, boosted, ledger=ledger)
+        shared = time.time() - t0
+        for name in top:
+            res = tuning.grid_search(data, name, grids[name], parallelism=parallelism, ledger=ledger)
+            res.seconds += shared if name in BOOSTED else 0.0
             report.append_confusion(spark, log_path, f"{name}_Tuned", res.test_predictions,
                                     data.label)
             report.append_run(spark, log_path, report.run_log_row(

@@ -108,7 +108,8 @@ def _alike(a, b):
 
 def test_models_do_not_depend_on_partitions_company_or_rounds(spark, fitted, monkeypatch):
     _, _, df, edges, models = fitted
-    monkeypatch.setattr(B, "TASK_ROWS", 100)     # more partitions
+    monkeypatch.setattr(B, "TASK_ROWS", 100)     # six partitions, a job per level
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
     monkeypatch.setattr(B, "PASS_BYTES", 4_000)  # leaves in several passes
     monkeypatch.setattr(B, "KEPT_LEAVES", 2)     # without subtraction
     sampled = B.Spec(rounds=4, rate=0.3, max_depth=4, row_share=0.7, feature_share=0.7)

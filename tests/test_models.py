@@ -106,3 +106,67 @@ def test_rarer_class_is_weighted():
     from sessionkit.plans import prep
     assert prep.class_weights(None, mode="unbalance", counts={0: 6, 1: 2}) == {0: 1.0, 1: 3.0}
     assert prep.class_weights(None, mode="unbalance", counts={0: 2, 1: 6}) == {0: 3.0, 1: 1.0}
+
+
+def test_killed_search_resumes_and_equals_an_unbroken_one(spark, monkeypatch):
+    """The driver is lost while the second batch of fits is on its way."""
+    import pytest
+    from sessionkit.plans import boosting
+    data = _data(spark)
+    space = {"n_estimators": [2, 4], "learning_rate": [0.1, 0.3], "max_depth": [2, 3],
+             "subsample": [0.8], "colsample": [0.7]}
+    combos = TU.expand_grid(space)
+    whole = TU.boosted_scores(data, {"XGBoost": combos}, "accuracy", together=12)
+    assert len(whole) == len(combos) * 3
+    ledger, real, calls = scratch_path(spark, "t-ledger"), boosting.fit_many, []
+
+    def dies(*a, **kw):
+        calls.append(len(a[2]))
+        if len(calls) >= 2:
+            raise RuntimeError("lost")
+        return real(*a, **kw)
+    monkeypatch.setattr(boosting, "fit_many", dies)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 1)  # one batch after another
+    with pytest.raises(RuntimeError):
+        TU.boosted_scores(data, {"XGBoost": combos}, "accuracy", ledger=ledger, together=5)
+    monkeypatch.undo()
+    kept = TU.read_scores(spark, ledger).count()
+    assert kept == 8 and len(TU.pending_scores(spark, ledger, "XGBoost", combos, "accuracy", 3)) == 16
+    res = TU.search(data, "XGBoost", combos, "accuracy", ledger=ledger, refit=False)
+    rows = TU.read_scores(spark, ledger).collect()
+    assert {(r["model"], r["combo"], r["fold"]): r["score"] for r in rows} == whole
+    assert len(rows) == len(whole) and len(res.scores) == len(combos)
+    assert TU.mean_scores(TU.read_scores(spark, ledger)).filter("is_best").count() == 1
+
+
+def test_forest_and_boosted_searches_run_and_score_like_single_fits(spark):
+    data = _data(spark)
+    from pyspark.sql import functions as F
+    for name, space in (("RandomForest", {"n_estimators": [3], "max_depth": [2, None]}),
+                        ("LightGBM", {"n_estimators": [3, 5], "num_leaves": [4], "is_unbalance": [True]})):
+        res = TU.random_search(data, name, 2, space)
+        assert len(res.scores) == 2 and res.test_predictions.count() == data.test.count()
+    combo = res.scores[0][0]
+    spec = M.boost_spec("LightGBM", combo, data.unbalance)
+    from sessionkit.plans import boosting
+    total = 0.0
+    for fold in range(3):
+        part = data.train.filter(F.col("fold") != fold)
+        model = boosting.fit_many(part, data.scaled, [spec], data.label, data.keys,
+                                  boosting.bin_edges(data.train, data.scaled))[0]
+        out = model.transform(data.train.filter(F.col("fold") == fold))
+        total += out.agg(F.avg((F.col("prediction") == F.col(data.label)).cast("int"))).first()[0] / 3
+    assert abs(total - res.scores[0][1]) < 1e-12
+
+
+def test_leaderboard_tunes_the_two_best(spark):
+    data = _data(spark)
+    log = scratch_path(spark, "t-six")
+    grids = {"LogisticRegression": {"C": [1.0]}, "RandomForest": {"n_estimators": [2], "max_depth": [3]},
+             "XGBoost": {"n_estimators": [2, 3], "max_depth": [2]},
+             "LightGBM": {"n_estimators": [2, 3], "num_leaves": [4]}}
+    rows = M.bakeoff(spark, data, log, tune_top=2, grids=grids).collect()
+    plain = [r for r in rows if not r.is_tuned]
+    best = sorted(plain, key=lambda r: (-r.weighted_avg_f1, M.DEFAULT_MODELS.index(r.model_name)))[:2]
+    assert len(rows) == 6 and {r.model_name for r in rows if r.is_tuned} == {
+        f"{r.model_name}_Tuned" for r in best}
