@@ -22,6 +22,7 @@ repeated rows are predicted alike; extra columns are not read.
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,6 +38,8 @@ SMOOTHING = 0.05
 DOCS_PER_LANGUAGE = 1000
 ROUNDS = 3
 UNDETERMINED = "und"
+CACHED_WORDS = 100_000
+SLICE = 256  # texts that a worker holds as strings at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, so that hashing keeps order apart
 
 
@@ -164,7 +167,8 @@ class Model:
     def scorer(self):
         lattices = Lattices(vocabulary(self.path))
         return WordCache(lambda words: [
-            row.tobytes() for row in lattices.log_probs([WORD_MARK + w for w in words], self.probs)])
+            row.tobytes() for row in lattices.log_probs([WORD_MARK + w for w in words], self.probs)],
+            limit=CACHED_WORDS)
 
     def predict(self, texts: list, scorer):
         """(language, posterior) of each text, in order."""
@@ -258,7 +262,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
         own = Model(*shared.value)
         scorer = own.scorer()
         for b in batches:
-            found = list(own.predict(b.column("text").to_pylist(), scorer))
+            texts = b.column("text")
+            found = [x for a in range(0, len(texts), SLICE)
+                     for x in own.predict(texts.slice(a, SLICE).to_pylist(), scorer)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([x[0] for x in found], pa.string()),
                  pa.array([x[1] for x in found], pa.float64())],
@@ -271,17 +277,18 @@ def identified(docs: DataFrame, model: Model, min_score: float = 0.0,
     """The rows of ``docs`` with a determined language and at least that
     score, unchanged."""
     shared = docs.sparkSession.sparkContext.broadcast((model.path, model.languages, model.probs))
-    text, names = docs.columns.index(text_col), docs.columns
 
-    def run(batches):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model(*shared.value)
         scorer = own.scorer()
-        for b in batches:
-            yield b.filter(pa.array(
-                [lang != UNDETERMINED and score >= min_score
-                 for lang, score in own.predict(b.column(text).to_pylist(), scorer)], pa.bool_()))
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+        for texts in batches:
+            keep: list = []
+            for a in range(0, len(texts), SLICE):
+                keep += [lang != UNDETERMINED and score >= min_score for lang, score in
+                         own.predict(texts.slice(a, SLICE).to_pylist(), scorer)]
+            yield pa.array(keep, pa.bool_())
+    # only texts go to the Python workers, and one flag a row comes back
+    return docs.filter(F.arrow_udf(run, "boolean")(F.col(f"`{text_col}`")))
 
 
 def held_out(doc_id):

@@ -5,19 +5,23 @@ The metadata view sees what the table says about the page: source, language
 and stated length.  Neither sees the other's.
 
 *Co-training.*  Both classifiers (logistic regressions) start from the
-labelled rows.  In each round either one scores a pool of rows whose label it
-has not learned from (without one, or beyond the labelled sample) and hands the rows it is confident about to the other as pseudo-labels; both are
-then fitted again.  Labelled rows and pool are samples of about
-``max_labelled`` and ``max_pool`` rows, taken by a hash of the id at the rate
-that gives these numbers (documented bounds); all else covers all rows.
+labelled rows.  In each round either one scores all rows whose label it has not
+learned from (without one, or beyond the labelled sample) and hands those it is
+most confident about to the other as pseudo-labels: the ``share`` of them with
+the greatest odds of either class, split as the labels are, as far as it holds
+them for ``lift`` times less likely to be wrong than that class is as a mere
+guess; so a view that knows nothing hands over nothing.  Both are then fitted
+again.  The labelled sample has about ``max_labelled`` rows, taken by a hash of
+the id (a documented bound); the pool is the whole rest and grows with it.
+``exchanged`` of the model tells how many of either class each view handed over.
 
 *Combination.*  A fifth of the labelled rows is never used for fitting; on it
 each view's log-odds are calibrated (Platt scaling), and the combined log-odds
 of a row are the sum of both calibrated views' less the log-odds of the base
 rate, which both contain.
 
-The measures of the two samples are written as narrow tables for the fits; all
-other texts are read once, in the final scoring.  Null texts count as empty and score like any
+The measures of all rows are written as narrow tables (a few numbers a row) for
+the fits; texts are read once more in the final scoring.  Null texts count as empty and score like any
 other; null metadata counts as absent.  Labels of either class missing: every
 row gets the base rate of the labels there are (0.5 without any), and views
 equal to it.  Repeated rows score alike; extra columns are not read.
@@ -26,6 +30,7 @@ equal to it.  Repeated rows score alike; extra columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,6 @@ from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import only
@@ -44,10 +48,11 @@ TEXT_FEATURES = [
     "letters", "digits", "stops", "symbols", "non_ascii", "upper", "char_runs", "symbol_runs",
     "short_share", "line_words", "line_repeats", "stop_rate"]
 MAX_LABELLED = 20_000
-MAX_POOL = 20_000
 ROUNDS = 2
-CONFIDENT = 0.95
+SHARE = 0.05  # of the pool, handed over per view and round
+LIFT = 5.0  # a pseudo-label is wrong this many times less often than its class as a guess
 SCALE = 1_000_000
+SLICE = 256  # texts that a worker holds as strings at once
 
 _CLASS = np.zeros((256, 8))  # letters, digits, stops, symbols, non-ascii, upper, white, other
 for _c in range(256):
@@ -87,21 +92,20 @@ def counts_of_ends(text: str, words: int) -> float:
 
 
 def with_features(rows: DataFrame) -> DataFrame:
-    """``rows`` (with a ``text`` column) and their ``text_view`` in its place."""
-    kept = [c for c in rows.columns if c != "text"]
-
-    def run(batches):
-        for b in batches:
-            features = np.array([text_features(t) for t in b.column("text").to_pylist()],
-                                dtype=np.float32).reshape(-1)
-            n = len(TEXT_FEATURES)
-            view = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, len(features) + 1, n), pa.int32()), pa.array(features))
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [view],
-                                             names=[*kept, "text_view"])
-    schema = T.StructType([rows.schema[c] for c in kept]
-                          + [T.StructField("text_view", T.ArrayType(T.FloatType()))])
-    return rows.mapInArrow(run, schema)
+    """``rows`` (with a ``text`` column) and their ``text_view`` in its place.
+    Only texts go to the Python workers, a few at a time, and only numbers come
+    back."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        n = len(TEXT_FEATURES)
+        for texts in batches:
+            features = np.empty((len(texts), n), dtype=np.float32)
+            for a in range(0, len(texts), SLICE):
+                for i, t in enumerate(texts.slice(a, SLICE).to_pylist(), a):
+                    features[i] = text_features(t)
+            yield pa.ListArray.from_arrays(
+                pa.array(np.arange(0, features.size + 1, n), pa.int32()), pa.array(features.ravel()))
+    view = F.arrow_udf(run, "array<float>")
+    return rows.withColumn("text_view", view("text")).drop("text")
 
 
 def view_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -149,8 +153,9 @@ def _hash(name: str):
 class CoTrained:
     """Both views' classifiers with their calibration, or only a base rate."""
 
-    def __init__(self, base, content=None, meta=None, content_scale=None, meta_scale=None):
-        self.base, self.content, self.meta = base, content, meta
+    def __init__(self, base, content=None, meta=None, content_scale=None, meta_scale=None,
+                 exchanged=()):
+        self.base, self.content, self.meta, self.exchanged = base, content, meta, exchanged
         self.content_scale, self.meta_scale = content_scale, meta_scale
 
     def apply(self, rows: DataFrame) -> DataFrame:
@@ -173,8 +178,8 @@ class CoTrained:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
-        max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS,
-        confident: float = CONFIDENT, **columns) -> CoTrained:
+        max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, share: float = SHARE,
+        lift: float = LIFT, **columns) -> CoTrained:
     """``labels`` has doc_id and a 0/1 label; of repeated labels of a document
     the largest counts."""
     rows = view_columns(docs, **columns)
@@ -193,29 +198,33 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     both = [{r["label"] for r in known.filter(c).select("label").distinct().collect()}
             for c in (held, ~held)]
     if all(len(x) == 2 for x in both):
-        train, check = known.filter(~held).persist(), known.filter(held).persist()
+        train, check = known.filter(~held), known.filter(held)
     else:  # too few labels to spare any
-        train = check = known.persist()
+        train = check = known
     others = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
-    share = min(1.0, max_pool / max(docs.count() - sum(classes.values()), 1)) * SCALE
-    pool = materialize(with_features(others.filter(_hash("quality pool") < share)), "quality-pool")
-    pool = _with_views(pool).select("content", "meta").persist()
-
+    pool = _with_views(materialize(with_features(others), "quality-pool")).select("content", "meta")
     content, meta = _fit(train, "content"), _fit(train, "meta")
-    limit = float(np.log(confident / (1 - confident)))
     own = train.select("label", "content", "meta")
-    for _ in range(rounds):
-        judged = _odds(_odds(pool, content, "content_odds"), meta, "meta_odds")
-        sure = {name: judged.filter(F.abs(F.col(name)) >= limit).select(
-            (F.col(name) > 0).cast("double").alias("label"), "content", "meta")
-            for name in ("content_odds", "meta_odds")}
+    good, exchanged = classes[1.0] / (classes[0.0] + classes[1.0]), []
+    up, down = (float(np.log(sure / (1 - sure))) * sign for sure, sign in
+                ((1 - (1 - good) / lift, 1), (1 - good / lift, -1)))
+    for turn in range(rounds):
+        judged = materialize(_odds(_odds(pool, content, "content_odds"), meta, "meta_odds"), "judged")
+        sure = {}
+        for name in ("content_odds", "meta_odds"):
+            low, high = judged.approxQuantile(
+                name, [share * (1 - good), 1 - share * good], 0.001) or (0.0, 0.0)
+            odds = F.col(name)
+            sure[name] = judged.filter((odds >= max(high, up)) | (odds <= min(low, down))).select(
+                (odds > 0).cast("double").alias("label"), "content", "meta")
+            exchanged.append((turn, name, {int(r["label"]): r["count"] for r in
+                                           sure[name].groupBy("label").count().collect()}))
         content, meta = (_fit(own.unionByName(sure["meta_odds"]), "content"),
                          _fit(own.unionByName(sure["content_odds"]), "meta"))
-    check_odds = _odds(_odds(check, content, "content_odds"), meta, "meta_odds").persist()
+    check_odds = materialize(_odds(_odds(check, content, "content_odds"), meta, "meta_odds").select(
+        "label", "content_odds", "meta_odds"), "quality-check")
     scales = _platt(check_odds, "content_odds"), _platt(check_odds, "meta_odds")
-    for held_table in (train, check, pool, check_odds):
-        held_table.unpersist()
-    return CoTrained(classes[1.0] / (classes[0.0] + classes[1.0]), content, meta, *scales)
+    return CoTrained(good, content, meta, *scales, exchanged)
 
 
 def score(docs: DataFrame, model: CoTrained, **columns) -> DataFrame:
