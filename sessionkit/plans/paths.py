@@ -71,7 +71,7 @@ def train_champion(spark: SparkSession, model_ready_path: str, results_dir: str,
     """CHAMP main: fit, save the whole pipeline, report importances."""
     data = M.Prepared(spark.read.parquet(model_ready_path))
     model = M.fit_champion(data, params)
-    model.write().overwrite().save(f"{results_dir.rstrip('/')}/champion_pipeline")
+    model.save(spark, f"{results_dir.rstrip('/')}/champion_pipeline")
     imp = M.feature_importance(model, data.features, spark)
     RP.write_csv_report(imp, f"{results_dir.rstrip('/')}/champion_feature_importance")
     data.unpersist()

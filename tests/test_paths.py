@@ -58,3 +58,18 @@ def test_convert_monthly_csv_ids_follow_file_order(spark, tmp_path):
     assert len({r.event_id for r in rows}) == 10
     oct_max = max(r.event_id for r in rows if r.source_month == "2019-Oct")
     assert all(r.event_id > oct_max for r in rows if r.source_month == "2019-Nov")
+
+
+def test_champion_path_saves_model_and_importances(spark):
+    from sessionkit.operators import sessions as S
+    from sessionkit.plans import models as M
+    from sessionkit.plans import paths
+    from sessionkit.session import materialize, scratch_path
+    from sessionkit.sources.adapter import load_events
+    table = materialize(S.build_model_ready(load_events(spark, "/root/testdata/sf0.001")), "t-ready")
+    out = scratch_path(spark, "t-results")
+    imp = paths.train_champion(spark, table.inputFiles()[0].rsplit("/", 1)[0], out,
+                               {"n_estimators": 3, "max_depth": 3}).collect()
+    assert abs(sum(r.Importance for r in imp) - 1) < 1e-9
+    again = M.Champion.load(spark, f"{out}/champion_pipeline")
+    assert len(again.booster.trees) == 3 and again.transform(table).count() == table.count()
