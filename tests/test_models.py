@@ -40,7 +40,7 @@ def test_grid_search_and_random_draws(spark):
     assert draws == TU.sample_grid(TU.RANDOM_SPACES["RandomForest"], 10)
 
 
-def test_lr_reg_param_follows_c():
+def test_lr_reg_param_follows_c(spark):
     clf = M.make_classifier("LogisticRegression", {"C": 10}, n_weight=100.0)
     assert abs(clf.getRegParam() - 1 / 1000) < 1e-15
 
