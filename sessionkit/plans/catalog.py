@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +16,14 @@ from pyspark.sql import types as T
 from ..functions.exprs import seconds_between
 from ..operators import profile as P
 from ..operators import segments as SG
+from ..operators import kmeans as KM
 from ..operators import sessions as S
+from ..operators.session_state import SessionState
 from ..session import delete_scratch, folder_state, materialize, scratch_path
 from ..sources import io as IO
 from ..sources.adapter import load_events
 from ..sources.schema import EVENT_COLUMNS
-from ..streaming.ingest import ingest_csv
+from ..streaming.ingest import ingest_csv, reject_counts
 from . import models as M
 from . import prep as PR
 from . import report as RP
@@ -154,6 +157,15 @@ def q_segment_sessions(spark, sf):
     return round_doubles(_session_times_out(S.segment_sessions(_valid(spark, sf))))
 
 
+@register("segment_sessions_merged")
+def q_segment_sessions_merged(spark, sf):
+    """The partial sessions of each month stored, then merged."""
+    state = SessionState(spark, scratch_path(spark, "session-state"))
+    for month in ("A", "B"):
+        state.add(_valid(spark, sf).filter(F.col("source_month") == month), month)
+    return round_doubles(_session_times_out(state.sessions()))
+
+
 def _proc_sessions(spark, sf):
     """Per-month sessions, cut from the event scan (written once, read by
     both sides of the per-user join)."""
@@ -437,6 +449,26 @@ def q_kmeans_segments(spark, sf):
     return SG.kmeans_segments(m, model).select(S.SESSION, SG.CLUSTER_COL)
 
 
+@register("kmeans_starts")
+def q_kmeans_starts(spark, sf):
+    """K3 with its ten starts in shared passes: every session's cluster in the best."""
+    m = _matrix(spark, sf)
+    z = SG.zcols()
+    best = KM.fit_starts(m, z, SG.N_CLUSTERS)[0]
+    return SG.assign_nearest(m, best.centers.tolist(), z).select(S.SESSION, SG.CLUSTER_COL)
+
+
+@register("kmeans_step")
+def q_kmeans_step(spark, sf):
+    """One Lloyd step from the seed centres: rows, means and cost of each cluster."""
+    m = _matrix(spark, sf)
+    z = SG.zcols()
+    seeds = np.array(SG.seed_centers(m, SG.N_CLUSTERS, z))
+    sums = KM.lloyd_sums(KM.vectors(m, z, S.SESSION), [seeds])
+    means = [(F.col("sums")[i] / F.col("n")).alias(c) for i, c in enumerate(z)]
+    return round_doubles(sums.select(F.col("cluster").alias(SG.CLUSTER_COL), "n", *means, "cost"))
+
+
 # ----------------------------------------------------------------- machine learning
 
 SPLIT_OUT = ["source_month", S.SESSION, S.LABEL, "split"]
@@ -692,6 +724,20 @@ def q_csv_ingest_stream(spark, sf):
     return _events_out(IO.read_parquet(spark, table).select(*EVENT_COLUMNS))
 
 
+@register("csv_rejects")
+def q_csv_rejects(spark, sf):
+    """The events as CSV with the price of every purchase spoilt; the stream
+    writes the other rows to the table and these, with the reason, aside."""
+    src, table, rejects = (scratch_path(spark, x) for x in ("csv-spoilt", "csv-kept", "csv-rejects"))
+    events = _events(spark, sf)
+    price = F.when(F.col("event_type") == "purchase", F.concat(F.col("price").cast("string"), F.lit("?"))) \
+        .otherwise(F.col("price").cast("string"))
+    IO.write_csv(events.withColumn("price", price), src)
+    ingest_csv(spark, src, table, scratch_path(spark, "rejects-ckpt"), rejects_dir=rejects)
+    counts = reject_counts(spark, table, rejects)
+    return counts.groupBy("reason").agg(F.sum("rows").alias("rows"))
+
+
 @register("parquet_scan")
 def q_parquet_scan(spark, sf):
     """S3: one monthly file of a month-partitioned table (partition pruning)."""

@@ -173,6 +173,8 @@ SELECT user_session, {ts_text('session_start')}, {ts_text('session_end')}, user_
        {r6('total_price', 'total_price')}, is_abandoned
 FROM segl"""
 
+ORACLE["segment_sessions_merged"] = ORACLE["segment_sessions"]
+
 ORACLE["user_first_session"] = with_ctes(EVENTS_CTE_SQL, VALID_CTE, PROC_SESSIONS_CTE) + f"""
 SELECT user_id, {ts_text('min(session_start)').replace(' AS min(session_start)', '')}
          AS user_first_session_time
@@ -664,3 +666,17 @@ ORACLE["low_cardinality"] = with_ctes(EVENTS_CTE_SQL) + "\n" + "\nUNION ALL\n".j
     f"round(count(DISTINCT {c}) / count(*), 6) AS ratio, "
     f"count(DISTINCT {c}) / count(*) < 0.5 AS is_low_cardinality FROM ev"
     for c in _STRING_COLS)
+
+ORACLE["csv_rejects"] = with_ctes(EVENTS_CTE_SQL) + """
+SELECT CASE WHEN event_type = 'purchase' AND price IS NOT NULL THEN 'price' END AS reason,
+       CAST(count(*) AS BIGINT) AS "rows"
+FROM ev GROUP BY 1"""
+
+ORACLE["kmeans_step"] = with_ctes(*SEG_ALL) + ",\n" + f"""
+near AS (SELECT a.behavior_cluster, mx.*,
+                (SELECT min({_dist}) FROM cen) AS away
+         FROM mx JOIN asg a USING (user_session))
+SELECT behavior_cluster, count(*) AS n, """ + ", ".join(
+    r6(f"avg(z_{c})", f"z_{c}") for c in CLUSTER_FEATURES) + f""",
+       {r6('sum(away)', 'cost')}
+FROM near GROUP BY 1"""

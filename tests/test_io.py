@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sessionkit.session import scratch_path
 from sessionkit.sources import io as IO
-from sessionkit.streaming.ingest import ingest_csv
+from sessionkit.streaming.ingest import ingest_csv, reject_counts
 
 
 def test_narrow_types(spark):
@@ -83,3 +83,28 @@ def test_stream_ingest_is_incremental(spark, tmp_path):
     ingest_csv(spark, str(src), table, ckpt, monthly_layout=True)
     got = {r.source_month: r["count"] for r in spark.read.parquet(table).groupBy("source_month").count().collect()}
     assert got == {"2019-Oct": 1, "2019-Nov": 2}
+
+
+def test_rows_that_do_not_parse_are_set_aside(spark, tmp_path):
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    good = "2019-10-01 00:00:0{} UTC,view,1,2,,b,1.5,7,s{}\n"
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "2019-Oct.csv").write_text(head + good.format(1, 1) + "not a time,view,x1,2,,b,1.5,7,s2\n"
+                                      + "2019-10-01 00:00:03 UTC,view,1\n" + good.format(4, 4))
+    table, rejects, ckpt = (str(tmp_path / n) for n in ("t", "r", "c"))
+    args = dict(monthly_layout=True, rejects_dir=rejects)
+    ingest_csv(spark, str(src), table, ckpt, **args)
+    ingest_csv(spark, str(src), table, ckpt, **args)  # nothing new
+    assert {r.user_session for r in spark.read.parquet(table).collect()} == {"s1", "s4"}
+    bad = {r.line: r for r in spark.read.parquet(rejects).collect()}
+    assert len(bad) == 2 and all(r.file.endswith("2019-Oct.csv") for r in bad.values())
+    assert {r.reason for r in bad.values()} == {"event_time,product_id", "fields"}
+    # a second file is the next batch; kept + rejected = read, batch by batch
+    (src / "2019-Nov.csv").write_text(head + good.format(5, 5) + "2019-11-01 00:00:03 UTC,view,1,2,,b,?,7,s6\n")
+    ingest_csv(spark, str(src), table, ckpt, **args)
+    counts = {(r.ingest_batch, r.reason): r["rows"] for r in reject_counts(spark, table, rejects).collect()}
+    assert counts == {(0, None): 2, (0, "event_time,product_id"): 1, (0, "fields"): 1,
+                      (1, None): 1, (1, "price"): 1}
+    months = {r.source_month for r in spark.read.parquet(table).select("source_month").collect()}
+    assert months == {"2019-Oct", "2019-Nov"}
