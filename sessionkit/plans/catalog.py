@@ -252,14 +252,14 @@ def q_top_categories(spark, sf):
 
 @register("describe_price")
 def q_describe_price(spark, sf):
-    return round_doubles(P.describe(_events(spark, sf, OWN_COLUMNS), ["price"]))
+    return round_doubles(P.describe(_events(spark, sf, OWN_COLUMNS), ["price"], cut=False))
 
 
 @register("describe_price_valid")
 def q_describe_price_valid(spark, sf):
     """P7 after the price filter; events without a session count too."""
     return round_doubles(P.describe(_valid(spark, sf, OWN_COLUMNS, require_session=False),
-                                    ["price"]))
+                                    ["price"], cut=False))
 
 
 @register("zero_price_by_type")

@@ -49,3 +49,19 @@ def test_null_profile_and_shape(spark, fixture_events):
     prof = {r.column_name: r.non_null_count for r in P.null_profile(fixture_events).collect()}
     assert prof["user_session"] == 23 and prof["brand"] == 22
     assert P.shape(fixture_events).first()["rows"] == 24
+
+
+def test_kde_by_moments_within_its_error_bound(spark):
+    """Many cells, hot values and a far outlier; the bound is per row, of the kernel's peak."""
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.lognormal(3, 1, 3000), np.full(1000, 12.5), [5000.0, 0.01]])
+    got = sorted(P.kde(spark.createDataFrame([(float(x),) for x in v], "price double"), "price").collect(),
+                 key=lambda r: r.point)
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), 200)
+    peak = 1 / (h * np.sqrt(2 * np.pi))
+    want = np.exp(-0.5 * ((x[:, None] - v[None]) / h) ** 2).mean(axis=1) * peak
+    assert [r.point for r in got] == list(range(200))
+    np.testing.assert_allclose([r.x for r in got], x, rtol=1e-12)
+    assert np.abs(np.array([r.density for r in got]) - want).max() <= 4e-12 * peak
+    assert P.kde(spark.createDataFrame([(None,), (float("nan"),)], "price double"), "price").count() == 0
