@@ -102,16 +102,55 @@ def session_labels(events: DataFrame, keys: list[str] | None = None) -> DataFram
     return events.groupBy(*keys).agg(abandoned_flag_agg().alias(LABEL))
 
 
-def labeled_events(events: DataFrame, method: str = "join",
-                   as_bool: bool = True) -> DataFrame:
+#: 64-bit words of the session filter: 16 MB broadcast, about 16 bits for each
+#: of four million abandoned sessions.
+FILTER_WORDS = 1 << 20
+
+
+def abandoned_sessions(events: DataFrame) -> DataFrame:
+    """The keys of sessions with a cart and no purchase; only events of these
+    two types are read (the type filter reaches the scan)."""
+    told = events.filter(F.col("event_type").isin("cart", "purchase") & F.col(SESSION).isNotNull())
+    return told.groupBy(SESSION).agg(abandoned_flag_agg().alias("flag")).filter("flag = 1") \
+        .select(SESSION)
+
+
+def _filter_place(words: int) -> tuple[Column, Column]:
+    """Word of a session in a filter of ``words`` words, and its three bits."""
+    h = F.xxhash64(SESSION, F.lit(1))
+    bits = [F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                            F.shiftright(h, k).bitwiseAND(F.lit(63)).cast("int")) for k in (0, 6, 12)]
+    return (F.pmod(F.xxhash64(SESSION), F.lit(words)).alias("_word"),
+            bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).alias("_mask"))
+
+
+def maybe_abandoned(events: DataFrame, abandoned: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+    """``events`` with a flag ``_maybe``: false only where the session is not
+    among ``abandoned``.  The test is a blocked Bloom filter, a broadcast table
+    (word, bits) of at most ``words`` rows."""
+    bits = abandoned.select(*_filter_place(words)).groupBy("_word").agg(
+        F.bit_or("_mask").alias("_bits"))
+    return (events.select("*", *_filter_place(words)).join(F.broadcast(bits), "_word", "left")
+            .withColumn("_maybe", F.coalesce(
+                F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False)))
+            .drop("_word", "_mask", "_bits"))
+
+
+def labeled_events(events: DataFrame, method: str = "join", as_bool: bool = True,
+                   filter_words: int = FILTER_WORDS) -> DataFrame:
     """Send each session's abandoned flag back to its events
     (pandas ``groupby.transform``).
 
-    ``method="join"`` (default) aggregates per session (map-side partial
-    aggregation) and joins the small result back, so a hot session is split
-    by AQE's skew join; ``method="window"`` is the single-shuffle
-    ``max() OVER (PARTITION BY user_session)`` form, cheaper when no session
-    is hot but bound to one task per session.
+    ``method="join"`` (default) aggregates only cart and purchase events per
+    session and joins the keys of abandoned sessions back.  A Bloom filter of
+    these keys, of bounded size, labels the events of all other sessions where
+    they are read, so only events that pass it are shuffled (AQE's skew join
+    splits a hot session).  With far more abandoned sessions than the filter
+    is made for, most events pass and the labels stay exact;
+    ``filter_words=0`` then saves the second read of the events.
+    ``method="window"`` is the single-shuffle
+    ``max() OVER (PARTITION BY user_session)`` form, bound to one task per
+    session.
     """
     ev = events.filter(F.col(SESSION).isNotNull())
     if method == "window":
@@ -122,7 +161,16 @@ def labeled_events(events: DataFrame, method: str = "join",
                                     F.lit(False)))
         out = ev.withColumn(LABEL, lab)
     else:
-        out = ev.join(session_labels(ev), SESSION, "left")
+        abandoned = abandoned_sessions(ev)
+        flags = abandoned.withColumn(LABEL, F.lit(1))
+        if filter_words:
+            tested = maybe_abandoned(ev, abandoned, filter_words)
+            out = (tested.filter("_maybe").drop("_maybe").join(flags, SESSION, "left")
+                   .unionByName(tested.filter("not _maybe").drop("_maybe")
+                                .withColumn(LABEL, F.lit(0))))
+        else:
+            out = ev.join(flags, SESSION, "left")
+        out = out.fillna(0, subset=[LABEL])
     if as_bool:
         out = out.withColumn(LABEL, F.col(LABEL).cast("boolean"))
     return out

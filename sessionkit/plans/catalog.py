@@ -19,6 +19,7 @@ from ..operators import segments as SG
 from ..operators import kmeans as KM
 from ..operators import sessions as S
 from ..operators.session_state import SessionState
+from ..operators.user_store import store_by_user
 from ..session import delete_scratch, folder_state, materialize, scratch_path
 from ..sources import io as IO
 from ..sources.adapter import load_events
@@ -180,8 +181,9 @@ def q_user_first_session(spark, sf):
 
 @register("returning_users")
 def q_returning_users(spark, sf):
-    r = S.returning_users(_proc_sessions(spark, sf), method="window")
-    return r.select("source_month", "user_session", "user_id", "is_returning_user")
+    """W2 over sessions stored by user: no exchange, hot users apart."""
+    stored = store_by_user(S.enriched_sessions(_valid(spark, sf), by_month=True))
+    return stored.returning().select("source_month", "user_session", "user_id", "is_returning_user")
 
 
 @register("returning_users_join")

@@ -65,3 +65,34 @@ def test_default_plans_are_skew_safe(spark):
     assert "partial_" in agg_plan                # map-side partial aggregation
     assert "collect_set" not in agg_plan and "collect_list" not in agg_plan
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_only_events_of_abandoned_sessions_are_shuffled(spark):
+    ev = _skewed(spark)
+    abandoned = S.abandoned_sessions(ev)
+    want = {f"s{s}" for s in range(3000)}        # the hot session has purchases
+    assert {r.user_session for r in abandoned.collect()} == want
+    few = abandoned.filter("user_session < 's2'")  # s0, s1, s10 ... s1999
+    keys = [r.user_session for r in few.collect()]
+    tested = S.maybe_abandoned(ev, few).groupBy("user_session", "_maybe").count().collect()
+    passed = {r["user_session"] for r in tested if r["_maybe"]}
+    assert passed >= set(keys) and len(passed) <= len(keys) * 1.05
+    assert sum(r["count"] for r in tested) == ev.count()
+
+
+def test_labels_by_filter_equal_the_window_form(spark):
+    ev = _skewed(spark)
+    want = sorted((r.event_id, r.is_abandoned) for r in S.labeled_events(ev, "window").collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the keys were too many
+    try:
+        for words in (S.FILTER_WORDS, 64, 1, 0):  # down to a filter that all events pass
+            out = S.labeled_events(ev, filter_words=words)
+            assert sorted((r.event_id, r.is_abandoned) for r in out.collect()) == want
+        plan = S.labeled_events(ev)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the shuffled branch is filtered below its exchange; the other has no shuffle of events
+    shuffled, settled = plan.split("SortMergeJoin", 1)[1], plan.rsplit("Project", 1)[1]
+    assert plan.count("SortMergeJoin") == 1 and "_bits" in shuffled.split("Exchange hashpartitioning")[1]
+    assert "SortMergeJoin" not in settled
