@@ -8,6 +8,7 @@ pieces in order, as little-endian unsigned 32-bit integers.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -36,15 +37,19 @@ def plain_spacing(text: str) -> bool:
                 or any(x in text for x in (ASCII_SPACE if text.isascii() else OTHER_SPACE)))
 
 
+_BORDER = re.compile(r"(?<=\S)(?=[ \n])|(?<=\S\n)(?=\S)")
+
+
 def split_spaced(text: str) -> list:
     """Cuts for byte-level tokenizers whose words own the space before them.
 
-    Where white space is only single spaces and single line ends between
-    words, no match of the splitting pattern crosses the border before a
-    space or on either side of a line end.  Any other text stays whole.
+    No match of the splitting pattern goes on from a word over the space or
+    line end behind it, nor from a single line end between words into the
+    next word.  Text of any spacing is cut there; other white space stays with
+    the word behind it.
     """
     if not plain_spacing(text):
-        return [text]
+        return _BORDER.split(text)
     return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
@@ -52,10 +57,8 @@ def id_bytes(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-def one_word(w: str) -> bool:
-    """One run without white space, a single space before it at most."""
-    parts = w.split()
-    return len(parts) == 1 and (w == parts[0] or w == " " + parts[0])
+#: One run without white space, a single space before it at most.
+one_word = re.compile(r" ?\S+").fullmatch
 
 
 class LibraryEncoder:
@@ -63,17 +66,21 @@ class LibraryEncoder:
 
     ``cut`` cuts texts into pieces that encode on their own.  Pieces go to the
     library joined by ``mark``, whose one id cannot come from such a piece, so
-    that one call encodes many; other pieces go one by one.  A letter and a
+    that one call encodes ``joined`` of them; other pieces go one by one.
+    Texts are taken up in groups of about ``chars`` characters, whose words stay
+    in the processor's cache between look-up and joining.  A letter and a
     comma or full stop after it never share a token, so a word that was met
     before without its stop needs no call.
     """
 
-    def __init__(self, path: str, cut, mark: str, joinable):
+    def __init__(self, path: str, cut, mark: str, joinable, joined: int = 1000,
+                 chars: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut, self.mark, self.joinable = cut, mark, joinable
+        self.joined, self.chars = joined, chars
         self.mark_id, = self.tok.encode(mark, add_special_tokens=False).ids
         self.stops = dict(zip(",.", [x.tobytes() for x in self._ids([",", "."])]))
         self.cache = WordCache(self._encode)
@@ -94,9 +101,9 @@ class LibraryEncoder:
                 alone.append(i)
         for i, ids in zip(alone, self._ids([words[i] for i in alone])):
             out[i] = ids.tobytes()
-        for a in range(0, len(join), 1000):
-            part = join[a:a + 1000]
-            ids, = self._ids([self.mark.join([words[i] for i in part])])
+        parts = [join[a:a + self.joined] for a in range(0, len(join), self.joined)]
+        made = self._ids([self.mark.join([words[i] for i in part]) for part in parts])
+        for part, ids in zip(parts, made):
             ends = [*(np.flatnonzero(ids == self.mark_id) * 4).tolist(), 4 * len(ids)]
             assert len(ends) == len(part)
             raw, start = ids.tobytes(), 0
@@ -108,7 +115,7 @@ class LibraryEncoder:
     def encode(self, texts: list):
         """Id bytes of each text (None counts as empty), lazily, in order."""
         texts = [t or "" for t in texts]
-        for a, b in text_groups(texts):
+        for a, b in text_groups(texts, self.chars):
             pieces = [self.cut(t) for t in texts[a:b]]
             get = self.cache.lookup(pieces)
             for p in pieces:
@@ -124,4 +131,4 @@ def word_encoder(path: str) -> LibraryEncoder:
 @lru_cache(maxsize=4)
 def byte_encoder(path: str) -> LibraryEncoder:
     """This worker's encoder for a byte-level BPE."""
-    return LibraryEncoder(path, split_spaced, "\n", one_word)
+    return LibraryEncoder(path, split_spaced, "\n", one_word, joined=50, chars=100_000)

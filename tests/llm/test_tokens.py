@@ -58,6 +58,14 @@ def test_cut_texts_encode_like_whole_texts(name, make):
         assert np.frombuffer(raw, dtype="<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_text_of_irregular_spacing_is_cut_at_its_regular_spots():
+    from sessionkit.llm.tokens import split_spaced
+    text = "one two  three\nfour\n\nfive " + "six " * 1000
+    pieces = split_spaced(text)
+    assert "".join(pieces) == text and len(pieces) > 1000
+    assert pieces[:5] == ["one", " two", "  three", "\n", "four"]
+
+
 def test_bpe_odd_rows(spark):
     got = round_trip(odd_docs(spark), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()
     assert len(got) == 8
