@@ -8,15 +8,16 @@ and stated length.  Neither sees the other's.
 labelled rows.  In each round either one scores all rows whose label it has not
 learned from (without one, or beyond the labelled sample) and hands those it is
 most confident about to the other as pseudo-labels: the ``share`` of them with
-the greatest odds of either class, split as the labels are, as far as it holds
-them for ``lift`` times less likely to be wrong than that class is as a mere
-guess; so a view that knows nothing hands over nothing.  Both are then fitted
+the greatest odds of either class, split as the labels are, as far as its
+calibrated odds make them ``lift`` times less likely to be wrong than that class
+is as a mere guess; so a view that knows nothing hands over nothing.  Both are then fitted
 again.  The labelled sample has about ``max_labelled`` rows, taken by a hash of
 the id (a documented bound); the pool is the whole rest and grows with it.
 ``exchanged`` of the model tells how many of either class each view handed over.
 
 *Combination.*  A fifth of the labelled rows is never used for fitting; on it
-each view's log-odds are calibrated (Platt scaling), and the combined log-odds
+each view's log-odds are calibrated (Platt scaling) before every exchange and
+at the end, and the combined log-odds
 of a row are the sum of both calibrated views' less the log-odds of the base
 rate, which both contain.
 
@@ -208,8 +209,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     good, exchanged = classes[1.0] / (classes[0.0] + classes[1.0]), []
     up, down = (float(np.log(sure / (1 - sure))) * sign for sure, sign in
                 ((1 - (1 - good) / lift, 1), (1 - good / lift, -1)))
+    def checked():
+        """Both views' calibrations, (slope, intercept), on the rows kept for that."""
+        odds = materialize(_odds(_odds(check, content, "content_odds"), meta, "meta_odds").select(
+            "label", "content_odds", "meta_odds"), "quality-check")
+        return {name: _platt(odds, name) for name in ("content_odds", "meta_odds")}
+
     for turn in range(rounds):
-        judged = materialize(_odds(_odds(pool, content, "content_odds"), meta, "meta_odds"), "judged")
+        scales = checked()
+        judged = _odds(_odds(pool, content, "content_odds"), meta, "meta_odds")
+        for name, (slope, shift) in scales.items():  # a view's own certainty is not taken on trust
+            judged = judged.withColumn(name, F.col(name) * max(slope, 0.0) + shift)
+        judged = materialize(judged, "judged")
         sure = {}
         for name in ("content_odds", "meta_odds"):
             low, high = judged.approxQuantile(
@@ -221,10 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
                                            sure[name].groupBy("label").count().collect()}))
         content, meta = (_fit(own.unionByName(sure["meta_odds"]), "content"),
                          _fit(own.unionByName(sure["content_odds"]), "meta"))
-    check_odds = materialize(_odds(_odds(check, content, "content_odds"), meta, "meta_odds").select(
-        "label", "content_odds", "meta_odds"), "quality-check")
-    scales = _platt(check_odds, "content_odds"), _platt(check_odds, "meta_odds")
-    return CoTrained(good, content, meta, *scales, exchanged)
+    scales = checked()
+    return CoTrained(good, content, meta, scales["content_odds"], scales["meta_odds"], exchanged)
 
 
 def score(docs: DataFrame, model: CoTrained, **columns) -> DataFrame:
