@@ -252,15 +252,17 @@ def near_links(nodes: DataFrame, radius: int, tile: int = 2048) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits), component_id (the least
-    doc_id reachable over links of at most ``radius`` bits) and text_key."""
+    doc_id reachable over links of at most ``radius`` bits), text_key and group
+    (the component's least fingerprint, also where it has no doc_id)."""
     prints = materialize(fingerprint_table(docs, width, seed, id_col, text_col), "fingerprints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = materialize(connected_components(near_links(nodes.select("fp"), radius)), "roots")
     members = nodes.join(roots, nodes.fp == roots.node).select("fp", "root", "least")
     least = members.groupBy("root").agg(F.min("least").alias("component"))
-    labels = materialize(roots.join(least, "root").select("node", "component"), "labels")
+    labels = materialize(roots.join(least, "root").select("node", "root", "component"), "labels")
     named = materialize(nodes.join(labels, nodes.fp == labels.node, "left").select(
-        "fp", F.coalesce("component", "least").alias("component_id")), "named")
+        "fp", F.coalesce("component", "least").alias("component_id"),
+        F.coalesce("root", "fp").alias("group")), "named")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        "text_key")
+        "text_key", "group")

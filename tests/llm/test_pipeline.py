@@ -51,6 +51,16 @@ def test_language_stage(spark, documents):
     assert len(want) >= documents.count() - 4
 
 
+def test_language_stage_rejects_what_is_in_no_learned_language(spark, documents):
+    strange = [(80001, "Жили были старик со старухой у самого синего моря. " * 5, None, "s", 1),
+               (80002, "xq7#zz kvvw99 {}[]|| wqxz//zzq ~~pfxk 0x7fq " * 20, None, "s", 1),
+               (80003, "nyt kuinka hyvää päivää jäänyt mökillä yötä vyöhykkeeltä " * 10, None, "s", 1)]
+    mixed = documents.unionByName(spark.createDataFrame(strange, documents.schema))
+    kept = {r.doc_id for r in C.identify_language(spark, mixed, SF).collect()}
+    assert kept & {80001, 80002, 80003} <= {80003}
+    assert kept >= {r.doc_id for r in documents.filter("doc_id < 80000").collect()}
+
+
 def test_quality_stage(spark, documents):
     got = C.classify_quality(spark, documents, SF)
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
@@ -97,6 +107,23 @@ def test_near_stage(spark, documents):
     assert sorted(str(r.doc_id) for r in got.collect()) == sorted(map(str, best.values()))
 
 
+def test_near_copies_without_any_id(spark, documents):
+    """Linked copies of different fingerprints, all without an id: one stays."""
+    text = documents.filter("doc_id = 3").first().text * 3
+    base, near = fingerprints([text.encode()])[0], None
+    for i in range(1, 400):  # a copy with one more word, within the radius but not equal
+        cand = text + f" extra{i}"
+        if 0 < bin(int(base) ^ int(fingerprints([cand.encode()])[0])).count("1") <= 3:
+            near = cand
+            break
+    assert near
+    docs = spark.createDataFrame([(None, text, "en", "s", 1), (None, near, "en", "s", 1),
+                                  (None, near, "en", "s", 1), (None, "quite another text", "en", "s", 1)],
+                                 documents.schema)
+    got = [r.text for r in C.drop_near_copies(spark, docs, SF).collect()]
+    assert len(got) == 2 and "quite another text" in got
+
+
 def test_run_packs_what_the_stages_keep(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in C.STAGES[:-1]:
@@ -136,4 +163,4 @@ def test_keep_rows_with_clashing_names(spark):
 def test_entry_lists_the_queries():
     assert importlib.import_module("corpus_pipeline").run is entry.queries()["pipeline"]
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted({int(q[2:].split("_")[0]) for q in names}) == list(range(1, 11))
+    assert sorted({int(q[2:].split("_")[0]) for q in names}) == list(range(1, 14))
