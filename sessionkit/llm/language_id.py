@@ -15,7 +15,10 @@ id at the rate that gives this number), a documented bound.
 
 *Prediction*: the language of greatest posterior under equal priors, and that
 posterior as score.  Null texts and texts without a letter are ``und`` with
-score 0; so is everything if nothing was learned.  Whole texts are read;
+score 0; so is everything if nothing was learned.  The posterior only compares
+the learned languages; whether a text is in its language at all is told by its
+log-probability per character, held against the labelled rows (``with_floors``).
+Whole texts are read;
 repeated rows are predicted alike; extra columns are not read.
 """
 
@@ -39,6 +42,7 @@ DOCS_PER_LANGUAGE = 1000
 ROUNDS = 3
 UNDETERMINED = "und"
 CACHED_WORDS = 100_000
+ALLOWANCE = 30.0  # log-probability that a text may lose whatever its length: a few rare words
 SLICE = 256  # texts that a worker holds as strings at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # odd, so that hashing keeps order apart
 
@@ -159,10 +163,15 @@ class Lattices:
 
 
 class Model:
-    """Languages and their piece probabilities, (piece, language)."""
+    """Languages, their piece probabilities, (piece, language), and the least
+    fit of a text of each (none: any fit will do)."""
 
-    def __init__(self, path: str, languages: list, probs: np.ndarray):
+    def __init__(self, path: str, languages: list, probs: np.ndarray, floors: dict | None = None):
         self.path, self.languages, self.probs = path, languages, probs
+        self.floors = floors or {}
+
+    def parts(self):
+        return self.path, self.languages, self.probs, self.floors
 
     def scorer(self):
         lattices = Lattices(vocabulary(self.path))
@@ -171,7 +180,8 @@ class Model:
             limit=CACHED_WORDS)
 
     def predict(self, texts: list, scorer):
-        """(language, posterior) of each text, in order."""
+        """(language, posterior, fit) of each text, in order; the fit is the
+        log-probability per character, ``ALLOWANCE`` added."""
         n = len(self.languages)
         texts = [t or "" for t in texts]
         for a, b in text_groups(texts):
@@ -179,11 +189,15 @@ class Model:
             get = scorer.lookup(words)
             for t, w in zip(texts[a:b], words):
                 if not n or not any(map(str.isalpha, t)):
-                    yield UNDETERMINED, 0.0
+                    yield UNDETERMINED, 0.0, 0.0
                     continue
                 total = np.frombuffer(b"".join(map(get, w))).reshape(-1, n).sum(axis=0)
                 best = int(total.argmax())
-                yield self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+                fit = (float(total[best]) + ALLOWANCE) / (sum(map(len, w)) + len(w))
+                yield self.languages[best], float(1.0 / np.exp(total - total[best]).sum()), fit
+
+    def accepts(self, lang: str, score: float, fit: float, min_score: float) -> bool:
+        return lang != UNDETERMINED and score >= min_score and fit >= self.floors.get(lang, -np.inf)
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
@@ -200,21 +214,27 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _labelled(rows: DataFrame, docs_per_language: int, id_col: str, text_col: str, lang_col: str):
+    """The languages of the labelled rows and the (lang, text) sample of each."""
+    rows = only(rows, doc_id=id_col, text=text_col, lang=lang_col) \
+        .filter("lang is not null and text is not null")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return [], rows.select("lang", "text")
+    rate = F.create_map(*[F.lit(x) for lang in sorted(sizes)
+                          for x in (lang, min(1.0, docs_per_language / sizes[lang]))])
+    place = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
+    return sorted(sizes), rows.filter(place < F.element_at(rate, F.col("lang"))).select("lang", "text")
+
+
 def fit(rows: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE,
         rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model:
     """Learn from rows with a non-null language and text."""
-    rows = only(rows, doc_id=id_col, text=text_col, lang=lang_col) \
-        .filter("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    languages = sorted(sizes)
+    languages, sample = _labelled(rows, docs_per_language, id_col, text_col, lang_col)
     size = len(vocabulary(path)) + 2
     if not languages:
         return Model(path, [], np.zeros((size, 0)))
-    rate = F.create_map(*[F.lit(x) for lang in languages
-                          for x in (lang, min(1.0, docs_per_language / sizes[lang]))])
-    place = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    sample = rows.filter(place < F.element_at(rate, F.col("lang"))).select("lang", "text")
     counts = materialize(_word_counts(sample), "language-words")
     column = {lang: i for i, lang in enumerate(languages)}
     probs = np.full((size, len(languages)), 1.0 / (size - 1))
@@ -228,6 +248,32 @@ def fit(rows: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE,
     return Model(path, languages, probs)
 
 
+def with_floors(model: Model, rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
+                id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """The model with a least fit per language: as far below the median of the
+    labelled sample as twice the way to its worst row.  Only rows predicted as
+    labelled count; a language without any has no floor."""
+    _, sample = _labelled(rows, docs_per_language, id_col, text_col, lang_col)
+
+    def run(batches):
+        scorer = model.scorer()
+        for b in batches:
+            for a in range(0, b.num_rows, SLICE):
+                part = b.slice(a, SLICE)
+                found = list(model.predict(part.column(1).to_pylist(), scorer))
+                right = [(x[0], x[2]) for x, lang in zip(found, part.column(0).to_pylist())
+                         if x[0] == lang]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in right], pa.string()),
+                     pa.array([x[1] for x in right], pa.float64())], names=["lang", "fit"])
+    if not model.languages:
+        return model
+    seen = sample.mapInArrow(run, "lang string, fit double").groupBy("lang").agg(
+        F.min("fit").alias("worst"), F.percentile_approx("fit", 0.5).alias("middle")).collect()
+    return Model(model.path, model.languages, model.probs,
+                 {r["lang"]: 2 * r["worst"] - r["middle"] for r in seen})
+
+
 def _expected_counts(counts: DataFrame, path: str, column: dict, probs: np.ndarray) -> DataFrame:
     def run(batches):
         lattices = Lattices(vocabulary(path))
@@ -256,7 +302,7 @@ PREDICTED_SCHEMA = "doc_id bigint, lang_pred string, score double"
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.path, model.languages, model.probs))
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):
         own = Model(*shared.value)
@@ -274,9 +320,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
 def identified(docs: DataFrame, model: Model, min_score: float = 0.0,
                text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a determined language and at least that
-    score, unchanged."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.path, model.languages, model.probs))
+    """The rows of ``docs`` with a determined language, at least that score and
+    at least the fit the model asks for, unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Model(*shared.value)
@@ -284,7 +330,7 @@ def identified(docs: DataFrame, model: Model, min_score: float = 0.0,
         for texts in batches:
             keep: list = []
             for a in range(0, len(texts), SLICE):
-                keep += [lang != UNDETERMINED and score >= min_score for lang, score in
+                keep += [own.accepts(*found, min_score) for found in
                          own.predict(texts.slice(a, SLICE).to_pylist(), scorer)]
             yield pa.array(keep, pa.bool_())
     # only texts go to the Python workers, and one flag a row comes back
