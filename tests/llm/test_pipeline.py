@@ -109,7 +109,7 @@ def test_near_stage(spark, documents):
 
 def test_near_copies_without_any_id(spark, documents):
     """Linked copies of different fingerprints, all without an id: one stays."""
-    text = " ".join(f"word{i}" for i in range(300))
+    text = " ".join(f"word{i}" for i in range(299))
     base, near = fingerprints([text.encode()])[0], None
     for i in range(1, 400):  # a copy with one more word, within the radius but not equal
         cand = text + f" extra{i}"
