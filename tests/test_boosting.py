@@ -120,6 +120,20 @@ def test_models_do_not_depend_on_partitions_company_or_rounds(spark, fitted, mon
     assert _alike(alone[2].shortened(2), short)
 
 
+def test_sums_over_partitions_do_not_reach_the_driver(spark, fitted, monkeypatch):
+    _, _, df, edges, models = fitted
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
+
+    def received(*_):
+        raise AssertionError("sums of features x bins on the driver")
+    monkeypatch.setattr(B.Growth, "receive", received)
+    sampled = B.Spec(rounds=3, rate=0.3, max_depth=4, feature_share=0.7)
+    for spec, want in ((SPECS[1], models[1]), (SPECS[3], models[3]), (sampled, None)):
+        model, = B.fit_many(df, ["a", "b", "c"], [spec], "y", ["id"], edges)
+        assert want is None or _alike(model, want)
+
+
 def test_scores_saving_predictions_and_importances(spark, fitted):
     x, y, df, edges, _ = fitted
     spec, seen = B.Spec(rounds=4, rate=0.3, max_depth=3, fold=1), {}
