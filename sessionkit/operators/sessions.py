@@ -10,11 +10,16 @@ Distinct counts use ``count(DISTINCT)`` (Catalyst's Expand rewrite: rows are
 first de-duplicated per (session, value), then counted) rather than
 ``size(collect_set(...))``, which would hold all values of a hot session in
 one task.
+
+With ``partitions`` the events are first combined per (session, product, brand,
+category) in that many tasks, and the sessions made of these rows in as many: a
+task's memory then follows the events per partition, not those per input file
+and per ``spark.sql.shuffle.partitions``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flag, seconds_between, valid_price
@@ -154,7 +159,6 @@ def labeled_events(events: DataFrame, method: str = "join", as_bool: bool = True
     """
     ev = events.filter(F.col(SESSION).isNotNull())
     if method == "window":
-        from pyspark.sql import Window
         w = Window.partitionBy(SESSION)
         lab = _abandoned(F.max(F.col("event_type") == "cart").over(w),
                          F.coalesce(F.max(F.col("event_type") == "purchase").over(w),
@@ -205,9 +209,54 @@ def basic_sessions(events: DataFrame) -> DataFrame:
                  .alias("duration_seconds")))
 
 
+# ------------------------------------------------------------- events by value
+VALUES = ["product_id", "brand", "category_code"]
+#: Shares of the events of one session and value, by their time, so that no
+#: task gets all events of a hot session that has few values.
+TIME_SHARES = 16
+
+
+def _by_value(events: DataFrame, keys: list[str], names: dict[str, str], require_time: bool,
+              partitions: int) -> DataFrame:
+    """Events combined per session, values and share of the times, in
+    ``partitions`` tasks; then dealt out by session, with a flag for the first
+    row of a session with each product, brand and category (a distinct count as
+    a sum of flags needs no further exchange, unlike the Expand rewrite)."""
+    place = _order_key(events)
+    events = events.withColumn("_share", F.pmod(F.xxhash64("event_time"), F.lit(TIME_SHARES)))
+    values = [c for c in VALUES if c in events.columns]
+    group = [*keys, *values, "_share"]
+    known = F.col("user_id").isNotNull() & place.isNotNull()
+    combined = events.repartition(partitions, *group).groupBy(*group).agg(
+        F.min("event_time").alias("session_start"), F.max("event_time").alias("session_end"),
+        F.sum("price").alias("_price"), F.count("price").alias("_prices"), F.max("price").alias("max_price"),
+        F.min(F.when(known, F.struct(place.alias("place"), F.col("user_id")))).alias("_first"),
+        F.count(F.lit(1)).alias("total_events"), *_type_counts(names, require_time),
+        F.max(F.col("event_type") == "cart").alias("_cart"),
+        F.max(F.col("event_type") == "purchase").alias("_purchase"),
+    ).repartition(partitions, *keys)
+    for c in values:
+        first = F.row_number().over(Window.partitionBy(*keys, c).orderBy("_share")) == 1
+        combined = combined.withColumn(f"_new_{c}", (first & F.col(c).isNotNull()).cast("int"))
+    return combined
+
+
+def _of_values(names: dict[str, str]) -> dict[str, Column]:
+    """The aggregates of a session over the rows of ``_by_value``."""
+    return {
+        "session_start": F.min("session_start"), "session_end": F.max("session_end"),
+        "user_id": F.min("_first")["user_id"], "total_events": F.sum("total_events"),
+        "avg_price": F.try_divide(F.sum("_price"), F.sum("_prices")),
+        "max_price": F.max("max_price"), "total_price": F.sum("_price"),
+        LABEL: _abandoned(F.max("_cart"), F.coalesce(F.max("_purchase"), F.lit(False))),
+        **{n: F.sum(n) for n in names.values()},
+    }
+
+
 # --------------------------------------------------------------------------- A3/A4
 def enriched_sessions(events: DataFrame, by_month: bool = True,
-                      keep_times: bool = True, distinct_mode: str = "expand") -> DataFrame:
+                      keep_times: bool = True, distinct_mode: str = "expand",
+                      partitions: int | None = None) -> DataFrame:
     """A3 (T5/T6): one row per (month, session) -- or per session for the
     notebook form A4 -- with times, distinct counts, price stats, type
     counts, first user and label, in a single aggregate (the reference's
@@ -216,18 +265,20 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
     """
     keys = (["source_month", SESSION] if by_month else [SESSION])
     ev = events.filter(F.col(SESSION).isNotNull())
-    aggs = [
-        F.min("event_time").alias("session_start"),
-        F.max("event_time").alias("session_end"),
-        _distinct("product_id", distinct_mode).alias("products_viewed"),
-        F.avg("price").alias("avg_price"),
-        F.max("price").alias("max_price"),
-        *[_distinct(c, distinct_mode).alias(n) for c, n in
-          (("brand", "brands_viewed"), ("category_code", "categories_viewed")) if c in ev.columns],
-        abandoned_flag_agg().alias(LABEL),
-        _first_non_null(ev, "user_id").alias("user_id"),
-        *_type_counts(PROC_COUNT_NAMES, require_time=True),
-    ]
+    counted = {n: c for c, n in zip(
+        VALUES, ("products_viewed", "brands_viewed", "categories_viewed")) if c in ev.columns}
+    if partitions:
+        ev = _by_value(ev, keys, PROC_COUNT_NAMES, True, partitions)
+        of = {**_of_values(PROC_COUNT_NAMES), **{n: F.sum(f"_new_{c}") for n, c in counted.items()}}
+    else:
+        of = {**{n: _distinct(c, distinct_mode) for n, c in counted.items()},
+              "session_start": F.min("event_time"), "session_end": F.max("event_time"),
+              "avg_price": F.avg("price"), "max_price": F.max("price"), LABEL: abandoned_flag_agg(),
+              "user_id": _first_non_null(ev, "user_id"),
+              **dict(zip(PROC_COUNT_NAMES.values(), _type_counts(PROC_COUNT_NAMES, require_time=True)))}
+    order = ["session_start", "session_end", "products_viewed", "avg_price", "max_price",
+             "brands_viewed", "categories_viewed", LABEL, "user_id", *PROC_COUNT_NAMES.values()]
+    aggs = [of[c].alias(c) for c in order if c in of]
     out = (ev.groupBy(*keys).agg(*aggs)
            .withColumn("duration_seconds", seconds_between("session_start", "session_end")))
     if not keep_times:
@@ -236,7 +287,8 @@ def enriched_sessions(events: DataFrame, by_month: bool = True,
 
 
 # --------------------------------------------------------------------------- A5
-def segment_sessions(events: DataFrame, distinct_mode: str = "expand") -> DataFrame:
+def segment_sessions(events: DataFrame, distinct_mode: str = "expand",
+                     partitions: int | None = None) -> DataFrame:
     """A5-A7 (T8): sessions over both months for segmentation.
 
     The reference aggregates 5M-row chunks and re-aggregates the partial rows,
@@ -245,20 +297,27 @@ def segment_sessions(events: DataFrame, distinct_mode: str = "expand") -> DataFr
     Type counts count rows (``size``), not non-null times (M19).
     """
     ev = events.filter(F.col(SESSION).isNotNull())
-    counts = _type_counts(SEGMENT_COUNT_NAMES, require_time=False)
-    out = ev.groupBy(SESSION).agg(
-        F.min("event_time").alias("session_start"),
-        F.max("event_time").alias("session_end"),
-        _first_non_null(ev, "user_id").alias("user_id"),
-        F.count(F.lit(1)).alias("total_events"),
-        *counts,
-        _distinct("product_id", distinct_mode).alias("unique_products"),
-        *[_distinct(c, distinct_mode).alias(n) for c, n in
-          (("brand", "unique_brands"), ("category_code", "unique_categories")) if c in ev.columns],
-        F.avg("price").alias("avg_price"),
-        F.max("price").alias("max_price"),
-        F.sum("price").alias("total_price"),
-    )
+    counted = {n: c for c, n in zip(
+        VALUES, ("unique_products", "unique_brands", "unique_categories")) if c in ev.columns}
+    if partitions:
+        of = _of_values(SEGMENT_COUNT_NAMES)
+        out = _by_value(ev, [SESSION], SEGMENT_COUNT_NAMES, False, partitions).groupBy(SESSION).agg(
+            *[of[c].alias(c) for c in ("session_start", "session_end", "user_id", "total_events",
+                                       *SEGMENT_COUNT_NAMES.values())],
+            *[F.sum(f"_new_{c}").alias(n) for n, c in counted.items()],
+            *[of[c].alias(c) for c in ("avg_price", "max_price", "total_price")])
+    else:
+        out = ev.groupBy(SESSION).agg(
+            F.min("event_time").alias("session_start"),
+            F.max("event_time").alias("session_end"),
+            _first_non_null(ev, "user_id").alias("user_id"),
+            F.count(F.lit(1)).alias("total_events"),
+            *_type_counts(SEGMENT_COUNT_NAMES, require_time=False),
+            *[_distinct(c, distinct_mode).alias(n) for n, c in counted.items()],
+            F.avg("price").alias("avg_price"),
+            F.max("price").alias("max_price"),
+            F.sum("price").alias("total_price"),
+        )
     return out.withColumn(LABEL, flag((F.col("cart_count") > 0) & (F.col("purchase_count") == 0)))
 
 
@@ -281,7 +340,6 @@ def returning_users(sessions: DataFrame, method: str = "join") -> DataFrame:
     but a hot user lands in one task.
     """
     if method == "window":
-        from pyspark.sql import Window
         first = F.min("session_start").over(Window.partitionBy("user_id"))
         known = sessions.filter(F.col("user_id").isNotNull())
         # null users are no user: they never meet in one window
@@ -322,7 +380,7 @@ def model_ready(sessions: DataFrame, index: bool = True) -> DataFrame:
 
 
 def build_model_ready(events: DataFrame, returning_method: str = "join",
-                      cut: bool = True) -> DataFrame:
+                      cut: bool = True, partitions: int | None = None) -> DataFrame:
     """Path 1 (PROC main): clean -> per-month sessions -> union -> returning
     flag -> model-ready projection.
 
@@ -332,7 +390,7 @@ def build_model_ready(events: DataFrame, returning_method: str = "join",
     first: the per-user minimum and the join then read that (much smaller)
     table instead of scanning and aggregating the events a second time.
     """
-    sessions = enriched_sessions(valid_events(events), by_month=True)
+    sessions = enriched_sessions(valid_events(events), by_month=True, partitions=partitions)
     if cut:
         from ..session import materialize
         sessions = materialize(sessions)

@@ -20,7 +20,7 @@ from ..operators import kmeans as KM
 from ..operators import sessions as S
 from ..operators.session_state import SessionState
 from ..operators.user_store import store_by_user
-from ..session import delete_scratch, folder_state, materialize, scratch_path
+from ..session import delete_scratch, folder_size, folder_state, materialize, scratch_path
 from ..sources import io as IO
 from ..sources.adapter import load_events
 from ..sources.schema import EVENT_COLUMNS
@@ -98,10 +98,22 @@ def _valid(spark, sf, columns=None, require_session=True, **kw):
     return S.valid_events(_events(spark, sf, columns, valid_only=True, **kw), require_session)
 
 
+#: Bytes of the event files for each task of a session roll-up.
+ROLL_UP_BYTES = 4 << 20
+
+
+def _tasks(spark, sf) -> int:
+    """Tasks of a session roll-up: by the size of the event files, so that a
+    task's share of the events does not grow with them."""
+    size = folder_size(spark, f"{sf.rstrip('/')}/events.parquet")
+    return max(spark.sparkContext.defaultParallelism, -(-size // ROLL_UP_BYTES))
+
+
 # ----------------------------------------------------------------- sessions
 @register("model_ready")
 def q_model_ready(spark, sf):
-    return round_doubles(S.build_model_ready(_events(spark, sf, valid_only=True)))
+    return round_doubles(S.build_model_ready(_events(spark, sf, valid_only=True),
+                                             partitions=_tasks(spark, sf)))
 
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -144,18 +156,19 @@ def _session_times_out(df):
 
 @register("enriched_sessions")
 def q_enriched_sessions(spark, sf):
-    return round_doubles(_session_times_out(S.enriched_sessions(_valid(spark, sf), by_month=True)))
+    return round_doubles(_session_times_out(S.enriched_sessions(_valid(spark, sf), by_month=True, partitions=_tasks(spark, sf))))
 
 
 @register("enriched_sessions_eda")
 def q_enriched_sessions_eda(spark, sf):
-    s = S.enriched_sessions(_valid(spark, sf), by_month=False, keep_times=False)
+    s = S.enriched_sessions(_valid(spark, sf), by_month=False, keep_times=False,
+                            partitions=_tasks(spark, sf))
     return round_doubles(s.drop("user_id"))
 
 
 @register("segment_sessions")
 def q_segment_sessions(spark, sf):
-    return round_doubles(_session_times_out(S.segment_sessions(_valid(spark, sf))))
+    return round_doubles(_session_times_out(S.segment_sessions(_valid(spark, sf), partitions=_tasks(spark, sf))))
 
 
 @register("segment_sessions_merged")
@@ -170,7 +183,7 @@ def q_segment_sessions_merged(spark, sf):
 def _proc_sessions(spark, sf):
     """Per-month sessions, cut from the event scan (written once, read by
     both sides of the per-user join)."""
-    return materialize(S.enriched_sessions(_valid(spark, sf), by_month=True), "sessions")
+    return materialize(S.enriched_sessions(_valid(spark, sf), by_month=True, partitions=_tasks(spark, sf)), "sessions")
 
 
 @register("user_first_session")
@@ -182,7 +195,7 @@ def q_user_first_session(spark, sf):
 @register("returning_users")
 def q_returning_users(spark, sf):
     """W2 over sessions stored by user: no exchange, hot users apart."""
-    stored = store_by_user(S.enriched_sessions(_valid(spark, sf), by_month=True))
+    stored = store_by_user(S.enriched_sessions(_valid(spark, sf), by_month=True, partitions=_tasks(spark, sf)))
     return stored.returning().select("source_month", "user_session", "user_id", "is_returning_user")
 
 
@@ -205,7 +218,7 @@ def q_join_counts(spark, sf):
 @register("union_months")
 def q_union_months(spark, sf):
     months = [S.enriched_sessions(_valid(spark, sf, OWN_COLUMNS, month=m),
-                                  by_month=True, keep_times=False) for m in ("A", "B")]
+                                  by_month=True, keep_times=False, partitions=_tasks(spark, sf)) for m in ("A", "B")]
     out = S.union_months(*months)
     return round_doubles(out.select("source_month", S.SESSION, "products_viewed", "num_views",
                                     "num_carts", "num_purchases", "is_abandoned",
@@ -214,7 +227,7 @@ def q_union_months(spark, sf):
 
 @register("session_duration")
 def q_session_duration(spark, sf):
-    s = S.segment_sessions(_valid(spark, sf, OWN_COLUMNS))
+    s = S.segment_sessions(_valid(spark, sf, OWN_COLUMNS), partitions=_tasks(spark, sf))
     return round_doubles(s.select(S.SESSION, seconds_between("session_start", "session_end")
                                   .alias("duration_seconds")))
 
@@ -305,7 +318,7 @@ def _model_ready(spark, sf):
     downstream keys (the processing step's output file the modelling
     scripts read).  The ``model_ready`` key itself always recomputes."""
     return _shared(spark, sf, "model_ready", lambda: materialize(
-        S.build_model_ready(_events(spark, sf, valid_only=True)), "model-ready"))
+        S.build_model_ready(_events(spark, sf, valid_only=True), partitions=_tasks(spark, sf)), "model-ready"))
 
 
 @register("class_balance")
@@ -340,7 +353,7 @@ def q_means_by_outcome(spark, sf):
 
 
 def _segment_features(spark, sf, columns=None):
-    return SG.segment_features(S.segment_sessions(_valid(spark, sf, columns)))
+    return SG.segment_features(S.segment_sessions(_valid(spark, sf, columns), partitions=_tasks(spark, sf)))
 
 
 @register("segment_features")
@@ -553,7 +566,7 @@ def _train_partitions(spark):
 def _notebook(spark, sf):
     """The notebook's enriched sessions, split three ways."""
     return _shared(spark, sf, "notebook", lambda: M.Prepared(
-        S.enriched_sessions(_valid(spark, sf), by_month=False), features=PR.EDA_FEATURES,
+        S.enriched_sessions(_valid(spark, sf), by_month=False, partitions=_tasks(spark, sf)), features=PR.EDA_FEATURES,
         three_way=True, partitions=_train_partitions(spark)))
 
 

@@ -112,6 +112,12 @@ def folder_state(spark: SparkSession, path: str) -> str:
     return ";".join(sorted(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of a file or folder."""
+    fs, jpath = file_system(spark, path)
+    return sum(fs.getContentSummary(top.getPath()).getLength() for top in fs.globStatus(jpath) or [])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (works for
     local, HDFS and object-store paths alike)."""

@@ -96,3 +96,28 @@ def test_labels_by_filter_equal_the_window_form(spark):
     shuffled, settled = plan.split("SortMergeJoin", 1)[1], plan.rsplit("Project", 1)[1]
     assert plan.count("SortMergeJoin") == 1 and "_bits" in shuffled.split("Exchange hashpartitioning")[1]
     assert "SortMergeJoin" not in settled
+
+
+def test_roll_ups_in_parts_equal_the_plain_ones(spark, fixture_events):
+    for ev in (S.valid_events(_skewed(spark)), S.valid_events(fixture_events),
+               S.valid_events(fixture_events).drop("brand", "category_code")):
+        for roll_up in (S.segment_sessions, S.enriched_sessions,
+                        lambda e, **kw: S.enriched_sessions(e, by_month=False, keep_times=False, **kw)):
+            plain, parts = roll_up(ev), roll_up(ev, partitions=7)
+            assert [(f.name, f.dataType) for f in parts.schema] == [(f.name, f.dataType) for f in plain.schema]
+            rounded = [[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes]
+                       for d in (plain, parts)]
+            want, got = (sorted(map(str, d.select(*c).collect())) for d, c in zip((plain, parts), rounded))
+            assert got == want and len(got)
+
+
+def test_roll_ups_take_as_many_tasks_as_asked_and_spread_a_hot_session(spark):
+    ev = S.valid_events(_skewed(spark))
+    sessions = S.segment_sessions(ev, partitions=23)
+    assert sessions.rdd.getNumPartitions() == 23     # more than spark.sql.shuffle.partitions
+    by_value = ev.filter("user_session = 'hot'").withColumn("product_id", F.lit(1)) \
+        .withColumn("brand", F.lit("b")).withColumn("category_code", F.lit("c"))
+    combined = S._by_value(by_value, [S.SESSION], S.SEGMENT_COUNT_NAMES, False, 23)
+    assert combined.count() == S.TIME_SHARES         # spread over the times where it has one value
+    plan = S.segment_sessions(ev, partitions=23)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == plan.count("Exchange") == 2
