@@ -214,10 +214,14 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _labelled(rows: DataFrame, docs_per_language: int, id_col: str, text_col: str, lang_col: str):
-    """The languages of the labelled rows and the (lang, text) sample of each."""
-    rows = only(rows, doc_id=id_col, text=text_col, lang=lang_col) \
+def _labelled(rows: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """The rows with a language and a text."""
+    return only(rows, doc_id=id_col, text=text_col, lang=lang_col) \
         .filter("lang is not null and text is not null")
+
+
+def _sample(rows: DataFrame, docs_per_language: int):
+    """The languages of labelled rows and the (lang, text) sample of each."""
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return [], rows.select("lang", "text")
@@ -231,7 +235,7 @@ def fit(rows: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE,
         rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Model:
     """Learn from rows with a non-null language and text."""
-    languages, sample = _labelled(rows, docs_per_language, id_col, text_col, lang_col)
+    languages, sample = _sample(_labelled(rows, id_col, text_col, lang_col), docs_per_language)
     size = len(vocabulary(path)) + 2
     if not languages:
         return Model(path, [], np.zeros((size, 0)))
@@ -248,14 +252,16 @@ def fit(rows: DataFrame, path: str, docs_per_language: int = DOCS_PER_LANGUAGE,
     return Model(path, languages, probs)
 
 
-def with_floors(model: Model, rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
-                id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model with a least fit per language: as far below the median of the
-    labelled sample as twice the way to its worst row.  Only rows predicted as
+def with_floors(model: Model, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                lang_col: str = "lang") -> Model:
+    """The model with a least fit per language: as far below the median of all
+    labelled rows as twice the way to their worst row.  Only rows predicted as
     labelled count; a language without any has no floor."""
-    _, sample = _labelled(rows, docs_per_language, id_col, text_col, lang_col)
+    labelled = _labelled(rows, id_col, text_col, lang_col).select("lang", "text")
+    shared = rows.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):
+        model = Model(*shared.value)
         scorer = model.scorer()
         for b in batches:
             for a in range(0, b.num_rows, SLICE):
@@ -268,7 +274,7 @@ def with_floors(model: Model, rows: DataFrame, docs_per_language: int = DOCS_PER
                      pa.array([x[1] for x in right], pa.float64())], names=["lang", "fit"])
     if not model.languages:
         return model
-    seen = sample.mapInArrow(run, "lang string, fit double").groupBy("lang").agg(
+    seen = labelled.mapInArrow(run, "lang string, fit double").groupBy("lang").agg(
         F.min("fit").alias("worst"), F.percentile_approx("fit", 0.5).alias("middle")).collect()
     return Model(model.path, model.languages, model.probs,
                  {r["lang"]: 2 * r["worst"] - r["middle"] for r in seen})

@@ -342,3 +342,15 @@ def test_op10_equals_sql(spark):
     want = con.execute(Q.ORACLE["op10_exact_top_k"]).fetchall()
     got = Q.QUERIES["op10_exact_top_k"](spark, SF).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_floors_come_from_all_labelled_rows(spark):
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["house", "river", "stone", "green", "xq" + str(i)]) for _ in range(9))
+             for i in range(3000)]                     # three times the rows that are learned from
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)],
+                                 "doc_id bigint, text string, lang string")
+    model = L.fit(docs, Q.vocabulary("piece_bpe_32k.model"))
+    fits = sorted(fit for _, _, fit in model.predict(texts, model.scorer()))
+    floor = L.with_floors(model, docs).floors["en"]
+    assert abs(floor - (2 * fits[0] - fits[1499])) < 1e-9
