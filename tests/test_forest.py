@@ -118,3 +118,21 @@ def test_pure_empty_and_constant_tables(spark):
         df = spark.createDataFrame(rows, "key string, y int, a double")
         model = FO.fit(FO.Rows(df, ["a"], "y", ["key"]), FO.Spec(trees=3, tried=1))
         assert model.transform(df).count() == len(rows)
+
+
+def test_a_grid_of_sizes_is_one_fit_a_fold(spark, monkeypatch):
+    from sessionkit.operators import sessions as S
+    from sessionkit.plans import models as M, tuning as TU
+    from sessionkit.sources.adapter import load_events
+    data, fits, real = M.Prepared(S.build_model_ready(load_events(spark, "/root/testdata/sf0.001"))), [], FO.fit
+    monkeypatch.setattr(FO, "fit", lambda rows, spec: fits.append(spec) or real(rows, spec))
+    grid = {"n_estimators": [2, 4], "max_depth": [2, None], "min_samples_leaf": [1], "class_weight": ["balanced"]}
+    res = TU.grid_search(data, "RandomForest", grid, refit=False)
+    assert len(fits) == 3 and {s.fold for s in fits} == {0, 1, 2}
+    for combo, score in res.scores:
+        alone = []
+        for fold in range(3):
+            spec = M.forest_spec(combo, data.balanced, fold, len(data.scaled))
+            size = spec.trees, spec.max_depth
+            alone.append(TU.metric_of(FO.scores(data.binned(), real(data.binned(), spec), {size})[size], "f1"))
+        assert abs(sum(alone) / 3 - score) < 1e-12
