@@ -172,8 +172,9 @@ def fit_kmeans(matrix: DataFrame, cols: list[str] | None = None, k: int = N_CLUS
 
     The assembled vectors are cut from their lineage (a reliable checkpoint
     in the shared checkpoint folder, so a lost executor does not replay the
-    session roll-up) and cached once for the ``n_init`` runs.  ``tol``
-    defaults to scikit-learn's rule, 1e-4 x the mean feature variance.
+    session roll-up).  Each of the ``n_init`` runs caches them as MLlib does when
+    the input is not cached: a cached table would be decoded in every step.
+    ``tol`` defaults to scikit-learn's rule, 1e-4 x the mean feature variance.
     Returns (model, per-run seconds).
     """
     from pyspark.ml.clustering import KMeans
@@ -183,7 +184,7 @@ def fit_kmeans(matrix: DataFrame, cols: list[str] | None = None, k: int = N_CLUS
     cols = cols or zcols()
     ensure_checkpoint_dir(matrix.sparkSession)
     vec = (VectorAssembler(inputCols=cols, outputCol="features").transform(matrix)
-           .select("features").checkpoint(eager=True).persist())
+           .select("features").checkpoint(eager=True))
     if tol is None:
         var = matrix.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
         vals = [var[c] or 0.0 for c in cols]
@@ -197,7 +198,6 @@ def fit_kmeans(matrix: DataFrame, cols: list[str] | None = None, k: int = N_CLUS
         times.append(time.time() - t0)
         if best_cost is None or cost < best_cost:
             best, best_cost = model, cost
-    vec.unpersist()
     return best, times
 
 

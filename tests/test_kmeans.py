@@ -95,3 +95,14 @@ def test_empty_missing_and_repeated_rows(spark):
     df = spark.createDataFrame(rows, "user_session string, a double, b double, c double")
     best = KM.fit_starts(df, cols, 3, n_starts=2)[0]  # two distinct vectors, three clusters
     assert best.cost == 0.0 and len(np.unique(best.centers, axis=0)) == 2
+
+
+def test_mllib_runs_get_vectors_that_no_step_decodes(spark, monkeypatch):
+    """MLlib caches the vectors itself only if its input is not cached."""
+    from pyspark.ml.clustering import KMeans
+    levels, real = [], KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, df: levels.append(
+        df.storageLevel.useMemory or df.storageLevel.useDisk) or real(self, df))
+    df = spark.createDataFrame([(float(i % 7), float(i % 3)) for i in range(60)], "a double, b double")
+    model, times = SG.fit_kmeans(df, ["a", "b"], k=3, n_init=2)
+    assert len(times) == 2 and len(model.clusterCenters()) == 3 and levels == [False, False]
