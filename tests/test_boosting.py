@@ -173,3 +173,16 @@ def test_missing_values_one_class_and_empty_tables(spark):
     flat = B.fit(df.filter("y = 1"), ["a"], spec, "y", ["id"])
     assert all((t.feature < 0).all() for t in flat.trees)
     assert B.fit(df.limit(0), ["a"], spec, "y", ["id"]).trees == []
+
+
+def test_rows_beyond_one_task_use_every_core(spark, monkeypatch):
+    _, _, df = _table(spark)
+    asked, real = [], B._blocks
+    monkeypatch.setattr(B, "_blocks", lambda *a: asked.append(a[5]) or real(*a))
+    spec, cores = B.Spec(rounds=1, max_depth=2), spark.sparkContext.defaultParallelism
+    whole = B.fit(df, ["a", "b", "c"], spec, "y", ["id"])
+    monkeypatch.setattr(B, "TASK_ROWS", 599)
+    monkeypatch.setattr(B, "LEAST_ROWS", 10)
+    parted = B.fit(df, ["a", "b", "c"], spec, "y", ["id"])
+    assert asked == [1, max(2, cores)]
+    assert np.array_equal(whole.trees[0].value, parted.trees[0].value)
