@@ -186,3 +186,22 @@ def test_rows_beyond_one_task_use_every_core(spark, monkeypatch):
     parted = B.fit(df, ["a", "b", "c"], spec, "y", ["id"])
     assert asked == [1, max(2, cores)]
     assert np.array_equal(whole.trees[0].value, parted.trees[0].value)
+
+
+def test_cells_of_a_task_follow_the_bins_of_each_feature():
+    # a wide feature beside one of two bins: the sums of a leaf hold 200 + 2 cells, not 2 x 200
+    r = np.random.default_rng(3)
+    bins = np.stack([r.integers(0, 200, 900), r.integers(0, 2, 900)]).astype(np.uint8)
+    y = (r.random(900) < 0.2 + 0.3 * bins[1] + 0.002 * bins[0]).astype(float)
+    block = {"y": y, "fold": np.zeros(900, np.int8), "row": np.arange(900, dtype=np.uint64), "bins": bins,
+             "margin": np.zeros((1, 900))}
+    spec = B.Spec(rounds=1, max_depth=4)
+    tree = B.Growth(spec, np.ones(2, dtype=bool), [200, 2])
+    sums = B._Rows(block, 0, spec, 0).sums([0], tree)
+    assert sums.shape == (3, 1, 202)
+    g, h = B.gradients(block["margin"][0], y, spec.weights)
+    for f, a, z in ((0, 0, 200), (1, 200, 202)):
+        for own, weights in zip(sums[:, 0, a:z], (g, h, np.ones(900))):
+            assert np.array_equal(own, np.bincount(bins[f], weights, z - a))
+    grown = B._rounds_in_place([block], [spec], [200, 2], 0, 1)[0]["grown"][0][0]
+    assert _paths(grown) == _slow_tree(bins, g, h, spec, 200)[0]

@@ -170,3 +170,26 @@ def test_leaderboard_tunes_the_two_best(spark):
     best = sorted(plain, key=lambda r: (-r.weighted_avg_f1, M.DEFAULT_MODELS.index(r.model_name)))[:2]
     assert len(rows) == 6 and {r.model_name for r in rows if r.is_tuned} == {
         f"{r.model_name}_Tuned" for r in best}
+
+
+def test_searches_of_few_rows_go_side_by_side_costly_fits_first(spark, monkeypatch):
+    import threading
+
+    from pyspark.sql import functions as F
+    shallow, deep = (M.boost_spec("XGBoost", {"max_depth": d, "n_estimators": 10}) for d in (5, 15))
+    assert TU._work(deep) > TU._work(shallow)
+    data = _data(spark)
+    both, met = threading.Barrier(2, timeout=120), []
+
+    def search(data, name, grid, **kw):
+        both.wait()  # breaks when the second search waits for the first
+        met.append(name)
+        return TU.SearchResult({}, [], 1.0, data.test.withColumn("prediction", F.lit(0.0)), None)
+    monkeypatch.setattr(TU, "grid_search", search)
+    monkeypatch.setattr(M, "fit_predict", lambda data, name: (
+        None, data.test.withColumn("prediction", F.col(data.label).cast("double")), 1.0))
+    monkeypatch.setattr(TU, "boosted_scores", lambda *a, **k: {})
+    out = M.bakeoff(spark, data, scratch_path(spark, "t-side"), ["RandomForest", "XGBoost"], tune_top=2)
+    assert sorted(met) == ["RandomForest", "XGBoost"]
+    assert [r.model_name for r in out.filter("is_tuned").orderBy("model_name").collect()] \
+        == ["RandomForest_Tuned", "XGBoost_Tuned"]
