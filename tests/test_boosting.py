@@ -205,3 +205,45 @@ def test_cells_of_a_task_follow_the_bins_of_each_feature():
             assert np.array_equal(own, np.bincount(bins[f], weights, z - a))
     grown = B._rounds_in_place([block], [spec], [200, 2], 0, 1)[0]["grown"][0][0]
     assert _paths(grown) == _slow_tree(bins, g, h, spec, 200)[0]
+
+
+def test_leaves_of_few_rows_grow_in_tasks_without_a_pass_per_level(spark, fitted, monkeypatch):
+    _, _, df, edges, models = fitted
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
+    monkeypatch.setattr(B, "MOST_ROWS", 200)
+    passes, real = [], B.Growth.receive_cuts
+    monkeypatch.setattr(B.Growth, "receive_cuts", lambda self, *a: passes.append(1) or real(self, *a))
+    for m in (2, 3):
+        passes.clear()
+        model, = B.fit_many(df, ["a", "b", "c"], [SPECS[m]], "y", ["id"], edges)
+        assert _alike(model, models[m])
+        assert all((s.gain == t.gain).all() and (s.rows == t.rows).all() for s, t in zip(model.trees, models[m].trees))
+        # 600 rows: few levels have a leaf of more than 150, whatever the depth
+        assert len(passes) < sum(t.depth for t in models[m].trees)
+
+
+@pytest.mark.parametrize("rows", [40, 3_000, 70_000, 300_000])
+def test_features_counted_together_have_the_sums_of_each(rows):
+    r = np.random.default_rng(rows)
+    widths = [7, 200, 3, 5, 256, 2]
+    bins = np.stack([r.integers(0, w, rows) for w in widths]).astype(np.uint8)
+    g, h = r.integers(-2 ** 24, 2 ** 24, rows).astype(float), r.integers(1, 2 ** 22, rows).astype(float)
+    cells, some = B._Cells(bins), np.flatnonzero(r.random(rows) < 0.9)
+    for own, slot, n in ((None, None, 1), (some, None, 1), (some, r.integers(0, 3, len(some)), 3)):
+        at = np.arange(rows) if own is None else own
+        got = cells.sums(own, g[at], h[at], slot, n, widths)
+        leaf = np.zeros(len(at), dtype=int) if slot is None else slot
+        for f, (a, z) in enumerate(zip(np.cumsum([0, *widths]), np.cumsum(widths))):
+            for x, weights in zip(got, (g[at], h[at], None)):
+                want = np.bincount(leaf * widths[f] + bins[f, at], weights, n * widths[f]).reshape(n, -1)
+                assert np.array_equal(x[:, a:z], want)
+
+
+def test_superseded_checkpoints_are_deleted(spark, fitted):
+    import os
+    _, _, df, edges, _ = fitted
+    at = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    before = set(os.listdir(at))
+    B.fit_many(df, ["a", "b", "c"], [B.Spec(rounds=25, max_depth=2)], "y", ["id"], edges)
+    assert {x for x in set(os.listdir(at)) - before if x.startswith("rdd-")} == set()
