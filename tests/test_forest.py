@@ -136,3 +136,17 @@ def test_a_grid_of_sizes_is_one_fit_a_fold(spark, monkeypatch):
             size = spec.trees, spec.max_depth
             alone.append(TU.metric_of(FO.scores(data.binned(), real(data.binned(), spec), {size})[size], "f1"))
         assert abs(sum(alone) / 3 - score) < 1e-12
+
+
+def test_rows_count_as_the_poisson_steps_say():
+    from sessionkit.plans.boosting import _mixed
+    rows, spec = np.random.default_rng(5).integers(0, 2 ** 63, 200_000).astype(np.uint64), FO.Spec(seed=7)
+    want = np.searchsorted(FO._POISSON, _mixed(rows, 7 * 1_000_003 + 3), side="right")
+    assert want.max() > 5 and np.array_equal(FO._bag(rows, spec, 3), want)
+
+
+def test_tables_of_one_task_grow_whole_trees_without_passes(table, monkeypatch):
+    _, rows = table
+    monkeypatch.setattr(rows, "n", 1_000_000)
+    monkeypatch.setattr(FO, "_fit_many", lambda *a: (_ for _ in ()).throw(AssertionError("passes")))
+    assert len(FO.fit(rows, FO.Spec(trees=3, fold=0)).trees) == 3
