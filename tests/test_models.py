@@ -193,3 +193,13 @@ def test_searches_of_few_rows_go_side_by_side_costly_fits_first(spark, monkeypat
     assert sorted(met) == ["RandomForest", "XGBoost"]
     assert [r.model_name for r in out.filter("is_tuned").orderBy("model_name").collect()] \
         == ["RandomForest_Tuned", "XGBoost_Tuned"]
+
+
+def test_a_search_on_a_million_rows_gives_each_task_a_whole_fit(spark, monkeypatch):
+    from sessionkit.plans import boosting
+    data, calls = _data(spark), []
+    monkeypatch.setattr(data, "n_train", 1_000_000)
+    monkeypatch.setattr(boosting, "fit_many", lambda *a, **kw: calls.append(len(a[2])))
+    combos = TU.expand_grid({"n_estimators": [2, 4], "learning_rate": [0.1, 0.3], "max_depth": [2]})
+    TU.boosted_scores(data, {"XGBoost": combos})
+    assert calls == [1] * 6  # two models, three folds: none waits for a pass shared with others
