@@ -240,10 +240,15 @@ def test_features_counted_together_have_the_sums_of_each(rows):
                 assert np.array_equal(x[:, a:z], want)
 
 
-def test_superseded_checkpoints_are_deleted(spark, fitted):
+def test_superseded_checkpoints_are_deleted(spark, fitted, monkeypatch):
     import os
     _, _, df, edges, _ = fitted
     at = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
     before = set(os.listdir(at))
-    B.fit_many(df, ["a", "b", "c"], [B.Spec(rounds=25, max_depth=2)], "y", ["id"], edges)
+    spec = B.Spec(rounds=12, max_depth=2)
+    whole, = B.fit_many(df, ["a", "b", "c"], [spec], "y", ["id"], edges)
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
+    parted, = B.fit_many(df, ["a", "b", "c"], [spec], "y", ["id"], edges)
+    assert _alike(whole, parted)
     assert {x for x in set(os.listdir(at)) - before if x.startswith("rdd-")} == set()
